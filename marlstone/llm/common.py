@@ -70,3 +70,30 @@ def words(text: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Bits of a membership filter: 2 MB, so that its broadcast is bounded whatever the input. A fuller filter
+#: lets more rows pass to the exact step after it, nothing else.
+FILTER_BITS = 1 << 24
+#: Bits of one block of Spark's bitmap functions (fixed by Spark).
+BLOCK_BITS = 32768
+
+
+def membership_filter(keys: DataFrame, key: str) -> DataFrame:
+    """(block, bitmap): one row for each block of FILTER_BITS in which the hash of a key sets a bit."""
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    return (
+        keys.select(bit.alias("bit"))
+        .groupBy(F.floor(F.col("bit") / BLOCK_BITS).alias("block"))
+        .agg(F.bitmap_construct_agg(F.pmod("bit", F.lit(BLOCK_BITS))).alias("bitmap"))
+    )
+
+
+def may_hold(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """The rows whose key the filter may hold: all that are in it, and a few more."""
+    bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+    rows = rows.withColumn("_bit", bit).withColumn("block", F.floor(F.col("_bit") / BLOCK_BITS))
+    at = F.pmod("_bit", F.lit(BLOCK_BITS))
+    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
+    return rows.join(F.broadcast(blocks), "block").where(is_set).drop("_bit", "block", "bitmap")

@@ -7,7 +7,7 @@
   of rows. Partial aggregation merges each run before the shuffle, so a digest that a third of all
   rows share costs one row a task.
 * Hits receive byte verification: rows whose digest occurs more than once are found by a bitmap
-  filter of fixed size (FILTER_BITS bits, so its broadcast is bounded whatever the input), and the
+  filter of fixed size (so its broadcast is bounded whatever the input), and the
   least and greatest of their texts, compared as bytes, must be equal for each digest. A task sends one pair of
   texts a digest, not one text a row.
 * Digests whose texts differ (collisions) are grouped anew by the text itself.
@@ -18,13 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, stored
-
-#: Bits of the filter over hit digests: 2 MB. A fuller filter passes more rows to verification, nothing else.
-FILTER_BITS = 1 << 24
-#: Bits and bytes of one block of Spark's bitmap functions (fixed by Spark).
-BLOCK_BITS = 32768
-
+from .common import SPACE, may_hold, membership_filter, stored
 
 def normalised(text: Column) -> Column:
     """Each run of white space becomes one space; null counts as empty."""
@@ -35,26 +29,6 @@ def _key(sha: Column, digest_bytes: int) -> Column:
     return F.substring(sha, 1, digest_bytes)
 
 
-def _hit_filter(keys: DataFrame) -> DataFrame:
-    """(block, bitmap): one row for each block of FILTER_BITS that has a bit set."""
-    bit = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
-    return (
-        keys.select(bit.alias("bit"))
-        .groupBy(F.floor(F.col("bit") / BLOCK_BITS).alias("block"))
-        .agg(F.bitmap_construct_agg(F.pmod("bit", F.lit(BLOCK_BITS))).alias("bitmap"))
-    )
-
-
-def _may_hit(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """The rows whose key the filter may hold."""
-    bit = F.pmod(F.xxhash64("key"), F.lit(FILTER_BITS))
-    rows = rows.withColumn("bit", bit).withColumn("block", F.floor(F.col("bit") / BLOCK_BITS))
-    at = F.pmod("bit", F.lit(BLOCK_BITS))
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    is_set = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
-    return rows.join(F.broadcast(blocks), "block").where(is_set).drop("bit", "block", "bitmap")
-
-
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_bytes: int = 32) -> DataFrame:
     """(id, keep_id, group_size, kept, text_sha256): one row for each input row.
 
@@ -77,7 +51,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     hits = level.where("n > 1").select("key")
     verified = stored(
-        _may_hit(hashed.select(_key(F.col("sha"), digest_bytes).alias("key"), "norm"), stored(_hit_filter(hits), "lsm-filter"))
+        may_hold(hashed.select(_key(F.col("sha"), digest_bytes).alias("key"), "norm"), "key", stored(membership_filter(hits, "key"), "lsm-filter"))
         .groupBy("key")
         .agg(F.min("norm").alias("least"), F.max("norm").alias("most"))
         .select("key", (F.col("least") == F.col("most")).alias("same")),

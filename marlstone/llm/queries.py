@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdup
+from . import exactdup, neardup
 from .common import table
 
 
@@ -22,8 +22,12 @@ from d join g using (norm)
 """
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_exact_dedup": op9_exact_dedup}
+    return {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
