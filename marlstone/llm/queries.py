@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdup, linededup, neardup, qualityrules
+from . import exactdup, license, linededup, neardup, qualityrules
 from .common import table
 
 
@@ -34,8 +34,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qualityrules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
+    return {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
