@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exactdup, license, linededup, neardup, qualityrules
+from . import bpe, exactdup, license, linededup, neardup, packing, qualityrules
 from .common import table
 
 
@@ -38,8 +40,22 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file; MARLSTONE_TOKENIZERS names another folder than the installed one."""
+    folder = os.environ.get("MARLSTONE_TOKENIZERS")
+    return f"{folder}/{name}" if folder else public_tokenizers.path(name)
+
+
+def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
+    return {"op1_bpe_round_trip": op1_bpe_round_trip, "op5_packing": op5_packing, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
