@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exactdup, license, linededup, neardup, packing, qualityrules
+from . import bpe, exactdup, license, linededup, neardup, packing, pii, qualityrules
 from .common import table
 
 
@@ -54,8 +54,12 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe_round_trip": op1_bpe_round_trip, "op5_packing": op5_packing, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
+    return {"op1_bpe_round_trip": op1_bpe_round_trip, "op5_packing": op5_packing, "op2_pii": op2_pii, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
