@@ -8,9 +8,12 @@ One hash function orders all shingles. Each distinct set keeps its SKETCH smalle
    (the prefix filter over the order rarest first), so a passage that very many documents hold makes
    a long list only for documents that consist of little else.
 2. Each list compares its members with its smallest member, and links that hold are contracted.
-3. Lists with more than one component left compare members of different components: short lists all
-   of them, long lists in blocks, where rejected pairs never become rows.
-4. Before any exact work, the Jaccard similarity is estimated on the sketch of the union, with a margin
+3. Lists with more than one component left compare members of different components: short lists as they
+   are. For members of long lists the lists are drawn anew, from full sets and without any chance of a
+   loss: rarest shingles first, only as many as the sizes of both partners require at that place, and only
+   where members of different components meet. Variants of one text that are too far from each other
+   to be linked differ in rare shingles, and so do not meet at all.
+4. Before exact work, the Jaccard similarity is estimated on the sketch of the union, with a margin
    of more than four standard deviations.
 5. Candidates are confirmed by exact Jaccard similarity of full sets, rebuilt from the whole texts.
 
@@ -24,7 +27,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,10 +39,10 @@ from .shingles import shingle_sets
 SKETCH = 32
 #: Shared values that a pair must have to be compared.
 NEED = 17
-#: Lists up to this length compare all members of different components as rows.
-SHORT = 64
-#: Members of a block of a long list.
-BLOCK = 256
+#: Lists up to this length compare all members of different components.
+SHORT = 32
+#: Width of a band of set sizes, as a ratio.
+BAND = 1.03
 #: Members that are verified against one copy of their hub's set.
 CHUNK = 256
 
@@ -65,6 +67,11 @@ def _texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(s) for s in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.empty(0, np.int64)))
+
+
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Small slices: what is held at once follows a slice, not an Arrow batch."""
     for b in batches:
@@ -80,10 +87,8 @@ def _sketch_batches(width: int):
             sets = shingle_sets(_texts(b.column(1)), width)
             digests = [set_digest(s) if len(s) else (None, None) for s in sets]
             kept = [s[:SKETCH] for s in sets]
-            offsets = np.concatenate(([0], np.cumsum([len(s) for s in kept]))).astype(np.int32)
-            values = np.concatenate(kept) if kept else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), _lists(kept)],
                 schema=schema,
             )
 
@@ -91,12 +96,12 @@ def _sketch_batches(width: int):
 
 
 def _set_batches(width: int):
-    schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
+    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             sets = [s for s in shingle_sets(_texts(b.column(0)), width) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_digest(s)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([pa.array([set_digest(s)[0] for s in sets], pa.int64()), _lists(sets)], schema=schema)
 
     return run
 
@@ -122,12 +127,13 @@ def _verify_batches(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, mine = None, None
         for batch in batches:
-            a, b, sets = (batch.column(i).to_pylist() for i in range(3))
+            a, b, sets = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            values, at = sets.values.to_numpy(), sets.offsets.to_numpy()
             found = []
-            for x, y, s in zip(a, b, sets, strict=True):
-                s = np.frombuffer(s, np.int64)
+            for i, (x, y) in enumerate(zip(a, b, strict=True)):
+                s = values[at[i] : at[i + 1]]
                 if y is None:
-                    hub, mine = x, s
+                    hub, mine = x, s.copy()
                     continue
                 assert x == hub
                 both = np.concatenate((mine, s))
@@ -150,27 +156,35 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.select("a", "b", "set").mapInArrow(_verify_batches(percent), "a long, b long")
 
 
-def _block_pairs(percent: int):
-    """One pair of blocks of a list: pairs of different components that the sketches allow."""
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        one, two = key[1], key[2]
-        left, right = rows[rows["block"] == one], rows[rows["block"] == two]
-        both = pd.concat([left, right]) if one != two else left
-        values, inverse = np.unique(np.concatenate([np.asarray(s, np.int64) for s in both["sketch"]]), return_inverse=True)
-        flags = np.zeros((len(both), len(values)), np.float32)
-        flags[np.repeat(np.arange(len(both)), [len(s) for s in both["sketch"]]), inverse] = 1
-        at = len(left) if one != two else 0
-        met = flags[: len(left)] @ flags[at:].T
-        n, node, comp = both["n"].to_numpy(), both["node"].to_numpy(), both["comp"].to_numpy()
-        na, nb = n[: len(left), None], n[None, at:]
-        need = np.where(np.maximum(na, nb) <= SKETCH, np.ceil(np.minimum(na, nb) * percent / 100), NEED)
-        fits = (met >= need) & (np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent) & (comp[: len(left), None] != comp[None, at:])
-        i, j = np.nonzero(fits)
-        a, b = node[i], node[at + j]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs(a, b) of members(node, comp) of different components that can reach the threshold: a prefix join.
 
-    return run
+    In the order rarest first, let position be a shingle's place in a set of n. Two sets whose first common
+    shingle has positions p and q share min(n - p, m - q) + 1 at most, and must share (n + m) percent / (100 + percent).
+    So a row at p meets partners of up to (n - p + 1) (100 + percent) / percent - n shingles only: rows of the larger
+    set are sent to the bands of such sizes, rows of the smaller set to their own.
+    """
+    held = sets.join(members, "node").withColumn("n", F.size("set").cast("long"))
+    elements = held.select("node", F.explode("set").alias("v"))
+    common = elements.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
+    order = F.array_sort(F.collect_list(F.struct("df", "v")))
+    # shingles of one set alone come first in the order: they only shift positions
+    rare = elements.join(common, "v").groupBy("node").agg(order.alias("common")).join(held.select("node", "n", "comp"), "node")
+    rows = rare.select("node", "n", "comp", F.posexplode(F.slice("common", 1, F.greatest(F.lit(0), F.ceil(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("common"))).cast("int"))).alias("i", "at"), F.size("common").alias("c"))
+    rows = rows.select("node", "n", "comp", F.col("at.v").alias("v"), (F.col("n") - F.col("c") + F.col("i") + 1).alias("p"))
+    rows = rows.withColumn("most", F.least("n", F.floor((F.col("n") - F.col("p") + 1) * (100 + percent) / percent) - F.col("n")))
+    band = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BAND)))
+    least = F.ceil(F.col("n") * percent / 100)
+    larger = rows.where(F.col("most") >= least).select("v", F.explode(F.sequence(band(least), band(F.col("most")))).alias("band"), *(F.col(c).alias(f"{c}b") for c in ("node", "n", "comp", "p")))
+    smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p")))
+    larger, smaller = stored(larger, "near-larger"), stored(smaller, "near-smaller")
+    both = larger.select("v", "band", F.col("compb").alias("comp")).unionByName(smaller.select("v", "band", F.col("compa").alias("comp")))
+    mixed = both.groupBy("v", "band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "band")
+    share = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
+    room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
+    met = smaller.join(mixed, ["v", "band"]).join(larger, ["v", "band"])
+    met = met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share)
+    return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
@@ -234,7 +248,7 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     # sets of all listed documents, rebuilt from whole texts; the filter's few extra rows do no harm
     listed = lists.select("rep").distinct()
     sets = stored(
-        may_hold(base, "doc_id", stored(membership_filter(listed, "rep"), "near-filter")).select("text").mapInArrow(_set_batches(width), "node long, set binary").dropDuplicates(["node"]),
+        may_hold(base, "doc_id", stored(membership_filter(listed, "rep"), "near-filter")).select("text").mapInArrow(_set_batches(width), "node long, set array<long>").join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
         "near-sets",
     )
     first = stored(_confirmed(stars, sets, percent), "near-links")
@@ -245,10 +259,8 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     short = left.where(F.col("members") <= SHORT)
     side = lambda x: short.select("v", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("comp").alias(f"c{x}"))
     pairs = side("a").join(side("b"), "v").where("a < b and ca <> cb").where(_promising(percent)).select("a", "b")
-    blocks = F.ceil(F.col("members") / BLOCK)
-    dealt = left.where(F.col("members") > SHORT).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = dealt.select("v", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "n", "sketch", "comp")
-    pairs = pairs.unionByName(dealt.groupBy("v", "one", "two").applyInPandas(_block_pairs(percent), "a long, b long"))
+    long = stored(left.where(F.col("members") > SHORT).select("node", "comp").distinct(), "near-long")
+    pairs = pairs.unionByName(_full_pairs(long, sets, percent))
     pairs = stored(pairs.distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
     second = stored(_confirmed(pairs, sets, percent), "near-links")
     return first.unionByName(second)
