@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exactdup, license, linededup, neardup, packing, pii, quality, qualityrules
+from . import bpe, exactdup, html, license, linededup, neardup, packing, pii, quality, qualityrules
 from .common import table
 
 
@@ -62,8 +62,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_bpe_round_trip": op1_bpe_round_trip, "op5_packing": op5_packing, "op2_pii": op2_pii, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup, "op10_quality_classifier": op10_quality_classifier}
+    return {"op1_bpe_round_trip": op1_bpe_round_trip, "op5_packing": op5_packing, "op2_pii": op2_pii, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op6_html_main_text": op6_html_main_text, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup, "op10_quality_classifier": op10_quality_classifier}
 
 
 def oracle_sql() -> dict[str, str]:
