@@ -33,6 +33,7 @@ LABELLED = [
 <div class="newsletter subscribe promo">Subscribe to our letter</div><div role="navigation" class="pagination">1 2 3 Next</div><div class="popup modal alert" role="dialog">Sign in to go on</div><footer><p>Legal words</p></footer></body>""",
     """<body><header class="masthead navbar">Masthead words</header><div class="page wrapper container"><div class="article-body story text" data-main><p>Words of the story without any heading, some of them long.</p><p>And a further paragraph, with <i>inline</i> words.</p><dl><dt>term</dt><dd>its meaning</dd></dl></div></div>
 <aside>Aside words about something else</aside><div class="related recommended">You may also like this</div><section id="disqus_thread">Thread of readers</section><div class="disclaimer">Notice of terms</div></body>""",
+    """<body><nav>Home Contact</nav><section data-main><h2>Section heading</h2><p>The words of a page may stand in sections, one after the other.</p></section><section data-main><p>Another section goes on with more words of the same page.</p><ul><li>first point of a list</li></ul></section><footer>End words</footer></body>""",
 ]
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)[^<>]*(?:>|\Z)", re.S)
@@ -143,18 +144,23 @@ def trained() -> tuple[dict[str, float], dict[str, float], float]:
     return weights, tags, 1.0
 
 
+#: Score of a boilerplate word: small, so that an advert amid an article doesn't part it.
+AMID = -0.25
+#: Where a page has words that score STRONG, those under WEAK are beside the main text.
+STRONG, WEAK = 2.5, 1.5
+
 #: Features that say as much against main text as any page can; a word within one is never main text.
 _NEVER = {"<nav>", "<footer>", "<aside>", "<form>", "<button>", "<menu>", "<dialog>", "<search>", "hidden", "ad", "ads", "advert", "advertisement", "comment", "comments", "cookie", "cookies", "sidebar", "navigation", "menu", "footer", "nav", "navbar", "breadcrumb", "breadcrumbs", "sponsored", "promo", "newsletter", "subscribe", "banner", "popup", "modal", "disqus", "share", "social", "related", "pagination", "notice", "disclaimer", "consent", "gdpr", "contentinfo", "complementary", "replies", "respond", "widget"}
 
 
 @lru_cache(maxsize=50_000)
 def _context_score(context: tuple[str, ...]) -> float:
-    """Sum of the weights around a word, within -3 and 3; -3 wherever a feature rules main text out."""
+    """Sum of the weights around a word, within AMID and 3; AMID wherever a feature rules main text out."""
     weights, _, own = trained()
     seen = set(context)
     if seen & _NEVER or "<header>" in seen and not _article_header(context) or "header" in seen and "<article>" not in seen and "<main>" not in seen:
-        return -3.0
-    return max(-0.5, min(3.0, own + sum(weights.get(f, 0.0) for f in seen)))
+        return AMID
+    return max(AMID, min(3.0, own + sum(weights.get(f, 0.0) for f in seen)))
 
 
 def _article_header(context: tuple[str, ...]) -> bool:
@@ -191,6 +197,8 @@ def main_text(page: str | None) -> str:
             flush()
             before += tags.get(text, -0.2)
     flush()
+    if max((w for _, w, _ in blocks), default=0.0) >= STRONG:
+        blocks = [(t, w if w >= WEAK else AMID, tag) for t, w, tag in blocks]
     # the maximum-scoring run of blocks: every word adds its score, tags between blocks take theirs
     best, best_run, run, begin = 0.0, (0, 0), 0.0, 0
     for i, (text, word, tag) in enumerate(blocks):
