@@ -140,7 +140,7 @@ def trained() -> tuple[dict[str, float], dict[str, float], float]:
                 (tag_in if main else tag_out)[text] += 1
     prior = math.log(total[1] / total[0])
     weights = {f: math.log((inside[f] + 1) / (outside[f] + 1)) - prior for f in {*inside, *outside}}
-    tags = {t: -0.2 + min(0.0, 0.5 * math.log((tag_in[t] + 1) / (tag_out[t] + 1))) for t in {*tag_in, *tag_out}}
+    tags = {t: -0.05 + min(0.0, 0.1 * math.log((tag_in[t] + 1) / (tag_out[t] + 1))) for t in {*tag_in, *tag_out}}
     return weights, tags, 1.0
 
 
@@ -192,10 +192,10 @@ def main_text(page: str | None) -> str:
             score = now
             held.append(text)
         elif kind == "i":
-            before += tags.get(text, -0.2) / 4
+            before += tags.get(text, -0.05) / 4
         else:
             flush()
-            before += tags.get(text, -0.2)
+            before += tags.get(text, -0.05)
     flush()
     if max((w for _, w, _ in blocks), default=0.0) >= STRONG:
         blocks = [(t, w if w >= WEAK else AMID, tag) for t, w, tag in blocks]
