@@ -1,15 +1,62 @@
-"""A corpus pipeline: quality rules, line dedup, near-dedup, personal data, packing."""
+"""A corpus pipeline: quality rules, line dedup, near-dedup, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written and read again as the next
+one's docs. All but the last give the columns of documents; n_chars follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from marlstone.llm import linededup, neardup, packing, pii, qualityrules
+from marlstone.llm.common import stored
+from marlstone.llm.queries import tokenizer
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else docs
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the rules reject."""
+    return qualityrules.good_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes out repeated lines; a document of which nothing is left goes."""
+    return _counted(linededup.dedup_documents(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near duplicates."""
+    return neardup.first_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by its kind."""
+    return _counted(pii.redact(docs))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token ids, with the ids."""
+    return packing.pack(docs, tokenizer("byte_bpe_50k.json"), ids=True)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("personal_data", personal_data),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: Tokenizers, the CRF and confirmed components are beyond SQL: tests hold the rows against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

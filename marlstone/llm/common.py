@@ -89,11 +89,28 @@ def membership_filter(keys: DataFrame, key: str) -> DataFrame:
     )
 
 
-def may_hold(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
-    """The rows whose key the filter may hold: all that are in it, and a few more."""
+def flagged(rows: DataFrame, key: str, blocks: DataFrame, flag: str) -> DataFrame:
+    """rows with a boolean column flag: whether the filter may hold the key. True for all that are in it, and a few more."""
     bit = F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
-    rows = rows.withColumn("_bit", bit).withColumn("block", F.floor(F.col("_bit") / BLOCK_BITS))
+    rows = rows.withColumn("_bit", bit).withColumn("_block", F.floor(F.col("_bit") / BLOCK_BITS))
+    blocks = blocks.select(F.col("block").alias("_block"), F.col("bitmap").alias("_bitmap"))
     at = F.pmod("_bit", F.lit(BLOCK_BITS))
-    byte = F.conv(F.hex(F.substring(F.col("bitmap"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bitmap"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     is_set = F.pmod(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))), F.lit(2)) == 1
-    return rows.join(F.broadcast(blocks), "block").where(is_set).drop("_bit", "block", "bitmap")
+    return rows.join(F.broadcast(blocks), "_block", "left").withColumn(flag, F.coalesce(is_set, F.lit(False))).drop("_bit", "_block", "_bitmap")
+
+
+def may_hold(rows: DataFrame, key: str, blocks: DataFrame) -> DataFrame:
+    """The rows whose key the filter may hold: all that are in it, and a few more."""
+    return flagged(rows, key, blocks, "_held").where("_held").drop("_held")
+
+
+def without(rows: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
+    """The rows whose key is not among keys(key), in which nulls name nothing.
+
+    A filter parts the rows that cannot be among them: these, mostly all, are not shuffled.
+    """
+    keys = stored(keys.select(key).where(F.col(key).isNotNull()).distinct(), name)
+    seen = flagged(rows, key, stored(membership_filter(keys, key), f"{name}-filter"), "_held")
+    doubtful = seen.where("_held").drop("_held").join(keys, key, "left_anti")
+    return seen.where("not _held").drop("_held").unionByName(doubtful)

@@ -109,6 +109,29 @@ def _near(documents: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFram
     return near.where(F.levenshtein("line", "other", 1) >= 0).select("h1", "h2").distinct()
 
 
+def _dropped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id_, doc_, gone, n_exact, n_near): the positions of dropped lines of each document that has any."""
+    documents = _documents(docs, id_col, text_col)
+    pos = F.struct(F.col("id").isNull().alias("last"), "id", "doc", "at")
+    lines = stored(_lines(documents, "id", "doc").select("id", "doc", "at", "h1", "h2", "n", _halves().alias("halves")), "lines")
+    firsts = stored(lines.groupBy("h1", "h2").agg(F.min(pos).alias("first"), F.count("*").alias("times")), "line-firsts")
+    near = stored(_near(documents, lines, firsts).withColumn("near", F.lit(True)), "line-near")
+    decided = firsts.join(near, ["h1", "h2"], "left").where("times > 1 or near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    dropped = lines.withColumn("pos", pos).join(decided, ["h1", "h2"]).where("near or first < pos")
+    return (
+        dropped.select("id", "doc", "at", (F.col("first") < F.col("pos")).alias("exact"))
+        .distinct()
+        .groupBy("id", "doc")
+        .agg(F.collect_set("at").alias("gone"), F.count_if("exact").alias("n_exact"), F.count_if(~F.col("exact")).alias("n_near"))
+        .withColumnsRenamed({"id": "id_", "doc": "doc_"})
+    )
+
+
+def _rest(text: Column) -> Column:
+    left = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains("gone", i))
+    return F.when(F.col("gone").isNull(), text).otherwise(F.concat_ws("\n", left))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_lines, n_exact, n_near, text): a row for each input row, its text without the dropped lines.
 
@@ -119,28 +142,23 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     and get the same result. Null ids come after all others. An empty table gives no rows. Other columns
     are ignored. The work for a line that may have a partner grows with the square of its length.
     """
+    dropped = _dropped(docs, id_col, text_col)
     documents = _documents(docs, id_col, text_col)
-    pos = F.struct(F.col("id").isNull().alias("last"), "id", "doc", "at")
-    lines = stored(_lines(documents, "id", "doc").select("id", "doc", "at", "h1", "h2", "n", _halves().alias("halves")), "lines")
-    firsts = stored(lines.groupBy("h1", "h2").agg(F.min(pos).alias("first"), F.count("*").alias("times")), "line-firsts")
-    near = stored(_near(documents, lines, firsts).withColumn("near", F.lit(True)), "line-near")
-    decided = firsts.join(near, ["h1", "h2"], "left").where("times > 1 or near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    dropped = (
-        lines.withColumn("pos", pos)
-        .join(decided, ["h1", "h2"])
-        .where("near or first < pos")
-        .select("id", "doc", "at", (F.col("first") < F.col("pos")).alias("exact"))
-        .distinct()
-        .groupBy("id", "doc")
-        .agg(F.collect_set("at").alias("gone"), F.count_if("exact").alias("n_exact"), F.count_if(~F.col("exact")).alias("n_near"))
-        .select("doc", F.col("id").alias("id_"), "gone", "n_exact", "n_near")
-    )
-    left = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("gone", i))
-    same = documents.join(dropped, (documents["doc"] == dropped["doc"]) & documents["id"].eqNullSafe(dropped["id_"]), "left")
+    same = documents.join(dropped, (F.col("doc") == F.col("doc_")) & F.col("id").eqNullSafe(F.col("id_")), "left")
     return same.select(
         F.col("id").alias(id_col),
         F.size(F.split("text", "\n")).cast("long").alias("n_lines"),
         F.coalesce("n_exact", F.lit(0)).cast("long").alias("n_exact"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.concat_ws("\n", left)).alias("text"),
+        _rest(F.col("text")).alias("text"),
     )
+
+
+def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with all columns and the remaining text; a document whose every word was dropped goes."""
+    dropped = _dropped(docs, id_col, text_col)
+    keyed = docs.withColumn("_doc", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    same = keyed.join(dropped, (F.col("_doc") == F.col("doc_")) & F.col(id_col).eqNullSafe(F.col("id_")), "left")
+    rest = same.withColumn("_rest", _rest(F.col(text_col)))
+    left = rest.where(F.col("gone").isNull() | (F.length(F.regexp_replace("_rest", SPACE, "")) > 0))
+    return left.select(*(F.col("_rest").alias(c) if c == text_col else F.col(c) for c in docs.columns))

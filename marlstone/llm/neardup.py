@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import may_hold, membership_filter, stored
+from .common import may_hold, membership_filter, stored, without
 from .components import components
 from .shingles import shingle_sets
 
@@ -223,6 +223,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """The rows of docs, with all columns, whose id is the smallest of its component.
+
+    An id of several rows stays if one of them would; rows without an id stay.
+    """
+    judged = near_duplicates(docs, id_col, text_col, percent)
+    gone = judged.groupBy(id_col).agg(F.bool_or("kept").alias("kept")).where(~F.col("kept"))
+    return without(docs, gone, id_col, "near-gone")
+
+
 def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataFrame:
     """Confirmed links(a, b) between nodes: not all of them, but enough that components are whole."""
     values = nodes.select("node", F.explode("sketch").alias("v"))

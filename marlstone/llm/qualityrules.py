@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CHARS, let, stored, words
+from .common import SPACE, SPACE_CHARS, let, stored, without, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -92,9 +92,27 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Null text has no words and fails. A null host is a host like any other. Rows that repeat host and text
     count once across documents; each still gets its row. An empty table gives no rows. Other columns are ignored.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), text.alias("text"))
-    rows = rows.withColumn("doc", F.xxhash64("text"))
+    judged = _judged(docs, id_col, text_col, host_col, max_docs, per_mille, depleted)
+    return judged.select(
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words", "kept"
+    )
+
+
+def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """The rows of docs, with all columns, that quality_rules() keeps."""
+    judged = _judged(docs, id_col, text_col, host_col, MAX_DOCS, MAX_DOCS_PER_MILLE, DEPLETED_PERCENT)
+    # the verdict depends on host and text alone
+    rejected = judged.where(~F.col("kept")).select(F.xxhash64("host", "doc").alias("_key"))
+    return without(docs.withColumn("_key", F.xxhash64(*_host_and_doc(text_col, host_col))), rejected, "_key", "rules-rejected").drop("_key")
+
+
+def _host_and_doc(text_col: str, host_col: str) -> tuple[Column, Column]:
+    return F.coalesce(F.col(host_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, per_mille: int, depleted: int) -> DataFrame:
+    host, doc = _host_and_doc(text_col, host_col)
+    rows = docs.select(F.col(id_col).alias("id"), host.alias("host"), doc.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counts = stored(base_counts(rows, F.col("text"), F.col("id"), F.col("host"), F.col("doc")), "rules-counts")
     # lines of a document in one pass: hashes, words of each, and the two smallest hashes
     raw = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0)
@@ -118,7 +136,4 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     out = counts.join(taken, ["host", "doc"], "left").withColumn("n_frequent_words", F.coalesce("frequent", F.lit(0)).cast("long"))
     gone = F.col("n_frequent_words") * 100 >= F.col("n_words") * depleted
-    return out.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_frequent_words",
-        (~F.col("base_failed") & ~gone).alias("kept"),
-    )
+    return out.withColumn("kept", ~F.col("base_failed") & ~gone)
