@@ -6,11 +6,11 @@ lower-cased, with each run of white space as one space, trimmed; lines under MIN
 are left alone, as short lines lie within an edit of each other by chance.
 
 1. Exact: lines meet by a 128-bit hash, with partial aggregation.
-2. Who can have a partner: two lines within one edit agree in their first p or their last p
-   characters, p being under half the length, and their lengths differ by one at most. Lines that
-   share no such half with another line of a fitting length have no partner; no variant of them is made.
-3. Deletion neighbourhood: each remaining distinct line emits hashed keys of all its one-character
-   deletions. Lines that agree after deleting the character at the same position are a substitution
+2. Who can have a partner: two lines within one edit, the shorter of n characters, agree in the first
+   n / 2 of them or in the last n - n / 2. Lines that share no such half with another line of a fitting
+   length have no partner; no variant of them is made.
+3. Deletion neighbourhood: each remaining distinct line emits hashed keys of its one-character
+   deletions, all but those in a half that must agree. Lines that agree after deleting the character at the same position are a substitution
    apart; a line that equals a deletion of another is an insertion apart. So one minimum for each key
    (the earliest line under it) decides for all lines under it, and no pairs are made within a group.
 4. The edit distance of a line and its witness is verified on the texts.
@@ -27,7 +27,8 @@ MIN_CHARS = 32
 
 
 def normalised_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), SPACE, " "))
+    clean = F.when(line.rlike("[\t-\r]|  "), F.regexp_replace(line, SPACE, " ")).otherwise(line)
+    return F.trim(F.lower(clean))
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -42,34 +43,40 @@ def _lines(documents: DataFrame, *keep: str) -> DataFrame:
     return lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(7), "line")).withColumn("n", F.length("line"))
 
 
-def _half(n: Column) -> Column:
-    """The largest power of two under half of n: the halves' length."""
-    return F.pow(F.lit(2), F.floor(F.log2((n - 1) / 2))).cast("int")
+def _halves() -> Column:
+    """Four hashes: first and last half as the shorter (or equal) of two lines, then as the longer."""
+    line, n = F.col("line"), F.col("n")
 
+    def pair(short: Column) -> list[Column]:
+        front = F.floor(short / 2).cast("int")
+        back = short - front
+        return [F.xxhash64(F.lit(1), short, F.substring(line, F.lit(1), front)), F.xxhash64(F.lit(2), short, F.substring(line, n - back + 1, back))]
 
-def _halves() -> Column:
-    """Hashes of both halves, for this length's p, and at a border of p for its neighbours' too."""
-    out = []
-    for p in (_half(F.col("n")), _half(F.col("n") - 1), _half(F.col("n") + 1)):
-        fits = (p * 2 + 1 <= F.col("n")) if out else F.lit(True)
-        out += [F.when(fits, F.xxhash64(F.lit(1), p, F.substring(F.col("line"), F.lit(1), p))), F.when(fits, F.xxhash64(F.lit(2), p, F.substring(F.col("line"), F.col("n") - p + 1, p)))]
-    at_border = (_half(F.col("n")) != _half(F.col("n") - 1)) | (_half(F.col("n")) != _half(F.col("n") + 1))
-    return F.when(at_border, F.array_compact(F.array_distinct(F.array(*out)))).otherwise(F.array(*out[:2]))
+    return F.array(*pair(n), *pair(n - 1))
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
-    """(h1, h2, swap, longer, shorter): what partner a line may have, for lines that may have one."""
-    half = lines.select("h1", "h2", "n", F.explode("halves").alias("half"))
-    slots = half.select("h1", "h2", F.explode(F.array(F.struct(F.xxhash64("half", "n").alias("k"), F.lit(False).alias("short")), F.struct(F.xxhash64("half", F.col("n") + 1).alias("k"), F.lit(True).alias("short")))).alias("s")).select("h1", "h2", "s.*")
-    own = F.when(~F.col("short"), F.col("h1"))
-    met = slots.groupBy("k").agg(F.min(own).alias("low"), F.max(own).alias("high"), F.bool_or("short").alias("has_short"))
-    met = stored(met.where("low is not null and (low <> high or has_short)"), "line-halves")
+    """(h1, h2, n, low, high, swap, longer, shorter) of lines that may have a partner.
+
+    Only deletions at positions low to high can make them meet; swap: with a line of the same length,
+    longer and shorter: this one is the longer or the shorter of the two.
+    """
+    slots = lines.select("h1", "h2", "n", F.posexplode("halves").alias("which", "k"))
+    own = F.when(F.col("which") < 2, F.col("h1"))
+    met = slots.groupBy("k").agg(F.min(own).alias("one"), F.max(own).alias("two"), F.bool_or(F.col("which") >= 2).alias("has_longer"))
+    met = stored(met.where("one is not null and (one <> two or has_longer)"), "line-halves")
     near = may_hold(slots, "k", stored(membership_filter(met, "k"), "line-filter")).join(met, "k")
+    is_own, front = F.col("which") < 2, F.col("which") % 2 == 0
+    cuts = ~is_own | (F.col("one") != F.col("two"))
+    middle = F.floor(F.col("n") / 2).cast("int")
     return stored(
-        near.groupBy("h1", "h2").agg(
-            F.bool_or(~F.col("short") & (F.col("low") != F.col("high"))).alias("swap"),
-            F.bool_or(~F.col("short") & F.col("has_short")).alias("longer"),
-            F.bool_or("short").alias("shorter"),
+        near.groupBy("h1", "h2", "n").agg(
+            # where the fronts agree the deletion is behind them, and the other way about
+            F.min(F.when(cuts, F.when(front, middle).otherwise(1))).alias("low"),
+            F.max(F.when(cuts, F.when(front, F.col("n")).otherwise(middle + 1))).alias("high"),
+            F.bool_or(is_own & (F.col("one") != F.col("two"))).alias("swap"),
+            F.bool_or(~is_own).alias("longer"),
+            F.bool_or(is_own & F.col("has_longer")).alias("shorter"),
         ),
         "line-candidates",
     )
@@ -82,7 +89,7 @@ def _keys(texts: DataFrame) -> DataFrame:
     becomes by a deletion (2).
     """
     left, right = F.substring(F.col("line"), F.lit(1), F.col("i") - 1), F.substring(F.col("line"), F.col("i") + 1, F.col("n"))
-    cut = texts.where("swap or longer").select("*", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("i"))
+    cut = texts.where("swap or longer").select("*", F.explode(F.sequence("low", "high")).alias("i"))
     swap = F.when(F.col("swap"), F.struct(F.xxhash64(F.col("i"), left, F.lit("\n"), right).alias("k"), F.lit(0).alias("role")))
     drop = F.when(F.col("longer"), F.struct(F.xxhash64(F.concat(left, right)).alias("k"), F.lit(2).alias("role")))
     cut = cut.select("h1", "h2", "first", F.explode(F.array(swap, drop)).alias("s")).where("s is not null")
@@ -92,9 +99,12 @@ def _keys(texts: DataFrame) -> DataFrame:
 
 def _near(documents: DataFrame, lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line within one edit."""
-    wanted = _candidates(lines)
-    found = may_hold(_lines(documents).select("h1", "h2", "line", "n"), "h1", stored(membership_filter(wanted, "h1"), "line-filter"))
-    texts = found.groupBy("h1", "h2").agg(F.first("line").alias("line"), F.first("n").alias("n")).join(wanted, ["h1", "h2"]).join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
+    wanted = _candidates(lines).join(firsts.select("h1", "h2", "first"), ["h1", "h2"])
+    wanted = stored(wanted, "line-wanted")
+    # texts come from the documents of first occurrences
+    holders = stored(membership_filter(wanted.select(F.col("first.doc").alias("doc")), "doc"), "line-filter")
+    found = may_hold(_lines(may_hold(documents, "doc", holders), "doc").select("h1", "h2", "line"), "h1", stored(membership_filter(wanted, "h1"), "line-filter"))
+    texts = found.groupBy("h1", "h2").agg(F.first("line").alias("line")).join(wanted, ["h1", "h2"])
     texts = stored(texts, "line-texts")
     keys = _keys(texts)
     who = F.struct("first", "h1", "h2")
