@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import dataclasses
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 from ..errors import SpecError
@@ -52,7 +53,7 @@ class ColumnSpec:
     aggregate: str | None = None
     custom_sql: str | None = None
     formula: str | None = None
-    cases: list[dict] = field(default_factory=list)
+    cases: list[dict] = dataclasses.field(default_factory=list)
     separator: str = ","
     order_by: Path | None = None
     visible: bool = True
