@@ -14,7 +14,8 @@ One hash function orders all shingles. Each distinct set keeps its SKETCH smalle
    where members of different components meet. Variants of one text that are too far from each other
    to be linked differ in rare shingles, and so do not meet at all.
 4. Before exact work, the Jaccard similarity is estimated on the sketch of the union, with a margin
-   of more than four standard deviations.
+   of more than four standard deviations. A parity sketch (each shingle flips one of PARITY bits) bounds the
+   symmetric difference from below, so it rejects without any chance of a loss.
 5. Candidates are confirmed by exact Jaccard similarity of full sets, rebuilt from the whole texts.
 
 A link at the threshold is lost only if two sets share fewer than NEED of SKETCH values: binomial with
@@ -43,6 +44,7 @@ NEED = 17
 SHORT = 32
 #: Width of a band of set sizes, as a ratio.
 BAND = 1.03
+PARITY = 1024
 #: Members that are verified against one copy of their hub's set.
 CHUNK = 256
 
@@ -53,6 +55,7 @@ _SKETCHED = T.StructType(
         T.StructField("node", T.LongType()),
         T.StructField("set2", T.LongType()),
         T.StructField("sketch", T.ArrayType(T.LongType(), False)),
+        T.StructField("odd", T.ArrayType(T.LongType(), False)),
     ]
 )
 
@@ -63,6 +66,18 @@ def set_digest(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """PARITY bits, as int64: each member of the set flips one."""
+    bits = np.bincount((s >> 24) & (PARITY - 1), minlength=PARITY) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _close(na: Column, nb: Column, oa: Column, ob: Column, percent: int) -> Column:
+    """The parity sketches allow the threshold: flipped bits are at most the symmetric difference."""
+    flips = F.aggregate(F.zip_with(oa, ob, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
+    return flips <= F.floor((na + nb) * (100 - percent) / (100 + percent))
+
+
 def _texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
@@ -80,7 +95,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
 
 
 def _sketch_batches(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("set2", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("set2", pa.int64()), ("sketch", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
@@ -88,7 +103,7 @@ def _sketch_batches(width: int):
             digests = [set_digest(s) if len(s) else (None, None) for s in sets]
             kept = [s[:SKETCH] for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), _lists(kept)],
+                [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), _lists(kept), _lists([parity(s) for s in sets])],
                 schema=schema,
             )
 
@@ -112,11 +127,12 @@ def _need(n: Column, percent: int) -> Column:
 
 
 def _promising(percent: int) -> Column:
-    """On columns na, nb, sa, sb: the sizes allow the threshold, and so does the sketch of the union."""
+    """On columns na, nb, sa, sb, oa, ob: the sizes allow the threshold, and so do both sketches."""
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, SKETCH)
     met = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     small = F.greatest("na", "nb") <= SKETCH
+    sizes = sizes & _close(F.col("na"), F.col("nb"), F.col("oa"), F.col("ob"), percent)
     return sizes & F.when(small, met * 100 >= F.size(F.array_union("sa", "sb")) * F.lit(percent) - 100 * (F.size(F.array_union("sa", "sb")) - F.size(union))).otherwise(met >= NEED)
 
 
@@ -157,7 +173,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs(a, b) of members(node, comp) of different components that can reach the threshold: a prefix join.
+    """Pairs(a, b) of members(node, comp, odd) of different components that can reach the threshold: a prefix join.
 
     In the order rarest first, let position be a shingle's place in a set of n. Two sets whose first common
     shingle has positions p and q share min(n - p, m - q) + 1 at most, and must share (n + m) percent / (100 + percent).
@@ -169,21 +185,21 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = elements.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     order = F.array_sort(F.collect_list(F.struct("df", "v")))
     # shingles of one set alone come first in the order: they only shift positions
-    rare = elements.join(common, "v").groupBy("node").agg(order.alias("common")).join(held.select("node", "n", "comp"), "node")
-    rows = rare.select("node", "n", "comp", F.posexplode(F.slice("common", 1, F.greatest(F.lit(0), F.ceil(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("common"))).cast("int"))).alias("i", "at"), F.size("common").alias("c"))
-    rows = rows.select("node", "n", "comp", F.col("at.v").alias("v"), (F.col("n") - F.col("c") + F.col("i") + 1).alias("p"))
+    rare = elements.join(common, "v").groupBy("node").agg(order.alias("common")).join(held.select("node", "n", "comp", "odd"), "node")
+    rows = rare.select("node", "n", "comp", "odd", F.posexplode(F.slice("common", 1, F.greatest(F.lit(0), F.ceil(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("common"))).cast("int"))).alias("i", "at"), F.size("common").alias("c"))
+    rows = rows.select("node", "n", "comp", "odd", F.col("at.v").alias("v"), (F.col("n") - F.col("c") + F.col("i") + 1).alias("p"))
     rows = rows.withColumn("most", F.least("n", F.floor((F.col("n") - F.col("p") + 1) * (100 + percent) / percent) - F.col("n")))
     band = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BAND)))
     least = F.ceil(F.col("n") * percent / 100)
-    larger = rows.where(F.col("most") >= least).select("v", F.explode(F.sequence(band(least), band(F.col("most")))).alias("band"), *(F.col(c).alias(f"{c}b") for c in ("node", "n", "comp", "p")))
-    smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p")))
+    larger = rows.where(F.col("most") >= least).select("v", F.explode(F.sequence(band(least), band(F.col("most")))).alias("band"), *(F.col(c).alias(f"{c}b") for c in ("node", "n", "comp", "p", "odd")))
+    smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p", "odd")))
     larger, smaller = stored(larger, "near-larger"), stored(smaller, "near-smaller")
     both = larger.select("v", "band", F.col("compb").alias("comp")).unionByName(smaller.select("v", "band", F.col("compa").alias("comp")))
     mixed = both.groupBy("v", "band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "band")
     share = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     met = smaller.join(mixed, ["v", "band"]).join(larger, ["v", "band"])
-    met = met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share)
+    met = met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share).where(_close(F.col("na"), F.col("nb"), F.col("odda"), F.col("oddb"), percent))
     return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
@@ -202,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filled = sketched.where("n > 0")
     # distinct sets; copies meet here by partial aggregation and go no further
     nodes = stored(
-        filled.groupBy("node", "set2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")),
+        filled.groupBy("node", "set2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("odd").alias("odd")),
         "near-nodes",
     )
     links = _links(base, nodes, percent, width)
@@ -238,18 +254,18 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     values = nodes.select("node", F.explode("sketch").alias("v"))
     shared = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     mine = values.join(shared, "v")
-    ranked = mine.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared")).join(nodes.select("node", "rep", "n", "sketch"), "node")
+    ranked = mine.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared")).join(nodes.select("node", "rep", "n", "sketch", "odd"), "node")
     lists = stored(
         # of the shared values, all but the NEED - 1 most frequent
-        ranked.select("node", "rep", "n", "sketch", F.explode(F.slice("shared", 1, F.greatest(F.lit(0), F.size("shared") - _need(F.col("n"), percent) + 1).cast("int"))).alias("at"))
-        .select("node", "rep", "n", "sketch", F.col("at.v").alias("v")),
+        ranked.select("node", "rep", "n", "sketch", "odd", F.explode(F.slice("shared", 1, F.greatest(F.lit(0), F.size("shared") - _need(F.col("n"), percent) + 1).cast("int"))).alias("at"))
+        .select("node", "rep", "n", "sketch", "odd", F.col("at.v").alias("v")),
         "near-lists",
     )
-    heads = lists.groupBy("v").agg(F.min(F.struct("node", "n", "sketch")).alias("head"), F.count("*").alias("members")).where("members > 1")
+    heads = lists.groupBy("v").agg(F.min(F.struct("node", "n", "sketch", "odd")).alias("head"), F.count("*").alias("members")).where("members > 1")
     stars = (
         lists.join(heads, "v")
         .where("node <> head.node")
-        .select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb"), F.col("head.sketch").alias("sa"), F.col("sketch").alias("sb"))
+        .select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb"), F.col("head.sketch").alias("sa"), F.col("sketch").alias("sb"), F.col("head.odd").alias("oa"), F.col("odd").alias("ob"))
         .where(_promising(percent))
         .select("a", "b")
         .distinct()
@@ -267,9 +283,9 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     open_lists = members.groupBy("v").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "members")
     left = members.join(open_lists, "v")
     short = left.where(F.col("members") <= SHORT)
-    side = lambda x: short.select("v", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("comp").alias(f"c{x}"))
+    side = lambda x: short.select("v", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("odd").alias(f"o{x}"), F.col("comp").alias(f"c{x}"))
     pairs = side("a").join(side("b"), "v").where("a < b and ca <> cb").where(_promising(percent)).select("a", "b")
-    long = stored(left.where(F.col("members") > SHORT).select("node", "comp").distinct(), "near-long")
+    long = stored(left.where(F.col("members") > SHORT).select("node", "comp", "odd").distinct(), "near-long")
     pairs = pairs.unionByName(_full_pairs(long, sets, percent))
     pairs = stored(pairs.distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
     second = stored(_confirmed(pairs, sets, percent), "near-links")
