@@ -7,27 +7,28 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Letters that count as one, two forms each; ZWNJ counts as a space, direction marks as nothing.
-_FORMS = "يكىةأإؤ"
-_FOLDED = "یکیهااو"
-_ZWNJ, _MARKS = "‌", "‎‏"
+#: Seven letters and the forms that they fold to; ZWNJ counts as a space, direction marks as nothing.
+_LETTERS, _FOLDED = "\u064a\u0649\u0643\u0624\u0623\u0625\u0622", "\u06cc\u06cc\u06a9\u0648\u0627\u0627\u0627"
+#: The two letters that searches fold.
+_TWO, _TWO_FOLDED = "\u064a\u0643", "\u06cc\u06a9"
+_ZWNJ, _MARKS = "\u200c", "\u200f\u200e"
 _UNICODE_SPACE = r"(?U)\s+"
 
 
 def fold_match(c: Column) -> Column:
     """Key for matching names: seven letters folded, ZWNJ a space, marks gone, spaces collapsed, trimmed, lower-cased."""
-    letters = F.translate(c, _FORMS + _ZWNJ + _MARKS, _FOLDED + " ")
+    letters = F.translate(c, _LETTERS + _ZWNJ + _MARKS, _FOLDED + " ")
     return F.lower(F.trim(F.regexp_replace(letters, _UNICODE_SPACE, " ")))
 
 
 def fold_search(c: Column) -> Column:
-    """Key for searching: two letters folded, lower-cased; spaces stay."""
-    return F.lower(F.translate(c, "يك", "یک"))
+    """Key for searching: two letters folded, case folded; spaces stay."""
+    return F.replace(F.translate(F.lower(c), _TWO + "\u03c2", _TWO_FOLDED + "\u03c3"), F.lit("\u00df"), F.lit("ss"))
 
 
 def fold_caption(c: Column) -> Column:
-    """Key for captions: letters folded, ZWNJ a space, spaces collapsed and trimmed; case stays."""
-    return F.trim(F.regexp_replace(F.translate(c, _FORMS + _ZWNJ, _FOLDED + " "), _UNICODE_SPACE, " "))
+    """Key for captions: two letters folded, ZWNJ a space, spaces collapsed and trimmed, lower-cased."""
+    return F.trim(F.regexp_replace(F.translate(F.lower(c), _TWO + _ZWNJ, _TWO_FOLDED + " "), _UNICODE_SPACE, " "))
 
 
 def tokens(c: Column) -> Column:
@@ -55,7 +56,7 @@ def months_between_stamps(a: Column, b: Column) -> Column:
 
 
 #: Names of columns, and of keys in text, that hold secrets; and what replaces them.
-SENSITIVE = r"(?i)(password|pwd|secret|token|apikey|api_key|connectionstring)"
+SENSITIVE = r"(?i)(password|pwd|secret|token|hash|credential|connectionstring)"
 _SECRET = r"(?i)(\b(?:password|pwd|secret|apikey|api_key|token|connectionstring)\s*)=\s*[^;\s\"']+"
 REDACTED = "***REDACTED***"
 
@@ -74,34 +75,39 @@ def masked(c: Column, name: str) -> Column:
     return F.when(F.length(c.cast("string")) > 0, F.lit(REDACTED))
 
 
-#: Fixed value: longer strings are not classified.
+#: Longer strings are not classified; then the patterns of each class, statements and table names.
 MAX_CLASSIFIED = 4000
-_SQL = r"(?is)^\s*(select\s.+\sfrom\s|insert\s+into\s|update\s+\S+\s+set\s|delete\s+from\s|merge\s+into\s|exec(ute)?\s)"
+_SQL = (
+    r"(?is)\b(SELECT\s+.+?\s+FROM\s|INSERT\s+INTO\s|UPDATE\s+\w+\s+SET\s|DELETE\s+FROM\s|CREATE\s+(TABLE|VIEW|INDEX|PROCEDURE)\s|"
+    r"ALTER\s+TABLE\s|DROP\s+(TABLE|INDEX)\s|TRUNCATE\s+TABLE\s|MERGE\s+INTO\s|EXEC(UTE)?\s+\w)"
+)
+_URL = r"^(https?|ftp|net\.tcp|tcp)://"
+_PATH = r"^[A-Za-z]:\\|^\\\\|^/[a-z]+/"
+_FILE = r"(?i)^[\w.]+\.(dll|exe|config|xml|mrt|json|zip|metaexport)$"
+_TABLE = r"^(Met_|MET_|met_|Spl_|SPL_|spl_|Shr_|sec_|Sec_|m0[12]_|dyn_|Ver_|ulog_|xapp_)\w+$"
+_KEY = r"^[A-Za-z][\w.]{2,60}$"
+_OPERATION = r"(?i)^\s*\(*\s*(SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|TRUNCATE|MERGE|EXECUTE|EXEC)\b"
+_AFTER = r"(?i)\b(?:FROM|JOIN|INTO|UPDATE|TABLE)\s+\[?([A-Za-z_][\w$.]*)\]?"
+_NOT_TABLES = ("SELECT", "WHERE", "AND", "OR", "SET")
 
 
 def classify(c: Column) -> Column:
-    """sql, url, path, fileName, table, typeOrConfigKey or other: the first that fits."""
-    rules = [
-        ("sql", c.rlike(_SQL)),
-        ("url", c.rlike(r"(?i)^(https?|ftp|net\.tcp)://\S+$")),
-        ("path", c.rlike(r"^([A-Za-z]:\\|\\\\|\.{0,2}/)\S+$")),
-        ("fileName", c.rlike(r"^[\w\- .]+\.[A-Za-z0-9]{1,5}$")),
-        ("table", c.rlike(r"(?i)^(\[?dbo\]?\.)?\[?[a-z]{2,5}_[a-z0-9_]+\]?$")),
-        ("typeOrConfigKey", c.rlike(r"^[A-Za-z_]\w*([.:][A-Za-z_]\w*)+$")),
-    ]
+    """sql, url, path, fileName, table, typeOrConfigKey or other: the first that fits; NULL stays NULL."""
+    rules = [("sql", c.rlike(_SQL)), ("url", c.rlike(_URL)), ("path", c.rlike(_PATH)), ("fileName", c.rlike(_FILE)), ("table", c.rlike(_TABLE)), ("typeOrConfigKey", c.rlike(_KEY) & F.contains(c, F.lit(".")))]
     first = F.when(F.length(c) > MAX_CLASSIFIED, "other")
     return reduce(lambda w, r: w.when(r[1], r[0]), rules, first).when(c.isNotNull(), "other")
 
 
 def sql_operation(c: Column) -> Column:
-    """select, insert, update, delete, merge or exec; NULL if the text is no statement."""
-    return F.when(c.rlike(_SQL), F.lower(F.regexp_extract(c, r"(?i)^\s*(select|insert|update|delete|merge|exec)", 1)))
+    """The statement's verb in capitals, UNKNOWN if another word leads; NULL if the text holds no statement."""
+    verb = F.upper(F.regexp_extract(c, _OPERATION, 1))
+    return F.when(c.rlike(_SQL), F.when(verb == "", "UNKNOWN").otherwise(verb))
 
 
 def sql_tables(c: Column) -> Column:
-    """Sorted distinct names after from, join, into and update."""
-    names = F.regexp_extract_all(c, F.lit(r"(?i)\b(?:from|join|into|update)\s+\[?([A-Za-z_][\w.]*)\]?"), 1)
-    return F.array_sort(F.array_distinct(names))
+    """Sorted distinct names after FROM, JOIN, INTO, UPDATE and TABLE; NULL if the text holds no statement."""
+    names = F.regexp_extract_all(c, F.lit(_AFTER), 1)
+    return F.when(c.rlike(_SQL), F.array_sort(F.filter(F.array_distinct(names), lambda n: ~F.upper(n).isin(*_NOT_TABLES))))
 
 
 def acceptance_ids(c: Column) -> Column:
@@ -112,7 +118,8 @@ def acceptance_ids(c: Column) -> Column:
 def front_matter(c: Column) -> Column:
     """Text between the first two --- fences; NULL without them."""
     parts = F.split(c, r"(?m)^---\s*$", 3)
-    return F.when((F.size(parts) == 3) & (F.trim(parts[0]) == ""), F.trim(parts[1]))
+    trim = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
+    return F.when((F.size(parts) == 3) & (trim(parts[0]) == ""), trim(parts[1]))
 
 
 def first_non_empty(*cols: Column) -> Column:

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 #: Confidence levels from strong to weak, and the family of each kind of source; a user's word has none.
-LEVELS = ("CrossVerified", "Verified", "Inferred", "Conflicting", "Unknown")
-FAMILIES = {"assembly": "binary", "il": "binary", "resource": "binary", "sample": "export", "dataset": "export", "artifact": "export", "document": "docs", "markdown": "docs", "config": "config", "settings": "config", "inference": "inference"}
+LEVELS = ("CrossVerified", "Verified", "Observed", "Inferred", "Unknown")
+FAMILIES = {
+    "AssemblyMetadata": "binary", "IL": "binary", "CallGraph": "binary", "StringLiteral": "binary", "SQLLiteral": "binary", "DecompiledCode": "binary",
+    "ExportSample": "sample", "MRTSample": "sample", "ExporterCode": "exchangeCode", "ImporterCode": "exchangeCode", "ConfigLiteral": "config", "Inference": "inference",
+}
 
 
 def rank(level: Column) -> Column:

@@ -272,7 +272,7 @@ def _path_prefixes(spark, d):
 _SECRET = r"(?i)(\b(?:password|pwd|secret|apikey|api_key|token|connectionstring)\s*)=\s*[^;\s""'']+"
 
 
-@_query("fold_keys", "select c_custkey, lower(trim(regexp_replace(c_name, '\\s+', ' ', 'g'))) as match_key, lower(c_name) as search_key, trim(regexp_replace(c_name, '\\s+', ' ', 'g')) as caption_key from customer")
+@_query("fold_keys", "select c_custkey, lower(trim(regexp_replace(c_name, '\\s+', ' ', 'g'))) as match_key, lower(c_name) as search_key, lower(trim(regexp_replace(c_name, '\\s+', ' ', 'g'))) as caption_key from customer")
 def _fold_keys(spark, d):
     c = F.col("c_name")
     return _read(spark, d, "customer").select("c_custkey", t.fold_match(c).alias("match_key"), t.fold_search(c).alias("search_key"), t.fold_caption(c).alias("caption_key"))
@@ -283,7 +283,7 @@ def _redact(spark, d):
     return _read(spark, d, "documents").select("doc_id", F.md5(t.redact(F.coalesce("text", F.lit("")))).alias("redacted"))
 
 
-@_query("classify_strings", r"""select page_id, case when regexp_matches(url, '(?i)^(https?|ftp|net\.tcp)://\S+$') then 'url' else 'other' end as url_kind, 'other' as html_kind from pages""")
+@_query("classify_strings", r"""select page_id, case when regexp_matches(url, '^(https?|ftp|net\.tcp|tcp)://') then 'url' else 'other' end as url_kind, 'other' as html_kind from pages""")
 def _classify(spark, d):
     return _read(spark, d, "pages").select("page_id", t.classify(F.col("url")).alias("url_kind"), t.classify(F.substring("html", 1, 200)).alias("html_kind"))
 
@@ -291,7 +291,7 @@ def _classify(spark, d):
 _STATEMENTS = "select p_partkey, p_size, case p_partkey % 4 when 0 then 'SELECT a FROM met_part_' || p_size || ' JOIN dbo.met_b ON x' when 1 then 'update met_c set n = ' || p_size when 2 then 'insert into met_d values (1)' else p_name end as s from part"
 
 
-@_query("sql_fragments", f"select p_partkey, case p_partkey % 4 when 0 then 'select' when 1 then 'update' when 2 then 'insert' end as operation, case p_partkey % 4 when 0 then 'dbo.met_b,met_part_' || p_size when 1 then 'met_c' when 2 then 'met_d' else '' end as tables from ({_STATEMENTS})")
+@_query("sql_fragments", f"select p_partkey, case p_partkey % 4 when 0 then 'SELECT' when 1 then 'UPDATE' when 2 then 'INSERT' end as operation, case p_partkey % 4 when 0 then 'dbo.met_b,met_part_' || p_size when 1 then 'met_c' when 2 then 'met_d' end as tables from ({_STATEMENTS})")
 def _sql_fragments(spark, d):
     _read(spark, d, "part").createOrReplaceTempView("_marlstone_part")
     s = spark.sql(_STATEMENTS.replace(" from part", " from _marlstone_part"))
@@ -496,20 +496,20 @@ def _upsert(spark, d):
 
 # Evidence
 
-_KINDS = "case event_type when 'view' then 'assembly' when 'click' then 'sample' when 'purchase' then 'document' else 'inference' end"
+_KINDS = "case event_type when 'view' then 'IL' when 'click' then 'ExportSample' when 'purchase' then 'ConfigLiteral' else 'Inference' end"
 
 
 def _evidence(spark, d):
-    kind = F.when(F.col("event_type") == "view", "assembly").when(F.col("event_type") == "click", "sample").when(F.col("event_type") == "purchase", "document").otherwise("inference")
+    kind = F.when(F.col("event_type") == "view", "IL").when(F.col("event_type") == "click", "ExportSample").when(F.col("event_type") == "purchase", "ConfigLiteral").otherwise("Inference")
     return _read(spark, d, "events").select("user_id", kind.alias("kind"), "event_id", "event_type")
 
 
-@_query("confidence_levels", f"with e as (select user_id, {_KINDS} as k from events), g as (select user_id, count(distinct case when k <> 'inference' then k end) as families, bool_or(k = 'inference') as guessed from e group by 1) select user_id, case when families >= 2 then 'CrossVerified' when families = 1 then 'Verified' when guessed then 'Inferred' else 'Unknown' end as confidence, families from g")
+@_query("confidence_levels", f"with e as (select user_id, {_KINDS} as k from events), g as (select user_id, count(distinct case when k <> 'Inference' then k end) as families, bool_or(k = 'Inference') as guessed from e group by 1) select user_id, case when families >= 2 then 'CrossVerified' when families = 1 then 'Verified' when guessed then 'Inferred' else 'Unknown' end as confidence, families from g")
 def _confidence(spark, d):
     return evidence.confidence(_evidence(spark, d), ["user_id"], "kind")
 
 
-@_query("weakest_link", "select user_id, case max(case event_type when 'view' then 1 when 'click' then 2 when 'purchase' then 3 else 5 end) when 1 then 'CrossVerified' when 2 then 'Verified' when 3 then 'Inferred' else 'Unknown' end as confidence from events group by 1")
+@_query("weakest_link", "select user_id, case max(case event_type when 'view' then 1 when 'click' then 2 when 'purchase' then 4 else 5 end) when 1 then 'CrossVerified' when 2 then 'Verified' when 4 then 'Inferred' else 'Unknown' end as confidence from events group by 1")
 def _weakest(spark, d):
     level = F.when(F.col("event_type") == "view", "CrossVerified").when(F.col("event_type") == "click", "Verified").when(F.col("event_type") == "purchase", "Inferred").otherwise("other")
     return evidence.weakest(_read(spark, d, "events").withColumn("level", level), ["user_id"], "level")
@@ -680,7 +680,7 @@ def _content_hash(spark, d):
     return _read(spark, d, "documents").groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
 
 
-@_query("sniff_content", "select page_id, case when starts_with(ltrim(html), '<') then 'XML' else 'Unknown' end as physical from pages")
+@_query("sniff_content", "select page_id, case when starts_with(ltrim(html), '<') then 'XML' else 'Binary' end as physical from pages")
 def _sniff(spark, d):
     return _read(spark, d, "pages").select("page_id", formats.sniff(F.encode("html", "utf-8")).alias("physical"))
 

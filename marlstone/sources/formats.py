@@ -20,7 +20,9 @@ _MANIFEST = ("format", "profileVersion", "createdAt", "source")
 
 
 def discover(spark: SparkSession, *roots: str, glob: str | None = None) -> DataFrame:
-    """(path, length, content, extension, kind) of all files under the roots; a file under two roots comes once."""
+    """(path, length, content, extension, kind) of all files under the roots; a file under two roots comes once.
+
+    Spark's reader leaves out files without a byte."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -51,8 +53,7 @@ def sniff(content: Column) -> Column:
         .when(head.startswith("4D5A"), "PE")
         .when(text.startswith("7B") | text.startswith("5B"), "JSON")
         .when(text.startswith("3C"), "XML")
-        .when(head.rlike("^(..)*(0[0-8BCEF]|1[0-9A-F])"), "Binary")
-        .otherwise("Unknown")
+        .otherwise("Binary")
     )
 
 

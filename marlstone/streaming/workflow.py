@@ -9,21 +9,25 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: States, the transitions that each allows, and those in which a task holds no scope.
+#: The transitions that each state allows, and the states in which a task holds no scope. From blocked
+#: a task may also return to the state before it.
 EDGES = {
-    "new": ["specifying", "cancelled"],
-    "specifying": ["ready", "blocked", "cancelled"],
-    "ready": ["planning", "blocked", "cancelled"],
-    "planning": ["review", "blocked", "cancelled"],
-    "review": ["approved", "planning", "blocked", "cancelled"],
-    "approved": ["applying", "blocked", "cancelled"],
-    "applying": ["verifying", "failed", "blocked"],
-    "verifying": ["integrated", "failed", "blocked"],
-    "failed": ["planning", "cancelled"],
+    "new": ["architecture", "blocked", "cancelled"],
+    "architecture": ["ready", "needs-clarification", "needs-investigation", "blocked", "cancelled"],
+    "needs-clarification": ["architecture", "new", "cancelled", "abandoned"],
+    "needs-investigation": ["architecture", "blocked"],
+    "ready": ["implementing", "blocked", "cancelled"],
+    "implementing": ["review", "failed", "architecture", "blocked"],
+    "review": ["approved", "rejected", "failed", "blocked"],
+    "rejected": ["implementing", "architecture", "blocked"],
+    "failed": ["architecture", "blocked"],
+    "approved": ["integrating", "blocked"],
+    "integrating": ["integrated", "conflict", "blocked", "implementing", "architecture"],
+    "conflict": ["implementing", "blocked"],
+    "blocked": ["cancelled", "abandoned"],
 }
 BACK = "blocked"
-TERMINAL = ("integrated", "cancelled", "abandoned")
-RELEASED = ("integrated", "cancelled", "abandoned")
+TERMINAL = RELEASED = ("integrated", "cancelled", "abandoned")
 EVENT_SCHEMA = "at timestamp, task string, event string, `from` string, `to` string, note string, _corrupt string"
 
 
@@ -47,7 +51,7 @@ def edge_rows(spark: SparkSession, edges: dict[str, list[str]] | None = None) ->
 
 
 def transitions(events: DataFrame, key: str, state: str, order: list[str], edges: DataFrame, back: str | None = None) -> DataFrame:
-    """events with previous state and legal: whether the edge is known; from back a task may only return to the state before it.
+    """events with previous state and legal: whether the edge is known; from back a task may also return to the state before it.
 
     The first event of a key is legal. A key's events are ordered by one task; a key is one task's history.
     """
@@ -57,7 +61,7 @@ def transitions(events: DataFrame, key: str, state: str, order: list[str], edges
     j = seen.join(known, (F.col("previous") == F.col("_s")) & (F.col(state) == F.col("_d")), "left")
     legal = F.col("previous").isNull() | F.col("_k").isNotNull()
     if back:
-        legal = F.when(F.col("previous") == back, F.col(state).eqNullSafe(F.col("before"))).otherwise(legal)
+        legal = F.when(F.col("previous") == back, legal | F.col(state).eqNullSafe(F.col("before"))).otherwise(legal)
     return j.withColumn("legal", legal).drop("_s", "_d", "_k", "before")
 
 
@@ -80,7 +84,7 @@ def sessions(events: DataFrame, key: str, at: str, gap: str = "10 minutes") -> D
 def run_state_machine(stream: DataFrame, edges: dict[str, list[str]] | None = None) -> DataFrame:
     """(task, at, state, accepted, reason): each event judged in the order of arrival, with the state kept for each task.
 
-    An illegal transition is reported and changes nothing. blocked leads back to the state before it only.
+    An illegal transition is reported and changes nothing. blocked also leads back to the state before it.
     """
     edges = EDGES if edges is None else edges
     out = "task string, at timestamp, state string, accepted boolean, reason string"
@@ -92,10 +96,8 @@ def run_state_machine(stream: DataFrame, edges: dict[str, list[str]] | None = No
             for at, to in f.sort_values("at")[["at", "to"]].itertuples(index=False):
                 if now is None:
                     ok = to == "new"
-                elif now == BACK:
-                    ok = to == before
                 else:
-                    ok = to in edges.get(now, ()) or to == BACK and now not in TERMINAL
+                    ok = to in edges.get(now, ()) or now == BACK and to == before
                 rows.append((key[0], at, to, ok, None if ok else f"{now} -> {to}"))
                 if ok:
                     now, before = to, now
