@@ -136,3 +136,14 @@ def first_clash(scopes: DataFrame, id_col: str, entries_col: str, pos_col: str)
 def ranked(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group in order; groups must be small enough for one task."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
+
+
+def ranked_first(df: DataFrame, key: str, value: str, most: int) -> DataFrame:
+    """(key, first): the most smallest distinct values of each key, sorted; a frequent key never gathers in one task.
+
+    Values are dealt into slices by hash; each slice keeps its own smallest, and those are few.
+    """
+    slices = 64
+    part = df.select(key, value).where(F.col(value).isNotNull()).distinct().withColumn("_s", F.pmod(F.xxhash64(value), F.lit(slices)))
+    few = part.withColumn("_rn", F.row_number().over(Window.partitionBy(key, "_s").orderBy(value))).where(F.col("_rn") <= most)
+    return few.groupBy(key).agg(F.slice(F.array_sort(F.collect_list(value)), 1, most).alias("first"))

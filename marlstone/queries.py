@@ -700,5 +700,147 @@ def _trimmed(spark, d):
     return sinks.trimmed(_read(spark, d, "nation").select("n_regionkey", "n_name"), "n_regionkey", ["n_name"], 3)
 
 
+# More of the inventory
+
+_report(
+    "cond_text_search_any",
+    {"entity": "part", "columns": _PART, "condition": {"field": "p_name", "operator": "advancedTextSearch2", "value": "17 18"}},
+    "select p_partkey, p_name from part where list_has_any(string_split_regex(lower(p_name), '\\s+'), ['17', '18'])",
+    allow_text_search=True,
+)
+_report(
+    "role_mapping",
+    {"entity": "orders", "columns": [{"field": "o_orderdate", "alias": "start"}, {"field": {"items": ["#customer", "#c_name"]}, "alias": "owner"}, {"field": "o_orderkey", "alias": "title"}], "calendar": {"start": "start", "owner": "owner"}},
+    "select o_orderdate as start, c_name as owner, o_orderkey as title from orders left join customer on o_custkey = c_custkey",
+)
+_report(
+    "ignored_columns",
+    {"entity": "orders", "columns": [*_ORDER, {"field": "o_totalprice", "alias": "p"}], "ignoreColumns": ["p"], "additionalWhere": "o_orderstatus = 'P'"},
+    "select o_orderkey, o_orderpriority as priority from orders where o_orderstatus = 'P'",
+)
+_report(
+    "grid_grouping_keeps_rows",
+    {"entity": "orders", "columns": _ORDER, "gridGrouping": ["priority"], "condition": {"field": "o_orderstatus", "operator": "equal", "value": "P"}},
+    "select o_orderkey, o_orderpriority as priority from orders where o_orderstatus = 'P'",
+)
+_report(
+    "relation_key_as_value",
+    {"entity": "orders", "columns": [{"field": "o_orderkey", "alias": "k"}, {"field": "#customer", "alias": "customer"}, {"field": {"items": ["customer", {"self": True}]}, "alias": "customer_id"}]},
+    "select o_orderkey as k, o_custkey as customer, c_custkey as customer_id from orders left join customer on o_custkey = c_custkey",
+)
+
+
+@_query("heterogeneous_tree", "select 'region' as kind, 0 as level, r_name as name from region union all select 'nation', 1, n_name from nation union all select 'customer', 2, c_name from customer")
+def _hetero(spark, d):
+    parts = [("region", "r_name"), ("nation", "n_name"), ("customer", "c_name")]
+    return reduce(DataFrame.unionByName, (_read(spark, d, e).select(F.lit(e).alias("kind"), F.lit(i).alias("level"), F.col(c).alias("name")) for i, (e, c) in enumerate(parts)))
+
+
+@_query("path_descendants", "select r_name || '/' || n_name as path from nation join region on n_regionkey = r_regionkey where starts_with(r_name || '/' || n_name, 'ASIA/')")
+def _descendants(spark, d):
+    p = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    return p.select(F.concat_ws("/", "r_name", "n_name").alias("path")).where(F.startswith("path", F.lit("ASIA/")))
+
+
+@_query("inverted_index", "select l_suppkey as callee, string_agg(distinct l_returnflag, ',' order by l_returnflag) as callers from lineitem group by 1")
+def _inverted(spark, d):
+    return _read(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("callee")).agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("callers"))
+
+
+@_query("argmax", "select o_custkey, arg_max(o_orderkey, (o_totalprice, o_orderkey)) as largest from orders group by 1")
+def _argmax(spark, d):
+    return _read(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("largest"))
+
+
+@_query("bounded_sites", "select p_type as literal, array_to_string(list_sort(list(p_partkey))[1:8], ',') as sites, count(*) as n from part where length(p_type) between 1 and 8000 group by 1")
+def _sites(spark, d):
+    p = _read(spark, d, "part").where(F.length("p_type").between(1, 8000)).select(F.col("p_type").alias("literal"), "p_partkey")
+    # the eight smallest are chosen before they are gathered, so a frequent literal stays eight values
+    few = match.ranked_first(p, "literal", "p_partkey", 8)
+    return few.join(p.groupBy("literal").agg(F.count("*").alias("n")), "literal").select("literal", F.array_join("first", ",").alias("sites"), "n")
+
+
+@_query("owned_index", "select p_partkey, p_brand from part where regexp_matches(p_brand, '^(Brand#1|Brand#2)') and not regexp_matches(p_name, '^(get_|set_)')")
+def _owned(spark, d):
+    return _read(spark, d, "part").where(F.col("p_brand").rlike("^(Brand#1|Brand#2)") & ~F.col("p_name").rlike("^(get_|set_)")).select("p_partkey", "p_brand")
+
+
+@_query("domain_tags", "select t as term, count(distinct p_partkey) as types from (values ('1'), ('2'), ('33')) v(t), part where contains(lower(p_name), t) group by 1")
+def _domains(spark, d):
+    terms = ["1", "2", "33"]
+    name = F.lower("p_name")
+    hits = F.array_compact(F.array(*(F.when(F.contains(name, F.lit(x)), x) for x in terms)))
+    return _read(spark, d, "part").select("p_partkey", F.explode(hits).alias("term")).groupBy("term").agg(F.count_distinct("p_partkey").alias("types"))
+
+
+@_query("obfuscation_ratio", "select p_brand, round(count(*) filter (p_size > 25) / count(*), 3) as ratio from part group by 1")
+def _obfuscation(spark, d):
+    return _read(spark, d, "part").groupBy("p_brand").agg(t.ratio(F.count_if(F.col("p_size") > 25), F.count("*")).alias("ratio"))
+
+
+@_query("vocabulary_pairs", "select event_type as ai_value, (user_id % 4)::varchar as legacy_value, count(*) as n from events group by 1, 2")
+def _vocabulary(spark, d):
+    e = _read(spark, d, "events")
+    a, b = e.select("event_id", F.col("event_type").alias("ai_value")), e.select("event_id", (F.col("user_id") % 4).cast("string").alias("legacy_value"))
+    return a.join(b, "event_id").groupBy("ai_value", "legacy_value").agg(F.count("*").alias("n"))
+
+
+@_query("system_counts", "select n_nationkey as system, coalesce(c.n, 0) as artifact, coalesce(s.n, 0) as legacy, case when n_regionkey < 3 then coalesce(c.n, 0) = coalesce(s.n, 0) end as agrees from nation left join (select c_nationkey k, count(*) n from customer group by 1) c on c.k = n_nationkey left join (select s_nationkey k, count(*) n from supplier group by 1) s on s.k = n_nationkey")
+def _systems(spark, d):
+    n = _read(spark, d, "nation")
+    count = lambda e, k, name: _read(spark, d, e).groupBy(F.col(k).alias("n_nationkey")).agg(F.count("*").alias(name))
+    j = n.join(count("customer", "c_nationkey", "artifact"), "n_nationkey", "left").join(count("supplier", "s_nationkey", "legacy"), "n_nationkey", "left")
+    a, b = F.coalesce("artifact", F.lit(0)), F.coalesce("legacy", F.lit(0))
+    return j.select(F.col("n_nationkey").alias("system"), a.alias("artifact"), b.alias("legacy"), F.when(F.col("n_regionkey") < 3, a == b).alias("agrees"))
+
+
+@_query("acceptance_ids", "select doc_id, case when doc_id % 3 = 0 then 'AC-' || (doc_id % 4) || ',AC-9' else 'AC-9' end as ids from documents")
+def _acceptance(spark, d):
+    k = F.col("doc_id")
+    text = F.concat(F.lit("see AC-9, "), F.when(k % 3 == 0, F.concat(F.lit("AC-"), k % 4, F.lit(" and AC-9"))).otherwise(F.lit("")))
+    return _read(spark, d, "documents").select("doc_id", F.array_join(t.acceptance_ids(text), ",").alias("ids"))
+
+
+@_query("identity_states", "select o_orderkey, case when o_orderstatus = 'P' then 'unreported' when o_orderstatus = 'F' then 'match' else 'mismatch' end as state from orders")
+def _identity(spark, d):
+    o = _read(spark, d, "orders")
+    return o.select("o_orderkey", audit.same_identity(F.when(F.col("o_orderstatus") != "P", F.lower("o_orderstatus")), F.lit("F")).alias("state"))
+
+
+@_query("difference_kinds", "select event_id, case when event_id % 4 = 0 then 'notComparable' when event_id % 4 = 1 then 'outsideScopePossible' when event_id % 3 = 0 then 'versionDrift' else 'difference' end as kind from events")
+def _kinds(spark, d):
+    k = F.col("event_id")
+    scope = F.when(k % 4 == 0, "disjoint").when(k % 4 == 1, "partial").otherwise("exact")
+    return _read(spark, d, "events").select("event_id", match.difference_kind(F.lit("missing"), scope, k % 3 != 0).alias("kind"))
+
+
+@_query("snapshot_diff", "select s_suppkey as id, 'changed' as change, '$.balance' as path from supplier where s_suppkey % 10 = 0")
+def _snapshot(spark, d):
+    s = _read(spark, d, "supplier")
+    doc = lambda balance: s.select("s_suppkey", F.to_json(F.struct(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"), balance.alias("balance"))).alias("doc"))
+    old, new = doc(F.lit(1)), doc(F.when(F.col("s_suppkey") % 10 == 0, 2).otherwise(1))
+    return jsonwalk.structural_diff(old, new, "s_suppkey", "doc").select("id", "change", "path")
+
+
+@_query("consumed_once", "select user_id, event_type, min(event_id) as first_id from events group by 1, 2")
+def _consumed(spark, d):
+    return _read(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first_id"))
+
+
+@_query("header_findings", "select c_custkey as batch_id, 'lint' as gate, null::bigint as pos, 'profileVersion must be 15' as message, 'error' as severity from customer where c_custkey % 4 = 0 union all select c_custkey, 'lint', null, 'no changes', 'error' from customer where c_custkey % 5 = 0")
+def _headers(spark, d):
+    k = F.col("c_custkey")
+    h = _read(spark, d, "customer").select(k.alias("batch_id"), F.when(k % 4 == 0, 14).otherwise(15).alias("profileVersion"), F.lit("Stop").alias("errorPolicy"), F.when(k % 5 == 0, 0).otherwise(3).alias("n_changes"))
+    return batch.header_findings(h)
+
+
+@_query("promotion_audit", "select event_type from (select event_type, max(case when user_id % 2 = 0 then 4 else 1 end) as s from events group by 1) where s = 4")
+def _promotion(spark, d):
+    e = _read(spark, d, "events")
+    src = evidence.weakest(e.withColumn("level", F.when(F.col("user_id") % 2 == 0, "Inferred").otherwise("CrossVerified")), ["event_type"], "level")
+    pub = e.select("event_type").distinct().withColumn("confidence", F.lit("CrossVerified"))
+    return evidence.promotions(pub, src, "event_type").select("event_type")
+
+
 def entry(spark: SparkSession, d: str) -> DataFrame:
     return QUERIES["path_join_4hop"](spark, d)
