@@ -6,7 +6,8 @@ taken out, and documents that keep too little are rejected as depleted.
 
 A template or menu line stands in documents that have little else in common, while copies of one
 document repeat all their lines together. Copies are not the business of these rules: documents
-whose smallest line hash (the line in question aside) is the same count as one document.
+whose smallest line hash (the line in question aside) is the same count as one document, and a document
+of which the line makes up half or more doesn't count for it.
 """
 
 from __future__ import annotations
@@ -119,13 +120,14 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs
     per_line = F.transform(raw, lambda x: F.struct(F.xxhash64(normalised_line(x)).alias("line"), F.size(words(x)).alias("w")))
     hashed = rows.select("host", "doc", per_line.alias("lines"))
     small = hashed.withColumn("low", F.slice(F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"]))), 1, 2))
+    whole = F.aggregate("lines", F.lit(0), lambda a, x: a + x["w"])
     family = F.when(F.col("at.line") == F.get("low", F.lit(0)), F.get("low", F.lit(1))).otherwise(F.get("low", F.lit(0)))
     lines = stored(
-        small.select("host", "doc", "low", F.explode("lines").alias("at")).select("host", "doc", F.col("at.line").alias("line"), F.col("at.w").alias("w"), family.alias("family")),
+        small.select("host", "doc", "low", whole.alias("words"), F.explode("lines").alias("at")).select("host", "doc", F.col("at.line").alias("line"), F.col("at.w").alias("w"), family.alias("family"), (F.col("at.w") * 2 < F.col("words")).alias("minor")),
         "rules-lines",
     )
     hosts = counts.groupBy("host").agg(F.count("*").alias("docs"))
-    frequent = stored(frequent_lines(lines, hosts, max_docs, per_mille), "rules-frequent")
+    frequent = stored(frequent_lines(lines.where("minor"), hosts, max_docs, per_mille), "rules-frequent")
     # equal texts of a host are one document here: its lines carry the number of its rows
     taken = (
         lines.join(frequent, ["host", "line"])
