@@ -1,6 +1,7 @@
 """Walks over JSON documents of unknown shape, as VARIANT values: paths, types, owners, differences.
 
-A walk is a loop over depth: each step explodes the objects and arrays of the level before, all documents at once.
+A walk is a loop over depth: each step explodes the objects and arrays of the level before, all documents at once,
+and writes the next level, so that no level is worked out twice.
 """
 
 from __future__ import annotations
@@ -48,10 +49,11 @@ def walk(docs: DataFrame, id_col: str, json_col: str, max_depth: int = MAX_DEPTH
         inner = inner.withColumn("owner", F.coalesce(mine, "owner"))
         inner.createOrReplaceTempView("_marlstone_level")
         # the table function of SQL is the one that takes a column of each row
-        level = docs.sparkSession.sql(
+        below = docs.sparkSession.sql(
             "select l.id, case when l.type = 'object' then concat(l.path, '.', e.key) else concat(l.path, '[*]') end as path, "
-            "l.depth + 1 as depth, e.key as key, l.owner as owner, e.value as v from _marlstone_level l, lateral variant_explode(l.v) e"
+            "l.depth + 1 as depth, e.key as key, l.owner as owner, to_json(e.value) as v from _marlstone_level l, lateral variant_explode(l.v) e"
         )
+        level = stored(below, "walk").withColumn("v", F.parse_json("v"))
     return out
 
 

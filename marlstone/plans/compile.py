@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 
 from ..catalog import Catalog, Relation
 from ..errors import SpecError, UnsupportedSemantics
+from ..operators.hierarchy import descend
+from ..operators.tables import stored
 from .conditions import Bindings, is_leaf, predicate
 from .customsql import screened
 from .spec import ColumnSpec, Path, ReportSpec, load
@@ -154,7 +156,8 @@ def _finish(out: DataFrame, spec: ReportSpec) -> DataFrame:
 
 def _row_numbers(out: DataFrame, order: list[Column]) -> DataFrame:
     """Consecutive numbers in order, without one task for all rows: range partitions number their own rows after the counts before."""
-    ranged = out.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    # written once: two readings of a range partitioning may draw different bounds
+    ranged = stored(out.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "row-numbers")
     local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     counts = ranged.groupBy("_part").count()
     # a row for each partition, not for each row of data
@@ -383,8 +386,6 @@ def _apply_detail(src: _Source, spec: ReportSpec, bind: Bindings) -> None:
 
 
 def _tree(catalog: Catalog, spec: ReportSpec, bind: Bindings) -> DataFrame:
-    from ..operators.hierarchy import descend
-
     src = _Source(catalog, spec.entity)
     parent = Path.of(spec.get("selfReferencingField"))
     rows = src.df.select(*(e.alias(c.alias) for c, e in ((c, _expression(src, c, bind)) for c in spec.columns)), F.col(f"`{src.root.id}`").alias("_id"), src.column(parent).alias("_parent"))

@@ -619,7 +619,7 @@ def _latest(spark, d):
     return workflow.latest(_read(spark, d, "conversations"), "conv_id", F.col("turn"), ["turn", "role"])
 
 
-@_query("event_sessions")
+@_query("event_sessions", "with e as (select user_id, ts, case when lag(ts) over w is null or ts > lag(ts) over w + interval 10 minute then 1 else 0 end as new from events window w as (partition by user_id order by ts)), s as (select user_id, ts, sum(new) over (partition by user_id order by ts rows unbounded preceding) as n from e) select user_id, min(ts) as start, max(ts) + interval 10 minute as end, count(*) as events from s group by user_id, n")
 def _sessions(spark, d):
     return workflow.sessions(_read(spark, d, "events"), "user_id", "ts")
 
