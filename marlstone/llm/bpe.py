@@ -1,8 +1,8 @@
 """BPE encoding and decoding of whole texts, with tree concatenation for long unsplit text.
 
-A text is cut where the tokenizer's own splitting makes both sides independent (beside white space), and
-the ids of each distinct piece are kept in a bounded cache. A piece of over LEAF characters has no such
-cut: it is encoded by tree concatenation. Its leaves are encoded on their own, in one parallel batch, and
+Texts are encoded whole, many at once. A text with a run of over LEAF characters without a place where the
+tokenizer's own splitting makes both sides independent (beside white space) is cut at such places, and each
+longer piece is encoded by tree concatenation. Its leaves are encoded on their own, in one parallel batch, and
 neighbouring parts are joined pairwise: a window around the join is encoded anew, and grows until, on
 both sides, it agrees with the parts' own tokens for a run of AGREE tokens at the same places. Beyond that,
 every two neighbouring tokens stand next to each other in an exact encoding, which makes the whole exact.
@@ -13,9 +13,9 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +25,6 @@ LEAF = 1024
 #: First window on each side of a join, in characters; it doubles.
 WINDOW = 64
 AGREE = 4
-#: Entries of a worker's cache; a full one starts anew.
-CACHE = 200_000
 
 Token = tuple[int, int, int]
 
@@ -102,26 +100,31 @@ def encode_long(tok, text: str, leaf: int = LEAF) -> list[int]:
 
 
 class Coder:
-    """Ids of whole texts as little-endian unsigned 32-bit integers, through a cache of pieces."""
+    """Ids of whole texts as arrays of unsigned 32-bit integers."""
 
     def __init__(self, path: str, leaf: int = LEAF) -> None:
         self.tok, self.leaf = load(path), leaf
-        self.ids: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def learn(self, pieces: set[str]) -> dict[str, list[int]]:
-        """Make sure that every piece is in the cache; gives the new ones' ids."""
-        new = [p for p in pieces if p not in self.ids]
-        if len(self.ids) + len(new) > CACHE:
-            self.ids, self.words = {}, {}
-            new = list(pieces)
-        short = [p for p in new if len(p) <= self.leaf]
-        found = [e.ids for e in self.tok.encode_batch(short, add_special_tokens=False)]
-        found += [encode_long(self.tok, p, self.leaf) for p in new if len(p) > self.leaf]
-        long = [p for p in new if len(p) > self.leaf]
-        fresh = dict(zip(short + long, found, strict=True))
-        self.ids.update((p, struct.pack(f"<{len(ids)}I", *ids)) for p, ids in fresh.items())
-        return fresh
+
+    def split(self, text: str) -> list[str]:
+        """Pieces that are encoded independently of each other."""
+        raise NotImplementedError
+
+    def is_long(self, text: str) -> bool:
+        """The text may have a piece of over leaf characters."""
+        raise NotImplementedError
+
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        long = [self.is_long(t) for t in texts]
+        plain = iter(self.plain([t for t, x in zip(texts, long, strict=True) if not x]))
+        return [np.array(self.in_pieces(t) if x else next(plain), "<u4") for t, x in zip(texts, long, strict=True)]
+
+    def in_pieces(self, text: str) -> list[int]:
+        pieces = self.split(text)
+        short = iter(self.plain([p for p in pieces if len(p) <= self.leaf]))
+        return [i for p in pieces for i in (next(short) if len(p) <= self.leaf else encode_long(self.tok, p, self.leaf))]
 
 
 _ODD = re.compile("[\x1c-\x1f]")
@@ -131,51 +134,64 @@ _BLANKS = re.compile("[ \t\r\n]+")
 class WordCoder(Coder):
     """For tokenizers that drop white space: pieces are the runs without it."""
 
-    @staticmethod
-    def split(text: str) -> list[str]:
+    def __init__(self, path: str, leaf: int = LEAF) -> None:
+        super().__init__(path, leaf)
+        self.tokens = [(self.tok.id_to_token(i) or "").encode() for i in range(self.tok.get_vocab_size())]
+
+    def split(self, text: str) -> list[str]:
         # str.split() knows four separators that the tokenizer's pattern does not count as white space
         return text.split() if not _ODD.search(text) else [p for p in _BLANKS.split(text) if p]
 
+    def is_long(self, text: str) -> bool:
+        return len(text) > self.leaf and max(map(len, self.split(text)), default=0) > self.leaf
+
     def encode_decode(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
-        """For each text its ids and, in UTF-8, the decoded text.
+        """For each text its ids, little-endian, and the decoded text in UTF-8.
 
-        Without a decoder the tokenizer joins tokens by a space, so pieces decode on their own.
+        The tokenizer has no decoder of its own, which means tokens joined by a space, special ones too.
         """
-        split = [self.split(t) for t in texts]
-        fresh = self.learn(set().union(*split))
-        for (p, ids), text in zip(fresh.items(), self.tok.decode_batch(list(fresh.values()), skip_special_tokens=False), strict=True):
-            self.words[p] = (" " + text).encode() if ids else b""
-        ids, words = self.ids.__getitem__, self.words.__getitem__
-        for pieces in split:
-            yield b"".join(map(ids, pieces)), b"".join(map(words, pieces))[1:]
+        token = self.tokens.__getitem__
+        for ids in self.encode(texts):
+            yield ids.tobytes(), b" ".join(map(token, ids.tolist()))
 
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: Fixed value: how byte-level tokenizers of this kind split a text.
+_BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def _byte_of() -> dict[str, int]:
+    """Byte-level vocabularies write printable bytes as they are, and the others, in order, from U+0100 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
 class ByteCoder(Coder):
-    """For byte-level tokenizers, where a word takes the space before it."""
+    """For byte-level tokenizers, where a word takes the space before it.
+
+    Their ids are the ranks of their merges, so a faster library gives the same ids from the same file.
+    """
+
+    def __init__(self, path: str, leaf: int = LEAF) -> None:
+        super().__init__(path, leaf)
+        import tiktoken
+
+        byte_of = _byte_of()
+        special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
+
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        return [self.fast.encode(t, allowed_special="all") for t in texts]
 
     def split(self, text: str) -> list[str]:
-        """Pieces that make up the text; each but the first begins with a space or is or follows a newline."""
-        out: list[str] = []
-        for line in text.split("\n"):
-            ws = line.split(" ")
-            if not line or " ".join(line.split()) != line:
-                first, *rest = _BETWEEN.split(text)
-                return [first, *(" " + w for w in rest)]
-            if out:
-                out.append("\n")
-            out.append(ws[0])
-            out += [" " + w for w in ws[1:]]
-        return out
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        split = [self.split(t) if t else [] for t in texts]
-        self.learn(set().union(*split))
-        ids = self.ids.__getitem__
-        for pieces in split:
-            yield b"".join(map(ids, pieces))
+        """Pieces that make up the text: a cut stands before each single space between other characters."""
+        first, *rest = _BETWEEN.split(text)
+        return [first, *(" " + w for w in rest)]
+
+    def is_long(self, text: str) -> bool:
+        return len(text) > self.leaf and (" " * self.leaf in text or max(map(len, text.split(" "))) > self.leaf)
 
 
 _coders: dict[tuple, Coder] = {}

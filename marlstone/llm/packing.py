@@ -10,6 +10,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,21 +45,21 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(ByteCoder, path)
-        last = end.to_bytes(4, "little")
+        last = np.array([end], "<u4")
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
                 rows = []
                 for doc, x in zip(part.column(0).to_pylist(), c.encode([t or "" for t in part.column(1).to_pylist()]), strict=True):
-                    x += last
-                    n, at = len(x) // 4, 0
+                    x = np.concatenate((x, last))
+                    n, at = len(x), 0
                     for k in lengths(n, length):
-                        piece = x[at * 4 : (at + k) * 4]
+                        piece = x[at : at + k].tobytes()
                         rows.append((doc, at, k, zlib.crc32(piece), n, piece))
                         at += k
                 cols = [pa.array([r[k] for r in rows], fields[k][1]) for k in range(5)]
                 if ids:
-                    cols.append(pa.array([memoryview(r[5]).cast("I").tolist() for r in rows], fields[5][1]))
+                    cols.append(pa.array([np.frombuffer(r[5], "<i4") for r in rows], fields[5][1]))
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     out = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * ids)
