@@ -180,7 +180,8 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     So a row at p meets partners of up to (n - p + 1) (100 + percent) / percent - n shingles only: rows of the larger
     set are sent to the bands of such sizes, rows of the smaller set to their own.
     """
-    held = sets.join(members, "node").withColumn("n", F.size("set").cast("long"))
+    # dealt by hash: sets of one region of the table would fill few tasks with their shingles
+    held = sets.join(members, "node").withColumn("n", F.size("set").cast("long")).repartition("node")
     elements = held.select("node", F.explode("set").alias("v"))
     common = elements.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     order = F.array_sort(F.collect_list(F.struct("df", "v")))
