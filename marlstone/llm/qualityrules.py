@@ -4,10 +4,8 @@ Base rules count within a text. The method counts across texts: lines are normal
 host (the source column) counts the distinct documents that hold a line, lines above the limits are
 taken out, and documents that keep too little are rejected as depleted.
 
-A template or menu line stands in documents that have little else in common, while copies of one
-document repeat all their lines together. Copies are not the business of these rules: documents
-whose smallest line hash (the line in question aside) is the same count as one document, and a document
-of which the line makes up half or more doesn't count for it.
+Documents of a host are distinct if their texts differ: exact copies count as one document, near copies
+as several, since documents that share most of their lines may as well be pages of one template.
 """
 
 from __future__ import annotations
@@ -78,8 +76,8 @@ def normalised_line(line: Column) -> Column:
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, max_docs: int, per_mille: int) -> DataFrame:
-    """(host, line) above the limits; lines(host, line, family), hosts(host, docs)."""
-    counted = lines.groupBy("host", "line", "family").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("docs_with"))
+    """(host, line) above the limits; lines(host, doc, line), hosts(host, docs)."""
+    counted = lines.groupBy("host", "line", "doc").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("docs_with"))
     counted = counted.where(F.col("docs_with") > max_docs)
     return counted.join(hosts, "host").where(F.col("docs_with") * 1000 > F.col("docs") * per_mille).select("host", "line")
 
@@ -115,19 +113,15 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs
     host, doc = _host_and_doc(text_col, host_col)
     rows = docs.select(F.col(id_col).alias("id"), host.alias("host"), doc.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     counts = stored(base_counts(rows, F.col("text"), F.col("id"), F.col("host"), F.col("doc")), "rules-counts")
-    # lines of a document in one pass: hashes, words of each, and the two smallest hashes
+    # lines of a document in one pass: hashes and words of each
     raw = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0)
     per_line = F.transform(raw, lambda x: F.struct(F.xxhash64(normalised_line(x)).alias("line"), F.size(words(x)).alias("w")))
-    hashed = rows.select("host", "doc", per_line.alias("lines"))
-    small = hashed.withColumn("low", F.slice(F.array_sort(F.array_distinct(F.transform("lines", lambda x: x["line"]))), 1, 2))
-    whole = F.aggregate("lines", F.lit(0), lambda a, x: a + x["w"])
-    family = F.when(F.col("at.line") == F.get("low", F.lit(0)), F.get("low", F.lit(1))).otherwise(F.get("low", F.lit(0)))
     lines = stored(
-        small.select("host", "doc", "low", whole.alias("words"), F.explode("lines").alias("at")).select("host", "doc", F.col("at.line").alias("line"), F.col("at.w").alias("w"), family.alias("family"), (F.col("at.w") * 2 < F.col("words")).alias("minor")),
+        rows.select("host", "doc", F.explode(per_line).alias("at")).select("host", "doc", F.col("at.line").alias("line"), F.col("at.w").alias("w")),
         "rules-lines",
     )
     hosts = counts.groupBy("host").agg(F.count("*").alias("docs"))
-    frequent = stored(frequent_lines(lines.where("minor"), hosts, max_docs, per_mille), "rules-frequent")
+    frequent = stored(frequent_lines(lines, hosts, max_docs, per_mille), "rules-frequent")
     # equal texts of a host are one document here: its lines carry the number of its rows
     taken = (
         lines.join(frequent, ["host", "line"])

@@ -166,6 +166,24 @@ def test_depleted(spark):
     assert qualityrules.good_documents(spark.createDataFrame(rows, "doc_id long, source string, text string")).count() == 0
 
 
+def test_template_pages(spark):
+    # distinct documents by text: of many template lines, or of template lines alone
+    rng = random.Random(11)
+    letters = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(n))
+    menu = [letters(5) for _ in range(20)]
+    rows = [(i, "h", "\n".join([letters(3), *menu, letters(3)])) for i in range(60)]
+    only = [letters(6) for _ in range(12)]
+    rows += [(100 + i, "g", "\n".join(rng.sample(only, 12))) for i in range(60)]
+    half = letters(40)  # makes up more than half of each document
+    rows += [(200 + i, "f", f"{half}\n{letters(12)}") for i in range(60)]
+    rows += [(300 + i, "e", "\n".join([letters(30), letters(30)])) for i in range(20)]
+    rows += [(400 + i, "e", rows[-1][2]) for i in range(40)]
+    got = {r.doc_id: r for r in qualityrules.quality_rules(spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    for i, host, text in rows:
+        want = {"h": 100, "g": 72, "f": 40, "e": 0}[host]
+        assert (got[i].n_frequent_words, got[i].kept) == (want, want * 100 < len(text.split()) * 80)
+
+
 def test_license(spark):
     rows = [
         (1, "GNU  General-Public license and Apache License; CC BY, cc by"),
