@@ -122,8 +122,14 @@ def _set_batches(width: int):
 
 
 def _need(n: Column, percent: int) -> Column:
-    """Sketch values that a partner of a set of n shingles shares at least."""
-    return F.when(n <= SKETCH, F.ceil(n * percent / 100)).otherwise(F.lit(NEED))
+    """Sketch values that a partner of a set of n shingles shares at least.
+
+    For n of up to SKETCH it is the least over all partners: the smallest shares all it has, and the largest,
+    where it is above SKETCH, may lack as many of the shared ones in its sketch as it is above.
+    """
+    largest = F.floor(n * 100 / percent)
+    cut = F.ceil((n + largest) * percent / (100 + percent)) - F.greatest(F.lit(0), largest - SKETCH)
+    return F.when(n <= SKETCH, F.least(F.ceil(n * percent / 100), cut)).otherwise(F.lit(NEED))
 
 
 def _promising(percent: int) -> Column:

@@ -84,6 +84,18 @@ def test_near_duplicates(spark, monkeypatch, short):
     assert {r.doc_id for r in rest.collect()} == {i for i, (_, c) in want.items() if c == i}
 
 
+def test_near_duplicates_above_sketch(spark):
+    # sets of 32 shingles inside sets of 37: the larger set's sketch may lack 5 of the 32
+    rng = random.Random(12)
+    texts = {}
+    for i in range(40):
+        w = [f"{rng.choice(WORDS)}{i}x{j}" for j in range(41)]
+        texts[2 * i], texts[2 * i + 1] = " ".join(w), " ".join(w[:36])
+    got = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+    assert all(r.component_id % 2 == 0 for r in got)
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(60)] + [(7, 7), (None, 3)]
