@@ -29,8 +29,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates."""
-    return neardup.first_of_each(docs)
+    """Keeps one document of each group of near duplicates: a Jaccard similarity of 0.8 or more."""
+    return neardup.first_of_each(docs, percent=80)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

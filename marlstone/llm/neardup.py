@@ -18,13 +18,14 @@ One hash function orders all shingles. Each distinct set keeps its SKETCH smalle
    symmetric difference from below, so it rejects without any chance of a loss.
 5. Candidates are confirmed by exact Jaccard similarity of full sets, rebuilt from the whole texts.
 
-A link at the threshold is lost only if two sets share fewer than NEED of SKETCH values: binomial with
-p = 0.85, n = 32, under 1 in 100,000; more similar sets are safer still. Sets of up to SKETCH shingles are exact.
+A link at the threshold is lost only if two sets share fewer than need_of() of SKETCH values: binomial with
+the threshold as p, n = 32, under 1 in 100,000; more similar sets are safer still. Sets of up to SKETCH shingles are exact.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,8 @@ from .components import components
 from .shingles import shingle_sets
 
 SKETCH = 32
-#: Shared values that a pair must have to be compared.
-NEED = 17
+#: A pair at the threshold is missed with this probability at most.
+MISS = 1e-5
 #: Lists up to this length compare all members of different components.
 SHORT = 32
 #: Width of a band of set sizes, as a ratio.
@@ -60,6 +61,17 @@ _SKETCHED = T.StructType(
 )
 
 
+def need_of(percent: int) -> int:
+    """Shared values that a pair must have to be compared: the most that keep the chance of a miss under MISS."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < SKETCH:
+        below += math.comb(SKETCH, k) * p**k * (1 - p) ** (SKETCH - k)
+        if below >= MISS:
+            break
+        k += 1
+    return k
+
+
 def set_digest(s: np.ndarray) -> tuple[int, int]:
     """128 bits of a set: two int64."""
     d = hashlib.blake2b(s.tobytes(), digest_size=16).digest()
@@ -129,7 +141,7 @@ def _need(n: Column, percent: int) -> Column:
     """
     largest = F.floor(n * 100 / percent)
     cut = F.ceil((n + largest) * percent / (100 + percent)) - F.greatest(F.lit(0), largest - SKETCH)
-    return F.when(n <= SKETCH, F.least(F.ceil(n * percent / 100), cut)).otherwise(F.lit(NEED))
+    return F.when(n <= SKETCH, F.least(F.ceil(n * percent / 100), cut)).otherwise(F.lit(need_of(percent)))
 
 
 def _promising(percent: int) -> Column:
@@ -139,7 +151,7 @@ def _promising(percent: int) -> Column:
     sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
     small = F.greatest("na", "nb") <= SKETCH
     sizes = sizes & _close(F.col("na"), F.col("nb"), F.col("oa"), F.col("ob"), percent)
-    return sizes & F.when(small, met * 100 >= F.size(F.array_union("sa", "sb")) * F.lit(percent) - 100 * (F.size(F.array_union("sa", "sb")) - F.size(union))).otherwise(met >= NEED)
+    return sizes & F.when(small, met * 100 >= F.size(F.array_union("sa", "sb")) * F.lit(percent) - 100 * (F.size(F.array_union("sa", "sb")) - F.size(union))).otherwise(met >= need_of(percent))
 
 
 def _verify_batches(percent: int):
@@ -263,7 +275,7 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     mine = values.join(shared, "v")
     ranked = mine.groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "v"))).alias("shared")).join(nodes.select("node", "rep", "n", "sketch", "odd"), "node")
     lists = stored(
-        # of the shared values, all but the NEED - 1 most frequent
+        # of the shared values, all but the need - 1 most frequent
         ranked.select("node", "rep", "n", "sketch", "odd", F.explode(F.slice("shared", 1, F.greatest(F.lit(0), F.size("shared") - _need(F.col("n"), percent) + 1).cast("int"))).alias("at"))
         .select("node", "rep", "n", "sketch", "odd", F.col("at.v").alias("v")),
         "near-lists",

@@ -10,6 +10,7 @@ from collections import Counter
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from marlstone.llm import bpe, components, exactdup, html, license, linededup, neardup, packing, pii, quality, qualityrules
 from marlstone.llm.queries import tokenizer
 
@@ -96,6 +97,24 @@ def test_near_duplicates_above_sketch(spark):
     assert all(r.component_id % 2 == 0 for r in got)
 
 
+def test_near_duplicates_at_80(spark):
+    # one change in a text takes out 5 shingles: similarities from 0.80 to 0.85, and some below
+    assert (neardup.need_of(85), neardup.need_of(80)) == (17, 15)
+    rng = random.Random(13)
+    texts = {}
+    for i in range(60):
+        w = [f"{rng.choice(WORDS)}{i}x{j}" for j in range(rng.choice([36, 44, 50, 56, 60, 110, 160]))]
+        texts[2 * i] = " ".join(w)
+        for k in range(10, len(w) - 10, 50):
+            w[k] = "changed"
+        texts[2 * i + 1] = " ".join(w)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    want, at85 = brute_components(texts, 80), brute_components(texts)
+    assert {i for i, (_, c) in want.items() if c == i} < {i for i, (_, c) in at85.items() if c == i}
+    rest = corpus_pipeline.near_dedup(spark, df, "")
+    assert {r.doc_id for r in rest.collect()} == {i for i, (_, c) in want.items() if c == i}
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(400 + i, 401 + i) for i in range(60)] + [(7, 7), (None, 3)]
