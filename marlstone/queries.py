@@ -285,7 +285,7 @@ def _redact(spark, d):
 
 @_query("classify_strings", r"""select page_id, case when regexp_matches(url, '^(https?|ftp|net\.tcp|tcp)://') then 'url' else 'other' end as url_kind, 'other' as html_kind from pages""")
 def _classify(spark, d):
-    return _read(spark, d, "pages").select("page_id", t.classify(F.col("url")).alias("url_kind"), t.classify(F.substring("html", 1, 200)).alias("html_kind"))
+    return _read(spark, d, "pages").select("page_id", t.classify(F.col("url")).alias("url_kind"), t.classify(F.col("html")).alias("html_kind"))
 
 
 _STATEMENTS = "select p_partkey, p_size, case p_partkey % 4 when 0 then 'SELECT a FROM met_part_' || p_size || ' JOIN dbo.met_b ON x' when 1 then 'update met_c set n = ' || p_size when 2 then 'insert into met_d values (1)' else p_name end as s from part"

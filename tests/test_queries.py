@@ -52,3 +52,15 @@ def test_partitions_do_not_matter(spark):
         assert seen[0] == seen[1]
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_classify_whole_html(spark, tmp_path):
+    late = "select a from b where c = 1 " + "-- filler\n" * 30
+    rows = [(1, "http://a", "x " * 150 + "\n" + late), (2, "http://b", late + "y" * 4000), (3, "u", late)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.html_kind for r in own.QUERIES["classify_strings"](spark, str(tmp_path)).collect()}
+    assert got == {1: "sql", 2: "other", 3: "sql"}
+
+
+def test_classify_against_sql(spark, duck):
+    test_against_sql(spark, duck, "classify_strings")
