@@ -1,4 +1,4 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that driver and all executors share."""
 
 from __future__ import annotations
 
@@ -9,9 +9,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Attribute of a stored table's DataFrame: the folder, until it is freed.
+_PATH = "_marlstone_path"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder where it is unset on one machine, an error on a cluster."""
+    """The folder of spark.checkpoint.dir.
+
+    Where it is unset a local master gets a temporary folder; a cluster gets an error, as its machines would not
+    see each other's files.
+    """
     there = spark.conf.get("spark.checkpoint.dir", None)
     if there:
         return there.rstrip("/")
@@ -22,16 +29,38 @@ def shared_dir(spark: SparkSession) -> str:
     return there
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet to the shared folder and read it again; deleted when the driver's process ends."""
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared store; nothing where the session has ended."""
+    jvm, sc = spark._jvm, spark.sparkContext
+    if jvm is None or sc._jsc is None:
+        return
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone already
+        _remove(spark, path)
+
+
+def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it again: lineage ends there.
+
+    The table outlives lost executors. free() deletes it, or else the end of the driver's process.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
+    atexit.register(_remove_at_exit, spark, path)
+    out = spark.read.schema(df.schema).parquet(path)
+    setattr(out, _PATH, path)
+    return out
 
-    def remove() -> None:
-        with contextlib.suppress(Exception):
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
-    atexit.register(remove)
-    return spark.read.schema(df.schema).parquet(path)
+def free(*tables: DataFrame) -> None:
+    """Delete tables that stored() wrote; no DataFrame that reads them may be used afterwards."""
+    for t in tables:
+        path = getattr(t, _PATH, None)
+        if path:
+            _remove(t.sparkSession, path)
+            delattr(t, _PATH)
