@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import may_hold, membership_filter, stored, without
+from .common import free, may_hold, membership_filter, skew_join, stored, without
 from .components import components
 from .shingles import shingle_sets
 
@@ -280,9 +280,9 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
         .select("node", "rep", "n", "sketch", "odd", F.col("at.v").alias("v")),
         "near-lists",
     )
-    heads = lists.groupBy("v").agg(F.min(F.struct("node", "n", "sketch", "odd")).alias("head"), F.count("*").alias("members")).where("members > 1")
+    heads = stored(lists.groupBy("v").agg(F.min(F.struct("node", "n", "sketch", "odd")).alias("head"), F.count("*").alias("members")).where("members > 1"), "near-heads")
     stars = (
-        lists.join(heads, "v")
+        skew_join(lists, heads, ["v"], "members")
         .where("node <> head.node")
         .select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.n").alias("na"), F.col("n").alias("nb"), F.col("head.sketch").alias("sa"), F.col("sketch").alias("sb"), F.col("head.odd").alias("oa"), F.col("odd").alias("ob"))
         .where(_promising(percent))
@@ -291,9 +291,9 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     )
     stars = stored(stars, "near-stars")
     # sets of all listed documents, rebuilt from whole texts; the filter's few extra rows do no harm
-    listed = lists.select("rep").distinct()
+    listed = stored(lists.select("rep").distinct(), "near-listed")
     sets = stored(
-        may_hold(base, "doc_id", stored(membership_filter(listed, "rep"), "near-filter")).select("text").mapInArrow(_set_batches(width), "node long, set array<long>").join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
+        may_hold(base, "doc_id", membership_filter(listed, "rep", "near-filter")).select("text").mapInArrow(_set_batches(width), "node long, set array<long>").join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
         "near-sets",
     )
     first = stored(_confirmed(stars, sets, percent), "near-links")

@@ -128,6 +128,34 @@ def test_components(spark):
     assert {r.node: r.comp for r in got} == {x: find(x) for x in up}
 
 
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return a == b
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    return max(len(a), len(b)) - i - j <= 1
+
+
+def brute_lines(rows):
+    """Remaining texts: a line with a word goes after an equal one, or, from NEAR_CHARS on, one within an edit."""
+    seen, near, want = set(), [], {}
+    for i, text in rows:
+        kept = []
+        for line in (text or "").split("\n"):
+            n = re.sub(r"[ \t-\r]+", " ", line.lower()).strip(" ")
+            if not n or n not in seen and (len(n) < linededup.NEAR_CHARS or not any(one_edit(n, s) for s in near)):
+                kept.append(line)
+            if n and n not in seen:
+                seen.add(n)
+                near += [n] * (len(n) >= linededup.NEAR_CHARS)
+        want[i] = "\n".join(kept)
+    return want
+
+
 def test_line_dedup(spark):
     rng = random.Random(4)
     lines = [shuffled_text(rng, 8) for _ in range(30)]
@@ -139,34 +167,36 @@ def test_line_dedup(spark):
     rows = []
     for i in range(120):
         body = [rng.choice(lines) for _ in range(3)]
-        body = [near(x) if rng.random() < 0.4 else x for x in body] + ["short one", "  " + rng.choice(lines).upper() + " "]
+        body = [near(x) if rng.random() < 0.4 else x for x in body] + ["short one", "  " + rng.choice(lines).upper() + " ", "", "x", f"short {i}", " \t "]
         rows.append((i, "\n".join(body)))
-    norm = lambda x: re.sub(r"[ \t-\r]+", " ", x.lower()).strip(" ")
-
-    def one_edit(a, b):
-        if abs(len(a) - len(b)) > 1 or a == b:
-            return a == b
-        i = 0
-        while i < min(len(a), len(b)) and a[i] == b[i]:
-            i += 1
-        j = 0
-        while j < min(len(a), len(b)) - i and a[-1 - j] == b[-1 - j]:
-            j += 1
-        return max(len(a), len(b)) - i - j <= 1
-
-    seen, want = [], {}
-    for i, text in rows:
-        kept = []
-        for line in text.split("\n"):
-            n = norm(line)
-            if len(n) < 32 or not any(one_edit(n, s) for s in seen):
-                kept.append(line)
-            if len(n) >= 32:
-                seen.append(n)
-        want[i] = "\n".join(kept)
     got = linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
-    assert {r.doc_id: r.text for r in got} == want
+    assert {r.doc_id: r.text for r in got} == brute_lines(rows)
     assert sum(r.n_near for r in got) > 50
+    assert [r.doc_id for r in got if "short one" in r.text] == [0]  # short lines too, by equality
+
+
+def test_line_dedup_every_place(spark):
+    # every length about the bound and every place of an edit, in lines of few letters, where keys meet a lot
+    rng = random.Random(14)
+    rows, i = [], 0
+    for n in (*range(29, 50), 97):
+        for _ in range(3):
+            base = "".join(rng.choice("ab") for _ in range(n))
+            for p in (0, 1, n // 2 - 1, n // 2, n // 2 + 1, n - 2, n - 1, rng.randrange(n)):
+                for made in (base, base[:p] + base[p + 1 :], base[:p] + "é" + base[p:], base[:p] + "c" + base[p + 1 :]):
+                    if rng.random() < 0.5:
+                        rows.append((i, made))
+                        i += 1
+    got = linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.text for r in got} == brute_lines(rows)
+
+
+def test_line_dedup_long_lines(spark):
+    rng = random.Random(15)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(200_000)).strip()
+    rows = [(1, base), (2, base[:150_000] + base[150_001:]), (3, base[:5] + "é" + base[5:]), (4, base[:-9] + "zz" + base[-9:])]
+    got = {r.doc_id: r.n_near for r in linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 0}
 
 
 def test_quality_rules(spark):
