@@ -1,27 +1,33 @@
 """BPE encoding and decoding of whole texts, with tree concatenation for long unsplit text.
 
-Texts are encoded whole, many at once. A text with a run of over LEAF characters without a place where the
-tokenizer's own splitting makes both sides independent (beside white space) is cut at such places, and each
-longer piece is encoded by tree concatenation. Its leaves are encoded on their own, in one parallel batch, and
-neighbouring parts are joined pairwise: a window around the join is encoded anew, and grows until, on
-both sides, it agrees with the parts' own tokens for a run of AGREE tokens at the same places. Beyond that,
-every two neighbouring tokens stand next to each other in an exact encoding, which makes the whole exact.
+A run is a piece of text without a place where the tokenizer's own splitting makes both sides independent (beside
+white space). Each run is a binary tree: it is halved until a part has LEAF characters or fewer, all leaves are
+encoded on their own, in parallel batches, and the two halves of each node are joined: a window around the
+join is encoded anew, and grows until, on both sides, it agrees with the halves' own tokens for a run of AGREE tokens
+at the same places. Beyond that, every two neighbouring tokens stand next to each other in an exact encoding,
+which makes the whole exact. Most runs are words, trees of one leaf.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
+import unicodedata
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Pieces up to this many characters are encoded as they are.
+#: Characters of a leaf at most.
 LEAF = 1024
+#: Threads that encode the leaves of one tree; the tokenizer releases the interpreter's lock meanwhile.
+THREADS = 2
 #: First window on each side of a join, in characters; it doubles.
 WINDOW = 64
 AGREE = 4
@@ -86,17 +92,29 @@ def _join(tok, text: str, left: list[Token], right: list[Token], at: int, low: i
         reach *= 2
 
 
+def _halves(a: int, b: int, leaf: int) -> list[tuple[int, int]]:
+    """The leaves of text[a:b]: halved until they fit."""
+    if b - a <= leaf:
+        return [(a, b)]
+    m = (a + b) // 2
+    return _halves(a, m, leaf) + _halves(m, b, leaf)
+
+
 def encode_long(tok, text: str, leaf: int = LEAF) -> list[int]:
-    """Ids of a text without a safe cut: leaves in one batch, then joins in a binary tree."""
-    cuts = [*range(0, len(text), leaf), len(text)]
-    parts = [(a, b, _tokens(e, a)) for a, b, e in zip(cuts, cuts[1:], tok.encode_batch([text[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], add_special_tokens=False), strict=False)]
-    while len(parts) > 1:
-        joined = []
-        for i in range(0, len(parts) - 1, 2):
-            (a, m, x), (_, b, y) = parts[i], parts[i + 1]
-            joined.append((a, b, _join(tok, text, x, y, m, a, b)))
-        parts = joined + parts[len(parts) // 2 * 2 :]
-    return [t[0] for t in parts[0][2]] if parts else []
+    """Ids of a run: leaves in parallel batches, then the joins of a binary tree."""
+    leaves = _halves(0, len(text), leaf)
+    shares = [leaves[i::THREADS] for i in range(THREADS)]
+    with ThreadPoolExecutor(THREADS) as pool:
+        done = pool.map(lambda share: tok.encode_batch([text[a:b] for a, b in share], add_special_tokens=False) if share else [], shares)
+    tokens = {part: _tokens(e, part[0]) for share, encodings in zip(shares, done, strict=True) for part, e in zip(share, encodings, strict=True)}
+
+    def node(a: int, b: int) -> list[Token]:
+        if (a, b) in tokens:
+            return tokens.pop((a, b))
+        m = (a + b) // 2
+        return _join(tok, text, node(a, m), node(m, b), m, a, b)
+
+    return [t[0] for t in node(0, len(text))]
 
 
 class Coder:
@@ -131,12 +149,53 @@ _ODD = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\r\n]+")
 
 
+#: Fixed value: how the word tokenizer splits a normalised text, once for ASCII and once for all of Unicode.
+_CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+_ASCII_WORD = re.compile(_CONTRACTIONS + r"|[a-z]+|[0-9]|[^\x09-\x0d\x20a-z0-9]+")
+_WORD = regex.compile(_CONTRACTIONS + r"|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Fixed value: the mark of a word's end in the vocabulary.
+_END = "</w>"
+
+
 class WordCoder(Coder):
-    """For tokenizers that drop white space: pieces are the runs without it."""
+    """For tokenizers that drop white space and end words with a mark: runs are what is between white space.
+
+    Their ids are the ranks of their merges, so a faster library gives the same ids from the same file. There the end
+    of a word is a newline, which no word holds: a last letter and the newline are the first merge of all.
+    """
 
     def __init__(self, path: str, leaf: int = LEAF) -> None:
         super().__init__(path, leaf)
+        import tiktoken
+
         self.tokens = [(self.tok.id_to_token(i) or "").encode() for i in range(self.tok.get_vocab_size())]
+        byte_of = _byte_of()
+        special = {t.content for t in self.tok.get_added_tokens_decoder().values()}
+        self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
+        vocabulary = {t: i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t not in special}
+        _check_order(self.tok, vocabulary, path)
+        ranks = {}
+        for t, i in vocabulary.items():
+            ends = t.endswith(_END) and t != _END
+            ranks[bytes(byte_of[c] for c in (t[: -len(_END)] if ends else t)) + b"\n" * ends] = i
+        self.fast = tiktoken.Encoding("own", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
+
+    def words(self, text: str) -> list[str]:
+        """The tokenizer's own words of a text: normalised, then split."""
+        if text.isascii():
+            return _ASCII_WORD.findall(text.lower())
+        # each character is lower-cased by itself; this is the only one that Python treats by its neighbours
+        return _WORD.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+
+    def plain(self, texts: list[str]) -> list[list[int]]:
+        out = []
+        for t in texts:
+            if self.special.search(t):
+                out.append(self.tok.encode(t, add_special_tokens=False).ids)
+            else:
+                ws = self.words(t)
+                out.append(self.fast.encode_ordinary("\n".join(ws) + "\n") if ws else [])
+        return out
 
     def split(self, text: str) -> list[str]:
         # str.split() knows four separators that the tokenizer's pattern does not count as white space
@@ -167,6 +226,14 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _check_order(tok, vocabulary: dict[str, int], path: str) -> None:
+    """An error unless the ids of merged tokens follow the order of the merges, so that they serve as ranks."""
+    merges = json.loads(tok.to_str())["model"]["merges"]
+    order = [vocabulary["".join(m) if isinstance(m, list) else m.replace(" ", "", 1)] for m in merges]
+    if any(a >= b for a, b in zip(order, order[1:])):
+        raise ValueError(f"{path}: ids do not follow the order of the merges")
+
+
 class ByteCoder(Coder):
     """For byte-level tokenizers, where a word takes the space before it.
 
@@ -179,7 +246,9 @@ class ByteCoder(Coder):
 
         byte_of = _byte_of()
         special = {t.content: i for i, t in self.tok.get_added_tokens_decoder().items()}
-        ranks = {bytes(byte_of[c] for c in t): i for t, i in self.tok.get_vocab(with_added_tokens=False).items() if t not in special}
+        vocabulary = self.tok.get_vocab(with_added_tokens=False)
+        _check_order(self.tok, vocabulary, path)
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items() if t not in special}
         self.fast = tiktoken.Encoding("own", pat_str=_BYTE_LEVEL, mergeable_ranks=ranks, special_tokens=special)
 
     def plain(self, texts: list[str]) -> list[list[int]]:
@@ -207,10 +276,11 @@ def coder(kind: type[Coder], path: str) -> Coder:
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) and, if asked for, ids: one row for each input row.
 
-    The tokenizer must drop white space and have no decoder of its own. Null text counts as empty: no ids, empty
+    The tokenizer must drop white space and have no decoder of its own. A run without white space of any length is
+    encoded as a tree (see above). Null text counts as empty: no ids, empty
     decoded text. Repeated rows and null ids pass through. An empty table gives no rows. Other columns are ignored.
     """
-    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.uint32()))] * ids
+    fields = [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int64()))] * ids
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

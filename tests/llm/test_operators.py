@@ -1,9 +1,11 @@
 """Operators against brute force on small fixtures."""
 
 import hashlib
+import json
 import random
 import re
 import struct
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -277,6 +279,48 @@ def test_bpe(name, kind):
             assert text.decode() == tok.decode(want, skip_special_tokens=False)
 
 
+@pytest.mark.parametrize("name,kind", [("word_bpe_49k.json", bpe.WordCoder), ("byte_bpe_50k.json", bpe.ByteCoder)])
+def test_bpe_ranks(name, kind):
+    # the ids that serve as ranks rebuild every token of the vocabulary from the two parts that the file merges
+    tok, coder = Tokenizer.from_file(tokenizer(name)), kind(tokenizer(name))
+    ranks = coder.fast._mergeable_ranks
+    bytes_of = {i: t for t, i in ranks.items()}
+    vocabulary = tok.get_vocab(with_added_tokens=False)
+    for m in json.loads(tok.to_str())["model"]["merges"]:
+        a, b = m if isinstance(m, list) else m.split(" ", 1)
+        top = vocabulary[a + b]
+        if top not in bytes_of:
+            continue
+        parts = [bytes([x]) for x in bytes_of[top]]
+        while len(parts) > 2:
+            at = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], 1 << 30))
+            assert ranks[parts[at] + parts[at + 1]] < top
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        assert parts == [bytes_of[vocabulary[a]], bytes_of[vocabulary[b]]], m
+
+
+def test_bpe_every_character():
+    tok, coder = Tokenizer.from_file(tokenizer("word_bpe_49k.json")), bpe.WordCoder(tokenizer("word_bpe_49k.json"))
+    chars = [chr(c) for c in range(0x20000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    texts = [f"a{c}{c} 1{c}b {c}" for c in chars]
+    for t, e, got in zip(texts, tok.encode_batch(texts, add_special_tokens=False), coder.plain(texts), strict=True):
+        assert e.ids == got, t
+
+
+def test_bpe_long_runs(spark):
+    # runs over a leaf go through the trees in the operator itself
+    rng = random.Random(17)
+    tok = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
+    runs = ["".join(rng.choice("abcdefghijk") for _ in range(n)) for n in (1023, 1024, 1025, 5000, 20_000)]
+    runs += ["".join(rng.choice("aé1.-Σß日") for _ in range(9000)), "x" * 30_000, "ab" * 4000 + "<|endoftext|>" + "1" * 3000]
+    rows = [(i, f"some words {r} and more") for i, r in enumerate(runs)] + [(100, " ".join(runs))]
+    for r in bpe.round_trip(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer("word_bpe_49k.json"), ids=True).collect():
+        want = tok.encode(dict(rows)[r.doc_id], add_special_tokens=False).ids
+        assert r.ids == want and r.n_tokens == len(want)
+        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(want)}I", *want)).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(tok.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
 def test_pack(real):
     tok = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
     texts = {r.doc_id: r.text or "" for r in real.collect()}
