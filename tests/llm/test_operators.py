@@ -1,19 +1,22 @@
 """Operators against brute force on small fixtures."""
 
 import hashlib
+import itertools
 import json
 import random
 import re
 import struct
+import time
 import unicodedata
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from marlstone.llm import bpe, components, exactdup, html, license, linededup, neardup, packing, pii, quality, qualityrules
+from marlstone.llm import bpe, components, crf, exactdup, html, license, linededup, neardup, packing, pii, quality, qualityrules
 from marlstone.llm.queries import tokenizer
 
 SF = "/root/testdata/sf0.001"
@@ -379,3 +382,76 @@ def test_quality(spark):
     got = [r for r in quality.classify(docs, labels).collect() if r.held_out and r.doc_id in known]
     assert len(got) > 40 and sum(r.predicted == known[r.doc_id] for r in got) >= 0.95 * len(got)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+
+
+def test_crf_against_enumeration():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        k, sizes = 3, [int(n) for n in rng.integers(1, 6, 4)]
+        parts = [rng.normal(size=(n, k)) * 2 for n in sizes]
+        trans, start = rng.normal(size=(k, k)), rng.normal(size=k)
+        emit, lengths = crf.padded(parts)
+        logz, single, pair = crf.marginals(emit, lengths, trans, start)
+        best, want_pair = crf.viterbi(emit, lengths, trans, start), np.zeros((k, k))
+        for d, (n, e) in enumerate(zip(sizes, parts, strict=True)):
+            paths = list(itertools.product(range(k), repeat=n))
+            score = np.array([start[p[0]] + sum(e[i, y] for i, y in enumerate(p)) + sum(trans[a, b] for a, b in zip(p, p[1:])) for p in paths])
+            weight = np.exp(score - score.max())
+            weight /= weight.sum()
+            assert np.isclose(logz[d], score.max() + np.log(np.exp(score - score.max()).sum()))
+            for i in range(n):
+                assert np.allclose(single[d, i], [weight[[p[i] == y for p in paths]].sum() for y in range(k)])
+            for w, p in zip(weight, paths, strict=True):
+                for a, b in zip(p, p[1:]):
+                    want_pair[a, b] += w
+            assert tuple(best[d, :n]) == paths[int(score.argmax())]
+        assert np.allclose(pair, want_pair)
+
+
+def test_pii_chain_parts_exactly():
+    # the stretches between certain tokens give what one Viterbi over the whole chain gives
+    rng = random.Random(18)
+    t = pii.Tagger(*pii.trained())
+    pieces = [w for line in pii.LABELLED for w in re.sub(r"\[\w+:|\]", " ", line).split()] + ["hunter2", "555-1234", "0532", "AB12"]
+    texts = [pii._TOKEN.findall(" ".join(rng.choice(pieces) for _ in range(rng.choice([1, 2, 5, 40, 300])))) for _ in range(120)] + [[]]
+    got = t.labels(texts)
+    parted = 0
+    for tokens, labels in zip(texts, got, strict=True):
+        if not tokens:
+            assert labels == []
+            continue
+        e, begins = t.scores([tokens])
+        parted += int(t.certain(e)[begins[0] : begins[0] + len(tokens)].sum())
+        e = e[begins[0] : begins[0] + len(tokens)].astype(float)
+        whole = crf.viterbi(e[None], np.array([len(tokens)]), t.trans, t.start)[0]
+        assert labels == [(i, int(y)) for i, y in enumerate(whole) if y]
+    assert parted > 1000
+
+
+def test_pii_hostile():
+    model = pii.trained()
+    texts = [" ".join(map(str, range(20_000))), *(["word"] * 499), "a1" * 300_000, "=" * 100_000, "x@" * 50_000]
+    began = time.time()
+    done = list(pii._spans(texts, pii.Tagger(*model)))
+    assert len(done) == len(texts) and time.time() - began < 30
+    small = pii.Tagger(*model)
+    small.ROWS = 5  # a tagger that starts anew all the time finds the same
+    for t in ("password = hunterhunter", "IBAN DE89 3704 0044 0532 0130 00 bitte", "password hunter2hunter2x9", "the secret of it"):
+        assert list(pii._spans([t], small)) == list(pii._spans([t], pii.Tagger(*model)))
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("password hunter2hunter2x9", "secret:9:25"),
+        ("IBAN DE89 3704 0044 0532 0130 00 bitte", "account:5:32"),
+        ("password = hunterhunter", "secret:11:23"),
+        ("secret: correcthorse", "secret:8:20"),
+        ("call me at (415) 555-2671 now", "phone:12:25"),
+        ("the secret of the house is a key", ""),
+        ("api_key=" + "k9Qx" * 60, "secret:8:248"),  # seen from end to end
+    ],
+)
+def test_pii_spans(text, want):
+    ((base, own),) = pii._spans([text], pii.Tagger(*pii.trained()))
+    assert pii._joined(pii._all(base, own)) == want
