@@ -375,6 +375,62 @@ def test_html():
     assert html.main_text("just words") == "just words"
 
 
+def test_html_layout_names():
+    story = "<h1>Title</h1><p>one two</p><p>three four</p>"
+    page = f'<body class="single no-sidebar comments-open"><div class="has-sidebar with-banner"><nav>Home</nav><article>{story}</article><div class="sidebar"><p>side</p></div></div></body>'
+    assert html.main_text(page) == "Title one two three four"
+    page = f'<body><main><article><header><h1>Head</h1></header>{story}<footer>Filed</footer></article><section class="comments"><article class="comment"><p>a reader</p></article></section></main></body>'
+    assert html.main_text(page) == "Head Title one two three four"
+    assert html.main_text("<body><div>just <b>words</b><br>here</div></body>") == "just words here"
+
+
+def test_html_labelled_pages():
+    # every piece of the labelled pages falls on its side
+    for page in html.LABELLED:
+        for kind, text, context, main in html.parts(page):
+            if kind == "t" and text.strip():
+                assert (html._context_score(context) > 0) == main, text
+
+
+def brute_region(scores):
+    """(sum, first block, last block and one) of the best run of (words, score, tag) blocks; the first of equals."""
+    best = (0.0, 0, 0)
+    for i in range(len(scores)):
+        total = 0.0
+        for j in range(i, len(scores)):
+            total += scores[j][0] * scores[j][1] + (scores[j][2] if j > i else 0.0)
+            if total > best[0] + 1e-9:
+                best = (total, i, j + 1)
+    return best
+
+
+def test_html_against_all_regions():
+    rng = random.Random(19)
+    _, tags, _ = html.trained()
+    elements = ["p", "h2", 'div class="ad"', "nav", 'div class="content"', "li", "aside", "footer", "section"]
+    for _ in range(300):
+        page, blocks = "", []
+        for k in range(rng.randint(1, 12)):
+            e = rng.choice(elements)
+            ws = [f"w{k}x{i}" for i in range(rng.randint(1, 9))]
+            page += f"<{e}>{' '.join(ws)}</{e.split()[0]}>"
+            name = e.split()[0]
+            context = frozenset(f for f in html._features(name, e[len(name) :], False)[0] if f in html._known())
+            # one tag opens the block, one closed the one before
+            tag = tags.get(name, -0.05) + (tags.get(blocks[-1][3], -0.05) if blocks else 0.0)
+            blocks.append((len(ws), html._context_score(context), tag, name, ws))
+        _, i, j = brute_region([b[:3] for b in blocks])
+        assert html.main_text(page).split() == [w for b in blocks[i:j] if b[1] > 0 for w in b[4]], page
+
+
+@pytest.mark.parametrize("part", ["<div>", '<a "', '<a href="', '<a b="', "<p class='", "<", "</", "<!--", "<div class=x", "<ul><li>", "<script>", "<div></p>"])
+def test_html_hostile(part):
+    for page in (part * 20_000, part * 20_000 + "='>", "<p>text</p>" + part * 20_000 + "word"):
+        began = time.process_time()
+        html.main_text(page)
+        assert time.process_time() - began < 2
+
+
 def test_quality(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
