@@ -2,7 +2,8 @@
 
 A document of n ids is cut into pieces whose lengths are n's binary digits, the largest first, with as
 many pieces of the full length as it takes. Each piece is a sequence of its own; equal lengths make a
-bucket, from which a trainer draws batches of one shape.
+bucket, from which a trainer draws batches of one shape. Sequences are numbered bucket by bucket, the longest
+first, and within a bucket by document and place: a bucket is a range of numbers, the same on each run.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .bpe import ByteCoder, coder
+from .common import free, stored
 
 LENGTH = 1024
 END = 0
@@ -33,7 +36,8 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     """A row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     A document's ids are those of its text, then end. length must be a power of two. A piece is a sequence
-    (offset 0): its length is a power of two, so nothing is padded. sequence_id is unique over the result.
+    (offset 0): its length is a power of two, so nothing is padded. sequence_id counts from 0 without gaps, by
+    falling length, then id, start and crc; a last column bucket is the exponent of the length.
 
     Null text counts as empty: one piece, the end id. Repeated rows and null ids are packed like others. An
     empty table gives no rows. Other columns are ignored.
@@ -63,8 +67,24 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
     out = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * ids)
-    numbered = out.withColumn("sequence_id", F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long"))
-    return numbered.withColumnRenamed("doc_id", id_col)
+    return _numbered(out).withColumn("offset", F.lit(0).cast("long")).withColumn("bucket", F.log2("length").cast("int")).withColumnRenamed("doc_id", id_col)
+
+
+def _numbered(pieces: DataFrame) -> DataFrame:
+    """The pieces in bucket order with their numbers: range partitions number their own rows after the counts before."""
+    made = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
+    # the last key parts rows that repeat, whose order means nothing, so that many of them still make even ranges
+    order = [F.desc("length"), F.asc("doc_id"), F.asc("start"), F.asc("ids_crc32"), F.asc("row")]
+    sorted_ = made.repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
+    # ids made at once are the partition's number times 2^33 and the row's place in it
+    ranged = stored(sorted_.withColumn("at", F.monotonically_increasing_id()), "pack-sequences")
+    free(made)
+    part = F.shiftright("at", 33)
+    counts = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    # a row for each partition, not for each piece
+    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
+    placed = ranged.withColumn("part", part).join(F.broadcast(before), "part")
+    return placed.withColumn("sequence_id", F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "before", "at")
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:
