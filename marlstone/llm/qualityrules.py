@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_CHARS, let, stored, without, words
+from .common import SPACE, SPACE_CHARS, free, fresh, let, skew_join, stored, without, words
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -76,10 +76,10 @@ def normalised_line(line: Column) -> Column:
 
 
 def frequent_lines(lines: DataFrame, hosts: DataFrame, max_docs: int, per_mille: int) -> DataFrame:
-    """(host, line) above the limits; lines(host, doc, line), hosts(host, docs)."""
+    """(host, line, docs_with) above the limits; lines(host, doc, line), hosts(host, docs)."""
     counted = lines.groupBy("host", "line", "doc").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("docs_with"))
     counted = counted.where(F.col("docs_with") > max_docs)
-    return counted.join(hosts, "host").where(F.col("docs_with") * 1000 > F.col("docs") * per_mille).select("host", "line")
+    return counted.join(hosts, "host").where(F.col("docs_with") * 1000 > F.col("docs") * per_mille).select("host", "line", "docs_with")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = MAX_DOCS, per_mille: int = MAX_DOCS_PER_MILLE, depleted: int = DEPLETED_PERCENT) -> DataFrame:
@@ -98,21 +98,26 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """The rows of docs, with all columns, that quality_rules() keeps."""
+    """The rows of docs, with all columns, whatever their names, that quality_rules() keeps.
+
+    A null text goes. Rows that repeat share one verdict, which depends on host and text alone. An empty table gives no rows.
+    """
     judged = _judged(docs, id_col, text_col, host_col, MAX_DOCS, MAX_DOCS_PER_MILLE, DEPLETED_PERCENT)
-    # the verdict depends on host and text alone
-    rejected = judged.where(~F.col("kept")).select(F.xxhash64("host", "doc").alias("_key"))
-    return without(docs.withColumn("_key", F.xxhash64(*_host_and_doc(text_col, host_col))), rejected, "_key", "rules-rejected").drop("_key")
+    rejected = judged.where(~F.col("kept")).select(F.struct("host", "doc", "doc2").alias("key"))
+    key = fresh(docs, "_key")
+    named = docs.withColumn(key, F.struct(*_host_and_doc(text_col, host_col)))
+    return without(named, rejected.withColumnRenamed("key", key), key, "rules-rejected").select(*docs.columns)
 
 
-def _host_and_doc(text_col: str, host_col: str) -> tuple[Column, Column]:
-    return F.coalesce(F.col(host_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+def _host_and_doc(text_col: str, host_col: str) -> tuple[Column, Column, Column]:
+    """The host, a null one apart from an empty one, and 128 bits of the text."""
+    host, text = F.col(host_col).cast("string"), F.coalesce(F.col(text_col), F.lit(""))
+    return F.coalesce(F.concat(F.lit("="), host), F.lit("")).alias("host"), F.xxhash64(text).alias("doc"), F.xxhash64(F.lit(7), text).alias("doc2")
 
 
 def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs: int, per_mille: int, depleted: int) -> DataFrame:
-    host, doc = _host_and_doc(text_col, host_col)
-    rows = docs.select(F.col(id_col).alias("id"), host.alias("host"), doc.alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    counts = stored(base_counts(rows, F.col("text"), F.col("id"), F.col("host"), F.col("doc")), "rules-counts")
+    rows = docs.select(F.col(id_col).alias("id"), *_host_and_doc(text_col, host_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    counts = stored(base_counts(rows, F.col("text"), F.col("id"), F.col("host"), F.col("doc"), F.col("doc2")), "rules-counts")
     # lines of a document in one pass: hashes and words of each
     raw = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, SPACE_CHARS, "")) > 0)
     per_line = F.transform(raw, lambda x: F.struct(F.xxhash64(normalised_line(x)).alias("line"), F.size(words(x)).alias("w")))
@@ -123,13 +128,15 @@ def _judged(docs: DataFrame, id_col: str, text_col: str, host_col: str, max_docs
     hosts = counts.groupBy("host").agg(F.count("*").alias("docs"))
     frequent = stored(frequent_lines(lines, hosts, max_docs, per_mille), "rules-frequent")
     # equal texts of a host are one document here: its lines carry the number of its rows
-    taken = (
-        lines.join(frequent, ["host", "line"])
+    taken = stored(
+        skew_join(lines, frequent, ["host", "line"], "docs_with")
         .groupBy("host", "doc")
         .agg(F.sum("w").alias("w"))
         .join(counts.groupBy("host", "doc").agg(F.count("*").alias("copies")), ["host", "doc"])
-        .select("host", "doc", F.floor(F.col("w") / F.col("copies")).alias("frequent"))
+        .select("host", "doc", F.floor(F.col("w") / F.col("copies")).alias("frequent")),
+        "rules-taken",
     )
+    free(lines, frequent)
     out = counts.join(taken, ["host", "doc"], "left").withColumn("n_frequent_words", F.coalesce("frequent", F.lit(0)).cast("long"))
     gone = F.col("n_frequent_words") * 100 >= F.col("n_words") * depleted
     return out.withColumn("kept", ~F.col("base_failed") & ~gone)
