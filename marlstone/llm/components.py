@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import free, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -23,16 +23,21 @@ def components(edges: DataFrame) -> DataFrame:
         # hooks(node, root): smallest neighbour where that is smaller, and their targets as roots
         both = live.unionByName(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hooks = stored(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up")), "cc-hooks")
+        held = hooks
         while True:  # hooks lead to smaller nodes only, so doubling their length ends
             over = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
             longer = stored(hooks.join(over, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "cc-hooks")
-            hooks = longer.select("node", "up")
+            free(held)
+            held, hooks = longer, longer.select("node", "up")
             if longer.where("moved").isEmpty():
                 break
         up = hooks.select(F.col("node").alias("comp"), "up")
-        label = stored(label.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "cc-labels")
+        before, label = label, stored(label.join(up, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")), "cc-labels")
         to_a, to_b = hooks.toDF("a", "ua"), hooks.toDF("b", "ub")
-        live = stored(_canonical(live.join(to_a, "a").join(to_b, "b").select(F.col("ua").alias("a"), F.col("ub").alias("b"))), "cc-edges")
+        contracted = stored(_canonical(live.join(to_a, "a").join(to_b, "b").select(F.col("ua").alias("a"), F.col("ub").alias("b"))), "cc-edges")
+        free(before, held, live)
+        live = contracted
+    free(live)
     return label
 
 

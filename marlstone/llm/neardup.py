@@ -53,7 +53,7 @@ _SKETCHED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
         T.StructField("n", T.LongType(), False),
-        T.StructField("node", T.LongType()),
+        T.StructField("set1", T.LongType()),
         T.StructField("set2", T.LongType()),
         T.StructField("sketch", T.ArrayType(T.LongType(), False)),
         T.StructField("odd", T.ArrayType(T.LongType(), False)),
@@ -107,12 +107,14 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.R
 
 
 def _sketch_batches(width: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("node", pa.int64()), ("set2", pa.int64()), ("sketch", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("set1", pa.int64()), ("set2", pa.int64()), ("sketch", pa.list_(pa.int64())), ("odd", pa.list_(pa.int64()))])
+
+    digest = set_digest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             sets = shingle_sets(_texts(b.column(1)), width)
-            digests = [set_digest(s) if len(s) else (None, None) for s in sets]
+            digests = [digest(s) if len(s) else (None, None) for s in sets]
             kept = [s[:SKETCH] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), _lists(kept), _lists([parity(s) for s in sets])],
@@ -123,12 +125,15 @@ def _sketch_batches(width: int):
 
 
 def _set_batches(width: int):
-    schema = pa.schema([("node", pa.int64()), ("set", pa.list_(pa.int64()))])
+    schema = pa.schema([("set1", pa.int64()), ("set2", pa.int64()), ("set", pa.list_(pa.int64()))])
+
+    digest = set_digest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in _slices(batches):
             sets = [s for s in shingle_sets(_texts(b.column(0)), width) if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([set_digest(s)[0] for s in sets], pa.int64()), _lists(sets)], schema=schema)
+            digests = [digest(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()), _lists(sets)], schema=schema)
 
     return run
 
@@ -235,33 +240,48 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketched = stored(base.mapInArrow(_sketch_batches(width), _SKETCHED), "near-sketches")
     filled = sketched.where("n > 0")
-    # distinct sets; copies meet here by partial aggregation and go no further
-    nodes = stored(
-        filled.groupBy("node", "set2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("odd").alias("odd")),
-        "near-nodes",
-    )
+    nodes = _nodes(filled)
     links = _links(base, nodes, percent, width)
     reach = components(links)
-    comps = stored(
-        nodes.join(reach, "node").groupBy("comp").agg(F.min("rep").alias("component_id")).join(reach, "comp").select("node", "component_id"),
-        "near-components",
-    )
-    joined = (
-        filled.select("doc_id", "n", "node")
-        .join(nodes.groupBy("node").agg(F.min("rep").alias("rep")), "node")
-        .join(comps, "node", "left")
-        .select("doc_id", "n", F.coalesce("component_id", "rep").alias("component_id"))
+    sized = stored(nodes.join(reach, "node").groupBy("comp").agg(F.min("rep").alias("component_id"), F.count("*").alias("size")), "near-components")
+    comps = skew_join(reach, sized, ["comp"], "size").select("node", "component_id")
+    named = stored(
+        nodes.join(comps, "node", "left").select("set1", "set2", "copies", F.coalesce("component_id", "rep").alias("component_id")),
+        "near-named",
     )
+    free(nodes, links, reach, sized)
+    joined = skew_join(filled.select("doc_id", "n", "set1", "set2"), named, ["set1", "set2"], "copies").select("doc_id", "n", "component_id")
     alone = sketched.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
     return joined.unionByName(alone).select(
         F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
     )
 
 
+def _nodes(filled: DataFrame) -> DataFrame:
+    """(set1, set2, node, rep, copies, n, sketch, odd): a row for each distinct set; copies meet here by partial aggregation.
+
+    128 bits tell sets apart. node is a name in 64 bits, the first half of them; sets that would share a name, which is
+    looked for, get others.
+    """
+    first = [F.first(c).alias(c) for c in ("n", "sketch", "odd")]
+    nodes = stored(filled.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *first).withColumn("node", F.col("set1")), "near-nodes")
+    salt = 0
+    while True:
+        shared = stored(nodes.groupBy("node").agg(F.count("*").alias("sets")).where("sets > 1").select("node", F.lit(True).alias("shared")), "near-shared")
+        if shared.isEmpty():
+            free(shared)
+            return nodes
+        salt += 1
+        other = F.when(F.col("shared"), F.xxhash64(F.lit(salt), "set1", "set2")).otherwise(F.col("node"))
+        before, nodes = nodes, stored(nodes.join(shared, "node", "left").withColumn("node", other).drop("shared"), "near-nodes")
+        free(before, shared)
+
+
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of docs, with all columns, whose id is the smallest of its component.
+    """The rows of docs, with all columns, whatever their names, whose id is the smallest of its component.
 
-    An id of several rows stays if one of them would; rows without an id stay.
+    An id of several rows stays if one of them would; rows without an id stay, and so do null and blank texts. An
+    empty table gives no rows.
     """
     judged = near_duplicates(docs, id_col, text_col, percent)
     gone = judged.groupBy(id_col).agg(F.bool_or("kept").alias("kept")).where(~F.col("kept"))
@@ -292,10 +312,10 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     stars = stored(stars, "near-stars")
     # sets of all listed documents, rebuilt from whole texts; the filter's few extra rows do no harm
     listed = stored(lists.select("rep").distinct(), "near-listed")
-    sets = stored(
-        may_hold(base, "doc_id", membership_filter(listed, "rep", "near-filter")).select("text").mapInArrow(_set_batches(width), "node long, set array<long>").join(lists.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]),
-        "near-sets",
-    )
+    held = membership_filter(listed, "rep", "near-filter")
+    wanted = lists.select("node").distinct().join(nodes.select("node", "set1", "set2"), "node")
+    rebuilt = may_hold(base, "doc_id", held).select("text").mapInArrow(_set_batches(width), "set1 long, set2 long, set array<long>")
+    sets = stored(rebuilt.join(wanted, ["set1", "set2"]).dropDuplicates(["node"]).select("node", "set"), "near-sets")
     first = stored(_confirmed(stars, sets, percent), "near-links")
     comp = components(first)
     members = stored(lists.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "near-members")
@@ -308,4 +328,7 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     pairs = pairs.unionByName(_full_pairs(long, sets, percent))
     pairs = stored(pairs.distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
     second = stored(_confirmed(pairs, sets, percent), "near-links")
-    return first.unionByName(second)
+    links = stored(first.unionByName(second), "near-links")
+    held.free()
+    free(lists, heads, stars, listed, sets, first, comp, members, long, pairs, second)
+    return links

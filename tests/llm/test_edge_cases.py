@@ -118,3 +118,24 @@ def test_quality_without_labels(docs):
     assert {r.score for r in got if r.doc_id == 1} == {0.5}
     assert {r.score for r in got if r.doc_id == 3} == {0.0}
     assert {r.held_out for r in got if r.doc_id is None} == {True}
+
+
+STAGES = {
+    "rules": qualityrules.good_documents,
+    "line": linededup.dedup_documents,
+    "near": neardup.first_of_each,
+    "pii": pii.redact,
+}
+#: Names that operators use within.
+CLASHING = ["_key", "_held", "gone", "n_exact", "n_near", "id_", "doc_", "_doc", "_rest", "_bit", "_block", "_bitmap", "_flag", "host", "doc2", "near", "first", "line", "at", "set1", "kept", "component_id"]
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stages_of_the_pipeline(docs, none, name):
+    for c in CLASHING:
+        docs, none = docs.withColumn(c, F.lit("mine")), none.withColumn(c, F.lit("mine"))
+    got = STAGES[name](docs)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert {r.doc_id for r in rows} <= {r[0] for r in ROWS} and all(r[c] == "mine" for r in rows for c in CLASHING)
+    assert STAGES[name](none).collect() == [] and STAGES[name](none).columns == none.columns

@@ -102,6 +102,21 @@ def test_near_duplicates_above_sketch(spark):
     assert all(r.component_id % 2 == 0 for r in got)
 
 
+def test_near_duplicates_with_shared_names(spark, monkeypatch):
+    # digests of which the first half tells next to nothing: sets are told apart by all 128 bits
+    whole = neardup.set_digest
+    monkeypatch.setattr(neardup, "set_digest", lambda s: (whole(s)[0] % 3, whole(s)[1]))
+    rng = random.Random(16)
+    texts = {}
+    for i in range(12):
+        w = shuffled_text(rng, 60).split()
+        for _ in range(3):
+            texts[len(texts)] = " ".join(w)
+            w[rng.randrange(60)] = "changed"
+    got = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+
+
 def test_near_duplicates_at_80(spark):
     # one change in a text takes out 5 shingles: similarities from 0.80 to 0.85, and some below
     assert (neardup.need_of(85), neardup.need_of(80)) == (17, 15)
@@ -340,6 +355,19 @@ def test_pack(real):
         assert at == len(ids)
 
 
+def test_pack_buckets(real, tmp_path):
+    path = tokenizer("byte_bpe_50k.json")
+    key = lambda r: (-r.length, r.doc_id, r.start)
+    rows = sorted(packing.pack(real, path).collect(), key=lambda r: r.sequence_id)
+    assert [r.sequence_id for r in rows] == list(range(len(rows)))
+    assert [key(r) for r in rows] == sorted(key(r) for r in rows) and all(1 << r.bucket == r.length for r in rows)
+    # the same numbers however the input is dealt
+    assert {(key(r), r.sequence_id) for r in packing.pack(real.repartition(7), path).collect()} == {(key(r), r.sequence_id) for r in rows}
+    packing.write_buckets(packing.pack(real, path, ids=True), str(tmp_path / "b"))
+    back = real.sparkSession.read.parquet(str(tmp_path / "b"))
+    assert back.count() == len(rows) and {p.name for p in (tmp_path / "b").glob("length=*")} == {f"length={r.length}" for r in rows}
+
+
 def test_pii_base():
     rng = random.Random(8)
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
