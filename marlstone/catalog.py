@@ -71,6 +71,7 @@ def testdata(spark: SparkSession, sf_dir: str) -> Catalog:
     relations = []
     for source, name, key, target, target_key, back in edges:
         relations += [Relation(name, source, key, target, target_key), Relation(back, target, target_key, source, key, many=source != "documents")]
+    relations.append(Relation("compatriots", "customer", "c_nationkey", "customer", "c_nationkey", many=True))
     entities = [
         Entity("region", "r_regionkey"),
         Entity("nation", "n_nationkey"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .match import ranked_first
 from .tables import stored
 
 #: Deeper values are not walked.
@@ -29,57 +30,58 @@ def json_type(v: Column) -> Column:
 
 
 def walk(docs: DataFrame, id_col: str, json_col: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """(id, path, depth, type, key, owner, value): a row for every value of every document.
+    """(id, path, place, depth, type, key, owner, value): a row for every value of every document.
 
-    Paths are $, $.a, $.b[*]; value is the text of scalars and NULL for others; ids beyond 2**53 stay exact. owner is
+    Paths are $, $.a, $.b[*]; place is the path with the positions in arrays, so it tells each value; value is the text of scalars and NULL for others; ids beyond 2**53 stay exact. owner is
     the id of the nearest enclosing object that has one. Text that is no JSON gives one row of type "invalid"; NULL none.
     """
     root = docs.select(F.col(id_col).alias("id"), F.try_parse_json(json_col).alias("v"), F.col(json_col).isNotNull().alias("given")).where("given")
-    bad = root.where("v is null").select("id", F.lit("$").alias("path"), F.lit(0).alias("depth"), F.lit("invalid").alias("type"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("owner"), F.lit(None).cast("string").alias("value"))
-    level = root.where("v is not null").select("id", F.lit("$").alias("path"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("owner"), "v")
+    bad = root.where("v is null").select("id", F.lit("$").alias("path"), F.lit("$").alias("place"), F.lit(0).alias("depth"), F.lit("invalid").alias("type"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("owner"), F.lit(None).cast("string").alias("value"))
+    level = root.where("v is not null").select("id", F.lit("$").alias("path"), F.lit("$").alias("place"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("owner"), "v")
     out = bad
     for depth in range(max_depth + 1):
         typed = level.withColumn("type", json_type(F.col("v")))
         scalar = ~F.col("type").isin("object", "array", "null")
-        out = out.unionByName(typed.select("id", "path", "depth", "type", "key", "owner", F.when(scalar, F.expr("try_variant_get(v, '$', 'string')")).alias("value")))
+        out = out.unionByName(typed.select("id", "path", "place", "depth", "type", "key", "owner", F.when(scalar, F.expr("try_variant_get(v, '$', 'string')")).alias("value")))
         inner = typed.where(F.col("type").isin("object", "array"))
         if depth == max_depth or inner.isEmpty():
             break
         mine = F.when(F.col("type") == "object", F.expr("try_variant_get(v, '$.id', 'string')"))
         inner = inner.withColumn("owner", F.coalesce(mine, "owner"))
-        inner.createOrReplaceTempView("_marlstone_level")
         # the table function of SQL is the one that takes a column of each row
         below = docs.sparkSession.sql(
             "select l.id, case when l.type = 'object' then concat(l.path, '.', e.key) else concat(l.path, '[*]') end as path, "
-            "l.depth + 1 as depth, e.key as key, l.owner as owner, to_json(e.value) as v from _marlstone_level l, lateral variant_explode(l.v) e"
+            "case when l.type = 'object' then concat(l.place, '.', e.key) else concat(l.place, '[', e.pos, ']') end as place, "
+            "l.depth + 1 as depth, e.key as key, l.owner as owner, to_json(e.value) as v from {level} l, lateral variant_explode(l.v) e",
+            level=inner,
         )
         level = stored(below, "walk").withColumn("v", F.parse_json("v"))
     return out
 
 
 def path_catalogue(walked: DataFrame, samples: int = 5) -> DataFrame:
-    """(path, types, occurrences, nullable, samples): samples are the smallest ids."""
-    return walked.groupBy("path").agg(
+    """(path, types, occurrences, nullable, first_id, samples): samples are the smallest ids of documents that hold the path."""
+    walked = stored(walked.select("id", "path", "type"), "paths")
+    stats = walked.groupBy("path").agg(
         F.concat_ws(",", F.array_sort(F.collect_set("type"))).alias("types"),
         F.count("*").alias("occurrences"),
         F.bool_or(F.col("type") == "null").alias("nullable"),
         F.min("id").alias("first_id"),
     )
+    return stats.join(ranked_first(walked, "path", "id", samples).withColumnRenamed("first", "samples"), "path")
 
 
 def type_catalogue(walked: DataFrame, discriminator: str = "$type") -> DataFrame:
     """(type, objects, keys): for each value of the discriminator its objects and the union of their keys.
 
-    An object is told by its document and place, so types are read from the discriminator's own rows.
+    An object is told by its document and place, which holds its position in an array.
     """
-    inside = walked.where(F.col("key").isNotNull())
-    parent = F.expr("substring(path, 1, length(path) - length(key) - 1)")
-    rows = inside.select("id", parent.alias("object"), "key", "value", "owner")
-    types = rows.where(F.col("key") == discriminator).groupBy("id", "object").agg(F.collect_set("value").alias("kinds"))
-    keys = rows.groupBy("id", "object").agg(F.collect_set("key").alias("keys"))
-    per = types.join(keys, ["id", "object"]).select(F.explode("kinds").alias("type"), "keys", "id")
-    n = rows.where(F.col("key") == discriminator).groupBy(F.col("value").alias("type")).agg(F.count("*").alias("objects"))
-    union = per.select("type", F.explode("keys").alias("key")).groupBy("type").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    parent = F.expr("substring(place, 1, length(place) - length(key) - 1)")
+    rows = walked.where(F.col("key").isNotNull()).select("id", parent.alias("object"), "key", "value")
+    kind = F.max(F.when(F.col("key") == discriminator, F.col("value"))).alias("type")
+    objects = rows.groupBy("id", "object").agg(kind, F.collect_set("key").alias("keys")).where("type is not null")
+    n = objects.groupBy("type").agg(F.count("*").alias("objects"))
+    union = objects.select("type", F.explode("keys").alias("key")).groupBy("type").agg(F.array_sort(F.collect_set("key")).alias("keys"))
     return n.join(union, "type")
 
 

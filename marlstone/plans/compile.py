@@ -26,8 +26,9 @@ MONEY = "decimal(28,4)"
 class _Source:
     """The root entity and every relation prefix that the report uses, each joined once."""
 
-    def __init__(self, catalog: Catalog, entity: str) -> None:
+    def __init__(self, catalog: Catalog, entity: str, aliases: dict[str, Path] | None = None) -> None:
         self.catalog, self.root = catalog, catalog.entity(entity)
+        self.aliases = aliases or {}
         self.df = self._named(entity, ())
         self.at: dict[tuple[str, ...], str] = {(): self.root.name}
 
@@ -43,12 +44,15 @@ class _Source:
         """The entity reached; joins what is missing. A shared prefix is joined once."""
         if hops in self.at:
             return self.at[hops]
-        source = self.join(hops[:-1])
-        r = self.catalog.relation(source, hops[-1])
+        before, relation = hops[:-1], hops[-1]
+        if not before and relation in self.aliases:  # a named instance of its own of what its path reaches
+            before, relation = self.aliases[relation].hops, self.aliases[relation].leaf
+        source = self.join(before)
+        r = self.catalog.relation(source, relation)
         if r is None:
-            raise SpecError(f"{source} has no relation {hops[-1]}")
+            raise SpecError(f"{source} has no relation {relation}")
         right = self._named(r.target, hops)
-        on = F.col(f"`{self.name(hops[:-1], r.source_key)}`") == F.col(f"`{self.name(hops, r.target_key)}`")
+        on = F.col(f"`{self.name(before, r.source_key)}`") == F.col(f"`{self.name(hops, r.target_key)}`")
         self.df = self.df.join(right, on, "left")
         self.at[hops] = r.target
         return r.target
@@ -83,27 +87,43 @@ def bindings_of(spec: ReportSpec, bind: Bindings) -> Bindings:
         name = p["name"]
         if name in bind.values:
             values[name] = bind.values[name]
+        elif p.get("external"):
+            values[name] = _of_parent(name, bind.parent)
         elif p.get("contextValue"):
             values[name] = bind.runtime(p["contextValue"])
         elif "value" in p:
             values[name] = p["value"]
-    return Bindings({**bind.values, **values}, bind.as_of, bind.current_user, bind.week_starts, bind.allow_text_search)
+    return Bindings({**bind.values, **values}, bind.as_of, bind.current_user, bind.week_starts, bind.allow_text_search, bind.parent)
+
+
+def _of_parent(name: str, parent: dict[str, Any] | None) -> Any:
+    """The value of an external parameter: the parent object's Id, or its field whose caption is the parameter's name."""
+    if parent is None or name not in parent:
+        raise SpecError(f"external parameter {name} needs a parent object that has it")
+    return parent[name]
+
+
+def aliases_of(spec: ReportSpec, catalog: Catalog) -> dict[str, Path]:
+    """The report's named join instances. A name may not hide a relation of the root, nor stand twice."""
+    out: dict[str, Path] = {}
+    for a in spec.get("joinAliases", []):
+        name = a.get("name")
+        if not name or name in out or catalog.relation(spec.entity, name):
+            raise SpecError(f"joinAliases: {name!r} is missing, repeated or a relation of {spec.entity}")
+        out[name] = Path.of(a["field"])
+    return out
 
 
 def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None = None) -> DataFrame:
     """The report's rows. Bindings supply parameters, as_of and the current user."""
     spec = load(report)
+    unsupported(spec.raw)
     bind = bindings_of(spec, bind or Bindings())
     if spec.get("selfReferencingField"):
         return _tree(catalog, spec, bind)
-    src = _Source(catalog, spec.entity)
+    src = _Source(catalog, spec.entity, aliases_of(spec, catalog))
     _apply_detail(src, spec, bind)
-    src.df, condition = _semi_joins(src, catalog, spec, bind)
-    if condition:
-        where = predicate(condition, lambda f: src.column(Path.of(f)), bind, src.type)
-        src.df = src.df.where(where)
-    if src.root.deleted and not spec.get("includeDeleted"):
-        src.df = src.df.where(~F.col(f"`{src.root.deleted}`"))
+    _filter(src, catalog, spec, bind)
     if spec.get("matrix"):
         return _matrix(src, spec)
     columns = [(c, _expression(src, c, bind)) for c in spec.columns]
@@ -126,6 +146,16 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
     return _finish(out, spec)
 
 
+def _filter(src: _Source, catalog: Catalog, spec: ReportSpec, bind: Bindings) -> None:
+    """The report's condition, and deleted rows out unless they are asked for."""
+    src.df, condition = _semi_joins(src, catalog, spec, bind)
+    if condition:
+        where = predicate(condition, lambda f: src.column(Path.of(f)), bind, src.type)
+        src.df = src.df.where(where)
+    if src.root.deleted and not spec.get("includeDeleted"):
+        src.df = src.df.where(~F.col(f"`{src.root.deleted}`"))
+
+
 def count_rows(catalog: Catalog, report: dict, bind: Bindings | None = None) -> int | None:
     """Rows of all pages; None where the report says not to count."""
     if report.get("dontExecuteCount"):
@@ -331,7 +361,12 @@ def _matrix(src: _Source, spec: ReportSpec) -> DataFrame:
     column = "/".join((*cols.hops, cols.leaf))
     src.column(cols)
     pivot = src.df.groupBy(src.column(rows).alias(m.get("alias", rows.leaf))).pivot(column, m["values"]) if "values" in m else grouped.pivot(column)
-    return pivot.agg(cell)
+    if spec.get("useSummaryRow"):
+        raise UnsupportedSemantics("a matrix has no summary row")
+    out = pivot.agg(cell)
+    order = [F.col(f"`{s['alias']}`").desc() if s.get("direction") == "desc" else F.col(f"`{s['alias']}`").asc() for s in spec.get("sorting", [])]
+    out = out.orderBy(*order) if order else out
+    return out.limit(spec.get("top")) if spec.get("top") is not None else out
 
 
 def _semi_joins(src: _Source, catalog: Catalog, spec: ReportSpec, bind: Bindings) -> tuple[DataFrame, dict | None]:
@@ -342,28 +377,46 @@ def _semi_joins(src: _Source, catalog: Catalog, spec: ReportSpec, bind: Bindings
     condition = spec.get("condition")
     if not condition:
         return src.df, None
-    parts = [condition] if is_leaf(condition) else condition.get("all", [])
-    rest = []
-    for leaf in parts:
+    marks = iter(range(1 << 30))
+
+    def listed(leaf: dict) -> tuple[Column, DataFrame] | None:
         value = leaf.get("value") if is_leaf(leaf) else None
-        if isinstance(value, dict) and "report" in value and leaf.get("enabled", True):
-            if leaf["operator"] not in ("inList", "notInList"):
-                raise SpecError("a report is a value for lists only")
-            other = compile_report(catalog, value["report"], bind)
-            column = src.column(Path.of(leaf["field"]))
-            keys = other.select(F.col(f"`{other.columns[0]}`").alias("_listed")).distinct()
-            src.df = src.df.join(keys, column == F.col("_listed"), "left_semi" if leaf["operator"] == "inList" else "left_anti")
-        else:
-            rest.append(leaf)
+        if not isinstance(value, dict) or "report" not in value or not leaf.get("enabled", True):
+            return None
+        if leaf["operator"] not in ("inList", "notInList"):
+            raise SpecError("a report is a value for lists only")
+        other = compile_report(catalog, value["report"], bind)
+        return src.column(Path.of(leaf["field"])), other.select(F.col(f"`{other.columns[0]}`").alias("_listed")).where("_listed is not null").distinct()
+
+    def marked(node: dict) -> dict:
+        """Deeper in the tree: a column tells whether the value is listed, and the clause asks for it."""
+        if not is_leaf(node):
+            return {k: [marked(x) for x in v] if k in ("all", "any") else v for k, v in node.items()}
+        found = listed(node)
+        if found is None:
+            return node
+        name = f"_listed{next(marks)}"
+        src.df = src.df.join(found[1].withColumnRenamed("_listed", name), found[0] == F.col(name), "left")
+        return {"field": name, "operator": "isNotNull" if node["operator"] == "inList" else "isNull"}
+
     if "any" in condition:
+        condition = marked(condition)
         return src.df, condition
+    rest = []
+    for node in [condition] if is_leaf(condition) else condition["all"]:
+        found = listed(node)
+        if found is None:
+            rest.append(marked(node))
+        else:
+            src.df = src.df.join(found[1], found[0] == F.col("_listed"), "left_semi" if node["operator"] == "inList" else "left_anti")
     return src.df, {"all": rest} if rest else None
 
 
 def _apply_detail(src: _Source, spec: ReportSpec, bind: Bindings) -> None:
     """Aggregates over a many-relation, computed by key before the join: the parent's rows are not multiplied.
 
-    detail: {relation, aggregate, field, condition, excludeSelf}.
+    detail: {relation, aggregate, field, condition, excludeSelf}. excludeSelf, for a relation of an entity to itself,
+    leaves a row's own part out of its count, sum or existence: it is taken from the total, and no pairs are made.
     """
     for c in spec.columns:
         if not c.detail:
@@ -380,20 +433,62 @@ def _apply_detail(src: _Source, spec: ReportSpec, bind: Bindings) -> None:
         name = f"detail:{c.alias}"
         agg = inner.df.groupBy(F.col(f"`{r.target_key}`").alias(key)).agg(_aggregate(inner, item).alias(name))
         src.df = src.df.join(agg, F.col(f"`{r.source_key}`") == F.col(f"`{key}`"), "left").drop(key)
+        if d.get("excludeSelf"):
+            _without_self(src, r, d, name, bind)
         empty = {"count": F.lit(0).cast("long"), "exists": F.lit(False), "notExists": F.lit(True)}.get(d["aggregate"])
         if empty is not None:
             src.df = src.df.withColumn(name, F.coalesce(F.col(f"`{name}`"), empty))
 
 
+def _without_self(src: _Source, r: Relation, d: dict, name: str, bind: Bindings) -> None:
+    """Take a row's own part from its total, if the relation and the condition hold it."""
+    if r.target != src.root.name:
+        raise SpecError(f"excludeSelf: {r.name} does not lead back to {src.root.name}")
+    mine = F.col(f"`{r.source_key}`") == F.col(f"`{r.target_key}`")
+    if d.get("condition"):
+        mine &= predicate(d["condition"], lambda f: src.column(Path.of(f)), bind, src.type)
+    value = src.column(Path.of(d["field"])) if "field" in d else F.lit(1)
+    total, mine = F.col(f"`{name}`"), F.coalesce(mine, F.lit(False))
+    if d["aggregate"] in ("exists", "notExists"):
+        raise SpecError("excludeSelf: ask for a count, and compare it with 0")
+    own = {"count": F.when(mine & value.isNotNull(), 1).otherwise(0), "sum": F.when(mine, F.coalesce(value, F.lit(0))).otherwise(0)}.get(d["aggregate"])
+    if own is None:
+        raise SpecError(f"excludeSelf is not defined for {d['aggregate']}")
+    src.df = src.df.withColumn(name, total - own)
+
+
 def _tree(catalog: Catalog, spec: ReportSpec, bind: Bindings) -> DataFrame:
-    src = _Source(catalog, spec.entity)
+    """Rows with their level below a root. Levels come from the whole hierarchy, in which a row that treeCondition rules out
+    ends its branch; with useHierarchyConditionForRoot it tells the roots instead. condition then selects rows.
+    """
+    for key in ("sqlGrouping", "matrix", "subReports", "isDistinct", "useSummaryRow"):
+        if spec.get(key):
+            raise UnsupportedSemantics(f"a tree report takes no {key}")
+    if any(c.aggregate for c in spec.columns):
+        raise UnsupportedSemantics("a tree report takes no aggregates")
+    aliases = aliases_of(spec, catalog)
+    whole = _Source(catalog, spec.entity, aliases)
     parent = Path.of(spec.get("selfReferencingField"))
-    rows = src.df.select(*(e.alias(c.alias) for c, e in ((c, _expression(src, c, bind)) for c in spec.columns)), F.col(f"`{src.root.id}`").alias("_id"), src.column(parent).alias("_parent"))
-    roots = F.col("_parent").isNull()
-    if spec.get("treeCondition") and spec.get("useHierarchyConditionForRoot"):
-        roots = predicate(spec.get("treeCondition"), lambda f: F.col(f"`{Path.of(f).leaf}`"), bind)
-    levels = descend(rows.select("_id", "_parent"), rows.where(roots).select("_id"), "_id", "_parent", spec.get("treeAutoOpenLevels"))
-    return _finish(rows.join(levels, "_id").drop("_id", "_parent", "root"), spec)
+    up = whole.column(parent)
+    if whole.root.deleted and not spec.get("includeDeleted"):
+        whole.df = whole.df.where(~F.col(f"`{whole.root.deleted}`"))
+    roots = up.isNull()
+    if spec.get("treeCondition"):
+        holds = predicate(spec.get("treeCondition"), lambda f: whole.column(Path.of(f)), bind, whole.type)
+        if spec.get("useHierarchyConditionForRoot"):
+            roots = holds
+        else:
+            whole.df = whole.df.where(holds)
+    nodes = whole.df.select(F.col(f"`{whole.root.id}`").alias("_id"), up.alias("_parent"), roots.alias("_root"))
+    levels = descend(nodes.select("_id", "_parent"), nodes.where("_root").select("_id"), "_id", "_parent", spec.get("treeAutoOpenLevels"))
+    src = _Source(catalog, spec.entity, aliases)
+    _apply_detail(src, spec, bind)
+    _filter(src, catalog, spec, bind)
+    columns = [_expression(src, c, bind).alias(c.alias) for c in spec.columns]
+    if spec.get("additionalWhere"):
+        src.df = src.df.where(F.expr(screened(spec.get("additionalWhere"), bind.as_of)))
+    rows = src.df.select(*columns, F.col(f"`{src.root.id}`").alias("_id"))
+    return _finish(rows.join(levels, "_id").drop("_id", "root"), spec)
 
 
 def unsupported(report: dict) -> None:

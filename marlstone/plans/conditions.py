@@ -42,6 +42,8 @@ class Bindings:
     current_user: Any = None
     week_starts: int = 0
     allow_text_search: bool = False
+    #: The object that a report is opened from: its Id and its fields by caption, for external parameters.
+    parent: dict[str, Any] | None = None
 
     def runtime(self, kind: str) -> Any:
         if kind == "currentUser":
@@ -127,7 +129,7 @@ def _value(node: dict, bind: Bindings) -> Any:
 
 
 def _leaf(node: dict, resolve: Resolve, bind: Bindings, type_of) -> Column:
-    if not node.get("enabled", True) or node["operator"] == "none":
+    if not node.get("enabled", True):
         return F.lit(True)
     if node.get("customCode"):
         raise UnsupportedSemantics("customCode is never executed")
@@ -137,6 +139,8 @@ def _leaf(node: dict, resolve: Resolve, bind: Bindings, type_of) -> Column:
         from .customsql import screened
 
         return F.expr(screened(node["customSql"], bind.as_of))
+    if node["operator"] == "none":
+        return F.lit(True)
     op, col = node["operator"], resolve(node["field"])
     if op == "isNull":
         return col.isNull()

@@ -27,7 +27,7 @@ M = "decimal(28,4)"
 
 
 def _report(name: str, spec: dict, sql: str, **bind) -> None:
-    QUERIES[name] = lambda spark, d: compile_report(testdata(spark, d), spec, Bindings(as_of=AS_OF, **bind))
+    QUERIES[name] = lambda spark, d: compile_report(testdata(spark, d), spec, Bindings(**{"as_of": AS_OF, **bind}))
     SQL[name] = sql
 
 
@@ -73,8 +73,8 @@ for _name, _entity, _cols, _leaf, _where in [
 
 _report(
     "cond_text_search_all",
-    {"entity": "part", "columns": _PART, "condition": {"field": "p_name", "operator": "advancedTextSearch", "value": "Part 1"}},
-    "select p_partkey, p_name from part where list_has_all(string_split_regex(lower(p_name), '\\s+'), ['part', '1'])",
+    {"entity": "part", "columns": _PART, "condition": {"field": "p_name", "operator": "advancedTextSearch", "value": "Bolt blue"}},
+    "select p_partkey, p_name from part where list_has_all(string_split_regex(lower(p_name), '\\s+'), ['bolt', 'blue'])",
     allow_text_search=True,
 )
 _report(
@@ -91,7 +91,52 @@ _report("cond_field_to_field", {"entity": "lineitem", "columns": _LINE, "conditi
 _report(
     "cond_custom_sql",
     {"entity": "orders", "columns": _ORDER, "condition": {"customSql": "DATEDIFF(day, o_orderdate, GETDATE()) < 10000 and ISNULL(o_orderstatus, '') = 'P'", "operator": "none", "enabled": True}},
-    "select o_orderkey, o_orderpriority as priority from orders",
+    "select o_orderkey, o_orderpriority as priority from orders where date_diff('day', o_orderdate, timestamp '2024-01-15 10:30:00') < 10000 and coalesce(o_orderstatus, '') = 'P'",
+)
+_report(
+    "join_aliases",
+    {
+        "entity": "lineitem",
+        "joinAliases": [{"id": 1, "name": "buyer", "field": {"items": ["#order", "#customer"]}}, {"id": 2, "name": "maker", "field": "supplier"}],
+        "columns": [*_LINE, {"field": {"items": ["buyer", "nation", "n_name"]}, "alias": "buyer_nation"}, {"field": {"items": ["maker", "nation", "n_name"]}, "alias": "maker_nation"}],
+        "condition": {"field": {"items": ["buyer", "c_acctbal"]}, "operator": "lessThan", "value": 0.0},
+    },
+    "select l_orderkey, l_linenumber, l_quantity as qty, b.n_name as buyer_nation, m.n_name as maker_nation from lineitem join orders on l_orderkey = o_orderkey "
+    "join customer on o_custkey = c_custkey join nation b on c_nationkey = b.n_nationkey join supplier on l_suppkey = s_suppkey join nation m on s_nationkey = m.n_nationkey where c_acctbal < 0",
+)
+_report(
+    "external_parameter",
+    {
+        "entity": "orders",
+        "columns": _ORDER,
+        "parameters": [{"name": "Id", "external": True}, {"name": "Status", "external": True}],
+        "condition": {"all": [{"field": "o_custkey", "operator": "equal", "parameter": "Id"}, {"field": "o_orderstatus", "operator": "notEqual", "parameter": "Status"}]},
+    },
+    "select o_orderkey, o_orderpriority as priority from orders where o_custkey = 7 and o_orderstatus <> 'F'",
+    parent={"Id": 7, "Status": "F"},
+)
+_report(
+    "exclude_self",
+    {
+        "entity": "customer",
+        "columns": [
+            {"field": "c_custkey", "alias": "c_custkey"},
+            {"alias": "others_in_debt", "detail": {"relation": "compatriots", "aggregate": "count", "field": "c_custkey", "condition": {"field": "c_acctbal", "operator": "lessThan", "value": 0.0}, "excludeSelf": True}},
+        ],
+    },
+    "select c.c_custkey, (select count(*) from customer o where o.c_nationkey = c.c_nationkey and o.c_custkey <> c.c_custkey and o.c_acctbal < 0) as others_in_debt from customer c",
+)
+_report(
+    "report_in_any",
+    {
+        "entity": "orders",
+        "columns": _ORDER,
+        "condition": {"any": [
+            {"field": "o_totalprice", "operator": "lessThan", "value": 2000.0},
+            {"all": [{"field": "o_custkey", "operator": "inList", "value": {"report": {"entity": "customer", "columns": [{"field": "c_custkey", "alias": "k"}], "condition": {"field": "c_acctbal", "operator": "lessThan", "value": -900.0}}}}, {"field": "o_orderstatus", "operator": "equal", "value": "O"}]},
+        ]},
+    },
+    "select o_orderkey, o_orderpriority as priority from orders where o_totalprice < 2000 or (o_custkey in (select c_custkey from customer where c_acctbal < -900) and o_orderstatus = 'O')",
 )
 for _behave, _where in [("ignore", "true"), ("check", "l.quality is null"), ("dont", "false")]:
     _report(
@@ -104,14 +149,18 @@ for _behave, _where in [("ignore", "true"), ("check", "l.quality is null"), ("do
         },
         f"select d.doc_id, l.quality from documents d left join labels l on d.doc_id = l.doc_id where {_where}",
     )
+_MOMENTS = {"previousMonth": datetime(2024, 2, 10), "nextMonth": datetime(2023, 12, 10), "previousYear": datetime(2025, 3, 5), "nextYear": datetime(2023, 6, 7)}
 for _kind in RUNTIME_DATES:
-    _a, _b = (f"timestamp '{x:%Y-%m-%d %H:%M:%S}'" for x in date_range(_kind, AS_OF))
+    # events are of one month: a moment from which the kind means it
+    _moment = _MOMENTS.get(_kind, AS_OF)
+    _a, _b = (f"timestamp '{x:%Y-%m-%d %H:%M:%S}'" for x in date_range(_kind, _moment))
     _where = f"ts >= {_a} and ts < {_b}" if _kind != "now" else f"ts <= {_a}"
     _op = "lessThanOrEqual" if _kind == "now" else "equal"
     _report(
         f"date_range_{_kind}",
         {"entity": "events", "columns": [{"field": "event_id", "alias": "event_id"}, {"field": "event_type", "alias": "event_type"}], "parameters": [{"name": "when", "contextValue": _kind}], "condition": {"field": "ts", "operator": _op, "parameter": "when"}},
         f"select event_id, event_type from events where {_where}",
+        as_of=_moment,
     )
 _report(
     "current_user",
@@ -126,8 +175,8 @@ _report(
 )
 _report(
     "not_in_report",
-    {"entity": "customer", "columns": [{"field": {"self": True}, "alias": "id"}], "condition": {"all": [{"field": "c_custkey", "operator": "notInList", "value": {"report": {"entity": "orders", "columns": [{"field": "o_custkey", "alias": "k"}]}}}]}},
-    "select c_custkey as id from customer where not exists (select 1 from orders where o_custkey = c_custkey)",
+    {"entity": "customer", "columns": [{"field": {"self": True}, "alias": "id"}], "condition": {"all": [{"field": "c_custkey", "operator": "notInList", "value": {"report": {"entity": "orders", "columns": [{"field": "o_custkey", "alias": "k"}], "condition": {"field": "o_totalprice", "operator": "greaterThan", "value": 200000.0}}}}]}},
+    "select c_custkey as id from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_totalprice > 200000)",
 )
 
 # Relation paths
@@ -333,7 +382,7 @@ def _priority(spark, d):
 
 @_query("json_paths", "with v as (select event_id, ts, props from events) select '$' as path, 'object' as types, count(*) as occurrences, false as nullable, min(event_id) as first_id from v union all select '$.k', 'number', count(*), false, min(event_id) from v where json_extract(props, '$.k') is not null")
 def _json_paths(spark, d):
-    return jsonwalk.path_catalogue(jsonwalk.walk(_read(spark, d, "events"), "event_id", "props"))
+    return jsonwalk.path_catalogue(jsonwalk.walk(_read(spark, d, "events"), "event_id", "props")).drop("samples")
 
 
 def _order_json(spark, d):
@@ -459,9 +508,9 @@ def _presence(spark, d):
     return merge.presence(n.select("n_name"), "n_name", {"low": (low, "n"), "supplier": (sup, "n_name")})
 
 
-@_query("absent_values", "select distinct c_custkey from customer where c_custkey not in (select o_custkey from orders) order by 1 limit 200")
+@_query("absent_values", "select distinct c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 200000) order by 1 limit 200")
 def _absent(spark, d):
-    return merge.absent(_read(spark, d, "customer"), "c_custkey", _read(spark, d, "orders"), "o_custkey", 200)
+    return merge.absent(_read(spark, d, "customer"), "c_custkey", _read(spark, d, "orders").where("o_totalprice > 200000"), "o_custkey", 200)
 
 
 @_query("staleness", "select doc_id, case when doc_id % 11 = 0 then 'gone' when doc_id % 5 = 0 then 'changed' when doc_id % 7 = 0 then 'new' end as state from documents where doc_id % 11 = 0 or doc_id % 5 = 0 or doc_id % 7 = 0")
@@ -642,9 +691,9 @@ def _retrieve_page(spark, d):
     return retrieve.page(rows, ["p_partkey"], 50)
 
 
-@_query("find_ambiguous", "select n_nationkey as id, n_name as caption, 3 as tier, case when count(*) over () = 1 then 'found' else 'ambiguous' end as status from nation where contains(lower(n_name), 'an')")
+@_query("find_ambiguous", "select n_nationkey as id, n_name as caption, 3 as tier, case when count(*) over () = 1 then 'found' else 'ambiguous' end as status from nation where contains(lower(n_name), 'ation_1')")
 def _find(spark, d):
-    return retrieve.find(_read(spark, d, "nation"), "n_nationkey", "n_name", "an")
+    return retrieve.find(_read(spark, d, "nation"), "n_nationkey", "n_name", "ation_1")
 
 
 @_query("bounded_projection", "select count(*) as rows, sum(strlen(props))::bigint as bytes, sum(strlen(props)) > 120000 as summarised from events")
@@ -704,8 +753,8 @@ def _trimmed(spark, d):
 
 _report(
     "cond_text_search_any",
-    {"entity": "part", "columns": _PART, "condition": {"field": "p_name", "operator": "advancedTextSearch2", "value": "17 18"}},
-    "select p_partkey, p_name from part where list_has_any(string_split_regex(lower(p_name), '\\s+'), ['17', '18'])",
+    {"entity": "part", "columns": _PART, "condition": {"field": "p_name", "operator": "advancedTextSearch2", "value": "Ring widget"}},
+    "select p_partkey, p_name from part where list_has_any(string_split_regex(lower(p_name), '\\s+'), ['ring', 'widget'])",
     allow_text_search=True,
 )
 _report(
@@ -765,9 +814,9 @@ def _owned(spark, d):
     return _read(spark, d, "part").where(F.col("p_brand").rlike("^(Brand#1|Brand#2)") & ~F.col("p_name").rlike("^(get_|set_)")).select("p_partkey", "p_brand")
 
 
-@_query("domain_tags", "select t as term, count(distinct p_partkey) as types from (values ('1'), ('2'), ('33')) v(t), part where contains(lower(p_name), t) group by 1")
+@_query("domain_tags", "select t as term, count(distinct p_partkey) as types from (values ('red'), ('blue'), ('widget')) v(t), part where contains(lower(p_name), t) group by 1")
 def _domains(spark, d):
-    terms = ["1", "2", "33"]
+    terms = ["red", "blue", "widget"]
     name = F.lower("p_name")
     hits = F.array_compact(F.array(*(F.when(F.contains(name, F.lit(x)), x) for x in terms)))
     return _read(spark, d, "part").select("p_partkey", F.explode(hits).alias("term")).groupBy("term").agg(F.count_distinct("p_partkey").alias("types"))
@@ -844,3 +893,6 @@ def _promotion(spark, d):
 
 def entry(spark: SparkSession, d: str) -> DataFrame:
     return QUERIES["path_join_4hop"](spark, d)
+
+
+from . import queries_model  # noqa: E402,F401  registers its queries

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..errors import SpecError
+
 #: The transitions that each state allows, and the states in which a task holds no scope. From blocked
 #: a task may also return to the state before it.
 EDGES = {
@@ -113,18 +115,65 @@ def deduplicated(stream: DataFrame, keys: list[str], at: str, delay: str = "1 ho
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
+def _version(path: str, number: int) -> str:
+    return f"{path}/version={number:012d}"
+
+
+def _fs(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The whole versions of a board, the oldest first."""
+    at, fs = spark._jvm.org.apache.hadoop.fs.Path(path), _fs(spark, path)
+    if not fs.exists(at):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(at)]
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
+def read_board(spark: SparkSession, path: str) -> DataFrame:
+    """(task, at, state) of the last whole version."""
+    known = _versions(spark, path)
+    if not known:
+        raise SpecError(f"no board at {path}")
+    return spark.read.parquet(_version(path, known[-1]))
+
+
+def scope_conflicts(held: DataFrame, states: DataFrame) -> DataFrame:
+    """(scope, tasks): scopes of held(task, scope) that several tasks hold at once; states(task, state) in RELEASED hold nothing."""
+    holding = held.join(states.where(~F.col("state").isin(*RELEASED)).select("task"), "task", "left_semi")
+    return holding.select("task", "scope").distinct().groupBy("scope").agg(F.count("*").alias("tasks")).where("tasks > 1")
+
+
+def voided(events: DataFrame, key: str, state: str, order: list[str]) -> DataFrame:
+    """The compensating event of each key's last one, (key, from, to): back to the state before; a first event cannot be undone."""
+    w = Window.partitionBy(key).orderBy(*order)
+    last = Window.partitionBy(key).orderBy(*(F.desc(o) for o in order))
+    seen = events.withColumn("to", F.lag(state).over(w)).withColumn("_rn", F.row_number().over(last))
+    return seen.where("_rn = 1 and `to` is not null").select(key, F.col(state).alias("from"), "to")
+
+
+def tail(lines: DataFrame, order: list[str], most: int = 400) -> DataFrame:
+    """The last lines of a log, oldest first: a top-k, not a sort of all."""
+    return lines.orderBy(*(F.desc(o) for o in order)).limit(most).orderBy(*order)
+
+
 def board(stream: DataFrame, path: str, checkpoint: str):
-    """Keep a small table of the tasks' last accepted states, rewritten after each batch."""
+    """Keep a small table of the tasks' last accepted states: a folder for each batch, read by read_board().
+
+    A version is whole once its _SUCCESS stands; a batch builds on the last whole one before it, so neither a failed read
+    nor a crash loses the board, and a batch that runs again writes the same version. The one before is kept, older ones go.
+    """
 
-    def write(batch: DataFrame, _: int) -> None:
+    def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         new = batch.where("accepted").groupBy("task").agg(F.max_by(F.struct("at", "state"), "at").alias("l")).select("task", "l.*")
-        try:
-            old = spark.read.parquet(path)
-        except Exception:  # the first batch finds no table
-            old = new.limit(0)
+        known = [v for v in _versions(spark, path) if v < number]
+        old = spark.read.parquet(_version(path, known[-1])) if known else new.limit(0)
         both = old.unionByName(new).groupBy("task").agg(F.max_by(F.struct("at", "state"), "at").alias("l")).select("task", "l.*")
-        both.write.mode("overwrite").parquet(f"{path}.next")
-        spark.read.parquet(f"{path}.next").write.mode("overwrite").parquet(path)
+        both.write.mode("overwrite").parquet(_version(path, number))
+        for v in known[:-1]:
+            _fs(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(_version(path, v)), True)
 
     return stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(write)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from marlstone.errors import SpecError
 from marlstone.functions import text as t
-from marlstone.operators import audit, batch, evidence, hierarchy, jsonwalk, match, merge, retrieve
+from marlstone.operators import audit, batch, evidence, hierarchy, jsonwalk, match, merge, model, retrieve
 from marlstone.sources import documents, formats, legacy, sinks
 from marlstone.streaming import workflow
 
@@ -206,7 +206,30 @@ def test_state_machine(spark, tmp_path):
     b = workflow.board(workflow.run_state_machine(workflow.stream_events(spark, str(path))), str(tmp_path / "board"), str(tmp_path / "cp")).start()
     b.processAllAvailable()
     b.stop()
-    assert rows(spark.read.parquet(str(tmp_path / "board")).select("task", "state")) == [("t1", "architecture"), ("t2", "new")]
+    assert rows(workflow.read_board(spark, str(tmp_path / "board")).select("task", "state")) == [("t1", "architecture"), ("t2", "new")]
     edges = workflow.edge_rows(spark)
     batch_events = spark.createDataFrame([(i, k, s) for i, (k, s) in enumerate(log)], "i int, task string, state string")
     assert workflow.transitions(batch_events, "task", "state", ["i"], edges, back="blocked").where("legal").count() == 4
+
+
+def test_mixed_arrays(spark):
+    doc = [{"$type": "x", "p": 1}, {"$type": "y", "q": 2, "in": [{"$type": "x", "r": 3}]}]
+    w = jsonwalk.walk(spark.createDataFrame([(1, json.dumps(doc))], "k long, j string"), "k", "j")
+    assert rows(jsonwalk.type_catalogue(w)) == [("x", 2, ["$type", "p", "r"]), ("y", 1, ["$type", "in", "q"])]
+    samples = {r.path: r.samples for r in jsonwalk.path_catalogue(w, 1).collect()}
+    assert samples["$[*].p"] == [1]
+
+
+def test_board_survives_a_broken_version(spark, tmp_path):
+    path = tmp_path / "board"
+    with pytest.raises(SpecError):
+        workflow.read_board(spark, str(path))
+    spark.createDataFrame([("t1", "ready")], "task string, state string").write.parquet(f"{path}/version={1:012d}")
+    (path / f"version={2:012d}").mkdir()  # a crash before _SUCCESS
+    assert rows(workflow.read_board(spark, str(path))) == [("t1", "ready")]
+
+
+def test_placeholders():
+    assert model.substituted({"a": ["{{x}}", "b", {"c": "{{y}}"}]}, {"x": 1, "y": None}) == {"a": [1, "b", {"c": None}]}
+    with pytest.raises(SpecError):
+        model.substituted(["{{z}}"], {})

@@ -78,7 +78,8 @@ def test_details_do_not_multiply(catalog):
 
 def test_tree(catalog):
     spec = {"entity": "node", "columns": [{"field": "name", "alias": "name"}], "selfReferencingField": "parent"}
-    assert sorted((r.name, r.level) for r in compile_report(catalog, spec).collect()) == [("a", 1), ("b", 2), ("root", 0)]
+    assert sorted((r.name, r.level) for r in compile_report(catalog, {**spec, "includeDeleted": True}).collect()) == [("a", 1), ("b", 2), ("root", 0)]
+    assert sorted((r.name, r.level) for r in compile_report(catalog, spec).collect()) == [("a", 1), ("root", 0)]  # b is deleted
     assert sorted(r.name for r in compile_report(catalog, {**spec, "treeAutoOpenLevels": 1}).collect()) == ["a", "root"]
 
 
@@ -134,3 +135,31 @@ def test_selectors():
             parse(bad)
     key = stable_key("name")
     assert len(key) == 7 and len(stable_key("name", {key})) == 8
+
+
+def test_tree_takes_the_condition(catalog):
+    spec = {"entity": "node", "columns": [{"field": "name", "alias": "name"}], "selfReferencingField": "parent"}
+    names = lambda more: sorted((r.name, r.level) for r in compile_report(catalog, {**spec, **more}).collect())
+    whole = names({})
+    is_a = {"field": "name", "operator": "equal", "value": "a"}
+    assert names({"condition": is_a}) == [x for x in whole if x[0] == "a"]
+    assert names({"additionalWhere": "name <> 'a'"}) == [x for x in whole if x[0] != "a"]
+    # a row that treeCondition rules out ends its branch
+    assert names({"treeCondition": {"field": "name", "operator": "equal", "value": "root"}}) == [("root", 0)]
+    assert ("a", 0) in names({"treeCondition": is_a, "useHierarchyConditionForRoot": True})
+    with pytest.raises(UnsupportedSemantics):
+        names({"isDistinct": True})
+
+
+@pytest.mark.parametrize("kind", ["gantt", "form", "dashboard", "print"])
+def test_kinds_without_rows(catalog, kind):
+    with pytest.raises(UnsupportedSemantics):
+        compile_report(catalog, {"entity": "node", "columns": [{"field": "name", "alias": "name"}], "reportType": kind})
+
+
+def test_aliases_and_parents_are_checked(catalog):
+    spec = {"entity": "node", "columns": [{"field": "name", "alias": "name"}]}
+    with pytest.raises(SpecError):
+        compile_report(catalog, {**spec, "joinAliases": [{"name": "x", "field": "parent"}, {"name": "x", "field": "parent"}]})
+    with pytest.raises(SpecError):
+        compile_report(catalog, {**spec, "parameters": [{"name": "Id", "external": True}], "condition": {"field": "name", "operator": "equal", "parameter": "Id"}})
