@@ -10,20 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, exactdup, html, license, linededup, neardup, packing, pii, quality, qualityrules
 from .common import table
+from .oracles import oracle_sql as oracle_sql
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-OP9_SQL = r"""
-with d as (select doc_id, regexp_replace(coalesce(text, ''), '[ \t\n\x0B\f\r]+', ' ', 'g') as norm from documents),
-g as (select norm, min(doc_id) as keep_id, count(*) as group_size from d group by norm)
-select d.doc_id, g.keep_id, g.group_size, d.doc_id is not distinct from g.keep_id as kept, sha256(d.norm) as text_sha256
-from d join g using (norm)
-"""
-
-
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -68,7 +61,3 @@ def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {"op1_bpe_round_trip": op1_bpe_round_trip, "op5_packing": op5_packing, "op2_pii": op2_pii, "op3_minhash_near_dedup": op3_minhash_near_dedup, "op4_quality_rules": op4_quality_rules, "op6_html_main_text": op6_html_main_text, "op7_license_scan": op7_license_scan, "op8_line_dedup": op8_line_dedup, "op9_exact_dedup": op9_exact_dedup, "op10_quality_classifier": op10_quality_classifier}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {"op9_exact_dedup": OP9_SQL}
