@@ -48,6 +48,8 @@ BAND = 1.03
 PARITY = 1024
 #: Members that are verified against one copy of their hub's set.
 CHUNK = 256
+#: Shingles of the sets of one block, on average; a larger set makes a larger block.
+BLOCK = 1 << 14
 
 _SKETCHED = T.StructType(
     [
@@ -99,6 +101,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.empty(0, np.int64)))
 
 
+def _values(lists: pa.ChunkedArray) -> np.ndarray:
+    """The members of all lists of a column, one after the other."""
+    return np.concatenate([c.flatten().to_numpy() for c in lists.chunks] or [np.empty(0, np.int64)])
+
+
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Small slices: what is held at once follows a slice, not an Arrow batch."""
     for b in batches:
@@ -195,29 +202,61 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.select("a", "b", "set").mapInArrow(_verify_batches(percent), "a long, b long")
 
 
+def _block_counts(block: pa.Table) -> pa.Table:
+    """(block, v, holders): the distinct shingles of one block, and how many of its sets hold them."""
+    v, holders = np.unique(_values(block.column("set")), return_counts=True)
+    return pa.table({"block": np.full(len(v), block.column("block")[0].as_py(), np.int64), "v": v, "holders": holders.astype(np.int64)})
+
+
+def _block_prefixes(percent: int):
+    """For each member of a block the rows (v, p) of its prefix, from the shingles that more than one set holds."""
+
+    def run(block: pa.Table, ranks: pa.Table) -> pa.Table:
+        v, df = ranks.column("v").to_numpy(), ranks.column("df").to_numpy()
+        by_value = np.argsort(v)
+        v, df = v[by_value], df[by_value]
+        rank = np.empty(len(v), np.int64)
+        rank[np.lexsort((v, df))] = np.arange(len(v))  # rarest first
+        at, places, picked = [], [], []
+        for i, s in enumerate(block.column("set")):
+            held = np.flatnonzero(np.isin(v, s.values.to_numpy(), assume_unique=True))
+            n = len(s)
+            # shingles of one set alone come first in the order: they only shift positions
+            alone = n - len(held)
+            first = held[np.argsort(rank[held])][: max(0, -(-n * (100 - percent) // 100) + 1 - alone)]
+            at.append(np.full(len(first), i))
+            places.append(alone + 1 + np.arange(len(first)))
+            picked.append(v[first])
+        rows = block.select(["node", "n", "comp", "odd"]).take(pa.array(np.concatenate(at), pa.int64()))
+        return rows.append_column("v", pa.array(np.concatenate(picked), pa.int64())).append_column("p", pa.array(np.concatenate(places), pa.int64()))
+
+    return run
+
+
 def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs(a, b) of members(node, comp, odd) of different components that can reach the threshold: a prefix join.
+    """Pairs(a, b) of members(node, comp, odd, block) of different components that can reach the threshold: a prefix join.
+
+    Members of one list share most of their shingles, so holders of a shingle are counted block by block: a block sends
+    each of its distinct shingles once, not once for each member, and gets back in how many sets all members hold it.
 
     In the order rarest first, let position be a shingle's place in a set of n. Two sets whose first common
     shingle has positions p and q share min(n - p, m - q) + 1 at most, and must share (n + m) percent / (100 + percent).
     So a row at p meets partners of up to (n - p + 1) (100 + percent) / percent - n shingles only: rows of the larger
     set are sent to the bands of such sizes, rows of the smaller set to their own.
     """
-    # dealt by hash: sets of one region of the table would fill few tasks with their shingles
-    held = sets.join(members, "node").withColumn("n", F.size("set").cast("long")).repartition("node")
-    elements = held.select("node", F.explode("set").alias("v"))
-    common = elements.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
-    order = F.array_sort(F.collect_list(F.struct("df", "v")))
-    # shingles of one set alone come first in the order: they only shift positions
-    rare = elements.join(common, "v").groupBy("node").agg(order.alias("common")).join(held.select("node", "n", "comp", "odd"), "node")
-    rows = rare.select("node", "n", "comp", "odd", F.posexplode(F.slice("common", 1, F.greatest(F.lit(0), F.ceil(F.col("n") * (100 - percent) / 100) + 1 - (F.col("n") - F.size("common"))).cast("int"))).alias("i", "at"), F.size("common").alias("c"))
-    rows = rows.select("node", "n", "comp", "odd", F.col("at.v").alias("v"), (F.col("n") - F.col("c") + F.col("i") + 1).alias("p"))
+    held = sets.join(members, "node").withColumn("n", F.size("set").cast("long"))
+    counts = stored(held.select("block", "set").groupBy("block").applyInArrow(_block_counts, "block long, v long, holders long"), "near-blocks")
+    common = stored(counts.groupBy("v").agg(F.sum("holders").alias("df"), F.count("*").alias("blocks")).where("df > 1"), "near-common")
+    ranks = skew_join(counts, common, ["v"], "blocks").select("block", "v", "df")
+    prefixes = held.select("block", "node", "n", "comp", "odd", "set").groupBy("block").cogroup(ranks.groupBy("block"))
+    rows = prefixes.applyInArrow(_block_prefixes(percent), "node long, n long, comp long, odd array<long>, v long, p long")
     rows = rows.withColumn("most", F.least("n", F.floor((F.col("n") - F.col("p") + 1) * (100 + percent) / percent) - F.col("n")))
     band = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BAND)))
     least = F.ceil(F.col("n") * percent / 100)
     larger = rows.where(F.col("most") >= least).select("v", F.explode(F.sequence(band(least), band(F.col("most")))).alias("band"), *(F.col(c).alias(f"{c}b") for c in ("node", "n", "comp", "p", "odd")))
     smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p", "odd")))
     larger, smaller = stored(larger, "near-larger"), stored(smaller, "near-smaller")
+    free(counts, common)
     both = larger.select("v", "band", F.col("compb").alias("comp")).unionByName(smaller.select("v", "band", F.col("compa").alias("comp")))
     mixed = both.groupBy("v", "band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "band")
     share = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
@@ -319,12 +358,15 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     first = stored(_confirmed(stars, sets, percent), "near-links")
     comp = components(first)
     members = stored(lists.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")), "near-members")
-    open_lists = members.groupBy("v").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "members")
+    open_lists = members.groupBy("v").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "members", "shingles")
     left = members.join(open_lists, "v")
     short = left.where(F.col("members") <= SHORT)
     side = lambda x: short.select("v", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("odd").alias(f"o{x}"), F.col("comp").alias(f"c{x}"))
     pairs = side("a").join(side("b"), "v").where("a < b and ca <> cb").where(_promising(percent)).select("a", "b")
-    long = stored(left.where(F.col("members") > SHORT).select("node", "comp", "odd").distinct(), "near-long")
+    # the longest list of a member gives its block, so that sets of one block are alike; long lists make many blocks
+    longest = left.where(F.col("members") > SHORT).groupBy("node", "comp").agg(F.first("odd").alias("odd"), F.max(F.struct("members", "v", "shingles")).alias("at"))
+    block = F.xxhash64("at.v", F.pmod(F.xxhash64("node"), F.ceil(F.col("at.shingles") / BLOCK)))
+    long = stored(longest.select("node", "comp", "odd", block.alias("block")), "near-long")
     pairs = pairs.unionByName(_full_pairs(long, sets, percent))
     pairs = stored(pairs.distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
     second = stored(_confirmed(pairs, sets, percent), "near-links")

@@ -90,6 +90,22 @@ def test_near_duplicates(spark, monkeypatch, short):
     assert {r.doc_id for r in rest.collect()} == {i for i, (_, c) in want.items() if c == i}
 
 
+@pytest.mark.parametrize("shingles", [64, neardup.BLOCK])
+def test_full_pairs_in_blocks(spark, monkeypatch, shingles):
+    # variants of one text in one long list: every linked pair of different components is found, however blocks are cut
+    monkeypatch.setattr(neardup, "SHORT", 1)
+    monkeypatch.setattr(neardup, "BLOCK", shingles)
+    rng = random.Random(21)
+    base, texts = [f"w{j}" for j in range(120)], {}
+    for i in range(60):
+        w = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            w[rng.randrange(len(w))] = f"e{i}" if rng.random() < 0.5 else f"e{rng.randrange(4)}"
+        texts[i] = " ".join(w)
+    got = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), percent=80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 80)
+
+
 def test_near_duplicates_above_sketch(spark):
     # sets of 32 shingles inside sets of 37: the larger set's sketch may lack 5 of the 32
     rng = random.Random(12)
