@@ -50,6 +50,8 @@ PARITY = 1024
 CHUNK = 256
 #: Shingles of the sets of one block, on average; a larger set makes a larger block.
 BLOCK = 1 << 14
+#: Values before its own that a row of a prefix carries.
+BEFORE = 16
 
 _SKETCHED = T.StructType(
     [
@@ -209,7 +211,7 @@ def _block_counts(block: pa.Table) -> pa.Table:
 
 
 def _block_prefixes(percent: int):
-    """For each member of a block the rows (v, p) of its prefix, from the shingles that more than one set holds."""
+    """For each member of a block the rows (v, p, before) of its prefix, from the shingles that more than one set holds."""
 
     def run(block: pa.Table, ranks: pa.Table) -> pa.Table:
         v, df = ranks.column("v").to_numpy(), ranks.column("df").to_numpy()
@@ -217,7 +219,7 @@ def _block_prefixes(percent: int):
         v, df = v[by_value], df[by_value]
         rank = np.empty(len(v), np.int64)
         rank[np.lexsort((v, df))] = np.arange(len(v))  # rarest first
-        at, places, picked = [], [], []
+        at, places, picked, before = [], [], [], []
         for i, s in enumerate(block.column("set")):
             held = np.flatnonzero(np.isin(v, s.values.to_numpy(), assume_unique=True))
             n = len(s)
@@ -227,8 +229,10 @@ def _block_prefixes(percent: int):
             at.append(np.full(len(first), i))
             places.append(alone + 1 + np.arange(len(first)))
             picked.append(v[first])
+            before += [v[first[max(0, j - BEFORE) : j]] for j in range(len(first))]
         rows = block.select(["node", "n", "comp", "odd"]).take(pa.array(np.concatenate(at), pa.int64()))
-        return rows.append_column("v", pa.array(np.concatenate(picked), pa.int64())).append_column("p", pa.array(np.concatenate(places), pa.int64()))
+        rows = rows.append_column("v", pa.array(np.concatenate(picked), pa.int64())).append_column("p", pa.array(np.concatenate(places), pa.int64()))
+        return rows.append_column("before", _lists(before))
 
     return run
 
@@ -239,6 +243,10 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Members of one list share most of their shingles, so holders of a shingle are counted block by block: a block sends
     each of its distinct shingles once, not once for each member, and gets back in how many sets all members hold it.
 
+    A pair meets at every shingle that both prefixes hold, and need be made at the first alone. There both sizes allow
+    the most, so all that holds at a later place holds there. Rows carry the BEFORE values ahead of their own: a pair
+    whose rows share one of them has met before and isn't made again. Farther back a pair may be made anew, never lost.
+
     In the order rarest first, let position be a shingle's place in a set of n. Two sets whose first common
     shingle has positions p and q share min(n - p, m - q) + 1 at most, and must share (n + m) percent / (100 + percent).
     So a row at p meets partners of up to (n - p + 1) (100 + percent) / percent - n shingles only: rows of the larger
@@ -249,12 +257,12 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     common = stored(counts.groupBy("v").agg(F.sum("holders").alias("df"), F.count("*").alias("blocks")).where("df > 1"), "near-common")
     ranks = skew_join(counts, common, ["v"], "blocks").select("block", "v", "df")
     prefixes = held.select("block", "node", "n", "comp", "odd", "set").groupBy("block").cogroup(ranks.groupBy("block"))
-    rows = prefixes.applyInArrow(_block_prefixes(percent), "node long, n long, comp long, odd array<long>, v long, p long")
+    rows = prefixes.applyInArrow(_block_prefixes(percent), "node long, n long, comp long, odd array<long>, v long, p long, before array<long>")
     rows = rows.withColumn("most", F.least("n", F.floor((F.col("n") - F.col("p") + 1) * (100 + percent) / percent) - F.col("n")))
     band = lambda x: F.floor(F.log(x.cast("double")) / F.log(F.lit(BAND)))
     least = F.ceil(F.col("n") * percent / 100)
-    larger = rows.where(F.col("most") >= least).select("v", F.explode(F.sequence(band(least), band(F.col("most")))).alias("band"), *(F.col(c).alias(f"{c}b") for c in ("node", "n", "comp", "p", "odd")))
-    smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p", "odd")))
+    larger = rows.where(F.col("most") >= least).select("v", F.explode(F.sequence(band(least), band(F.col("most")))).alias("band"), *(F.col(c).alias(f"{c}b") for c in ("node", "n", "comp", "p", "odd", "before")))
+    smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p", "odd", "before")))
     larger, smaller = stored(larger, "near-larger"), stored(smaller, "near-smaller")
     free(counts, common)
     both = larger.select("v", "band", F.col("compb").alias("comp")).unionByName(smaller.select("v", "band", F.col("compa").alias("comp")))
@@ -262,7 +270,7 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     share = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
     met = smaller.join(mixed, ["v", "band"]).join(larger, ["v", "band"])
-    met = met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share).where(_close(F.col("na"), F.col("nb"), F.col("odda"), F.col("oddb"), percent))
+    met = met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share).where(~F.arrays_overlap("beforea", "beforeb")).where(_close(F.col("na"), F.col("nb"), F.col("odda"), F.col("oddb"), percent))
     return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
 
 
