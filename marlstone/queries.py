@@ -478,10 +478,10 @@ def _conflicts(spark, d):
     return match.first_clash(o, "id", "entries", "pos")
 
 
-@_query("full_merge", "select coalesce(d.doc_id, l.doc_id + 0) as doc_id, d.lang as lang_a, null::varchar as lang_b, case when d.doc_id is not null and l.doc_id is not null then 'both' when l.doc_id is null then 'a' else 'b' end as source from (select * from documents where doc_id % 2 = 0) d full join labels l on d.doc_id = l.doc_id")
+@_query("full_merge", "select coalesce(d.doc_id, l.doc_id) as doc_id, d.lang as lang_a, null::varchar as lang_b, case when d.doc_id is not null and l.doc_id is not null then 'both' when l.doc_id is null then 'a' else 'b' end as source from documents d full join (select doc_id * 2 as doc_id from labels) l on d.doc_id = l.doc_id")
 def _full_merge(spark, d):
-    a = _read(spark, d, "documents").where("doc_id % 2 = 0").select("doc_id", "lang")
-    b = _read(spark, d, "labels").select("doc_id", F.lit(None).cast("string").alias("lang"))
+    a = _read(spark, d, "documents").select("doc_id", "lang")
+    b = _read(spark, d, "labels").select((F.col("doc_id") * 2).alias("doc_id"), F.lit(None).cast("string").alias("lang"))
     return merge.full_merge(a, b, "doc_id", apart=["lang"])
 
 
@@ -491,21 +491,21 @@ def _last_known(spark, d):
     return merge.last_known(e, "user_id", "event_id", ["event_type", "value"])
 
 
-@_query("assign_systems", "select l_orderkey, l_linenumber, coalesce(s.s_nationkey, c.c_nationkey) as system from lineitem left join (select * from supplier where s_suppkey % 2 = 0) s on l_suppkey = s_suppkey left join orders on l_orderkey = o_orderkey left join customer c on o_custkey = c_custkey")
+@_query("assign_systems", "select l_orderkey, l_linenumber, coalesce(s.s_nationkey, c.c_nationkey) as system from lineitem left join (select s_suppkey * 2 as k, s_nationkey from supplier) s on l_suppkey = k left join orders on l_orderkey = o_orderkey left join customer c on o_custkey = c_custkey")
 def _assign(spark, d):
     li = _read(spark, d, "lineitem").join(_read(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left")
     rows = li.select("l_orderkey", "l_linenumber", F.concat(F.lit("s"), "l_suppkey").alias("a"), F.concat(F.lit("c"), "o_custkey").alias("b"))
-    own = _read(spark, d, "supplier").where("s_suppkey % 2 = 0").select(F.concat(F.lit("s"), "s_suppkey").alias("id"), F.col("s_nationkey").alias("system"))
+    own = _read(spark, d, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey") * 2).alias("id"), F.col("s_nationkey").alias("system"))
     own = own.unionByName(_read(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_nationkey").alias("system")))
     return merge.assign(rows, ["a", "b"], own, "id", "system").select("l_orderkey", "l_linenumber", "system")
 
 
-@_query("presence_matrix", "select n_name, upper(n_name) in (select upper(n_name) from nation where n_regionkey < 2) as in_low, n_nationkey in (select s_nationkey from supplier) as in_supplier from nation")
+@_query("presence_matrix", "select n_name, n_nationkey in (select c_nationkey from customer where c_acctbal < -950) as in_debt, n_nationkey in (select s_nationkey from supplier) as in_supplier from nation")
 def _presence(spark, d):
     n = _read(spark, d, "nation")
-    low = n.where("n_regionkey < 2").select(F.upper("n_name").alias("n"))
+    debt = _read(spark, d, "customer").where("c_acctbal < -950").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.upper("n_name").alias("n"))
     sup = _read(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select("n_name")
-    return merge.presence(n.select("n_name"), "n_name", {"low": (low, "n"), "supplier": (sup, "n_name")})
+    return merge.presence(n.select("n_name"), "n_name", {"debt": (debt, "n"), "supplier": (sup, "n_name")})
 
 
 @_query("absent_values", "select distinct c_custkey from customer where c_custkey not in (select o_custkey from orders where o_totalprice > 200000) order by 1 limit 200")
@@ -513,13 +513,15 @@ def _absent(spark, d):
     return merge.absent(_read(spark, d, "customer"), "c_custkey", _read(spark, d, "orders").where("o_totalprice > 200000"), "o_custkey", 200)
 
 
-@_query("staleness", "select doc_id, case when doc_id % 11 = 0 then 'gone' when doc_id % 5 = 0 then 'changed' when doc_id % 7 = 0 then 'new' end as state from documents where doc_id % 11 = 0 or doc_id % 5 = 0 or doc_id % 7 = 0")
+@_query(
+    "staleness",
+    "with o as (select doc_id, sha256(coalesce(text, '')) as h from documents), n as (select doc_id + 11 as doc_id, h from o), "
+    "j as (select coalesce(o.doc_id, n.doc_id) as doc_id, case when n.doc_id is null then 'gone' when o.doc_id is null then 'new' when n.h <> o.h then 'changed' end as state from o full join n on o.doc_id = n.doc_id) select * from j where state is not null",
+)
 def _stale(spark, d):
     h = _read(spark, d, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    i = F.col("doc_id")
-    old = h.where((i % 11 == 0) | (i % 5 == 0) | (i % 7 != 0))
-    now = h.where(i % 11 != 0).withColumn("h", F.when(i % 5 == 0, F.concat("h", F.lit("x"))).otherwise(F.col("h")))
-    return merge.staleness(old, now, "doc_id", "h")
+    now = h.select((F.col("doc_id") + 11).alias("doc_id"), "h")
+    return merge.staleness(h, now, "doc_id", "h")
 
 
 @_query("append_if_new", "select n_name, n_regionkey from nation union all select r_name, r_regionkey from region where r_name not in (select n_name from nation)")
@@ -713,10 +715,10 @@ def _audit_budget(spark, d):
     return audit.budget(_read(spark, d, "documents"), "n_chars", F.col("source") == "src0", F.col("lang") == "en")
 
 
-@_query("group_membership", "select l_suppkey as item, 'duplicated' as problem from lineitem group by 1 having count(distinct l_returnflag) > 1 union all select distinct l_suppkey, 'drift' from lineitem where l_suppkey not in (select s_suppkey from supplier where s_suppkey > 5) union all select s_suppkey, 'uncovered' from supplier where s_suppkey > 5 and s_suppkey not in (select l_suppkey from lineitem)")
+@_query("group_membership", "select l_suppkey as item, 'duplicated' as problem from lineitem group by 1 having count(distinct l_returnflag) > 1 union all select distinct l_suppkey, 'drift' from lineitem where l_suppkey not in (select s_suppkey + 5 from supplier) union all select s_suppkey + 5, 'uncovered' from supplier where s_suppkey + 5 not in (select l_suppkey from lineitem)")
 def _membership(spark, d):
     m = _read(spark, d, "lineitem").select(F.col("l_suppkey").alias("item"), "l_returnflag")
-    return audit.group_membership(m, _read(spark, d, "supplier").where("s_suppkey > 5").select(F.col("s_suppkey").alias("item")), "l_returnflag", "item")
+    return audit.group_membership(m, _read(spark, d, "supplier").select((F.col("s_suppkey") + 5).alias("item")), "l_returnflag", "item")
 
 
 @_query("unique_constraint", "select o_custkey, o_orderstatus, count(*) as n from orders group by 1, 2 having count(*) > 1")
@@ -843,10 +845,12 @@ def _systems(spark, d):
     return j.select(F.col("n_nationkey").alias("system"), a.alias("artifact"), b.alias("legacy"), F.when(F.col("n_regionkey") < 3, a == b).alias("agrees"))
 
 
-@_query("acceptance_ids", "select doc_id, case when doc_id % 3 = 0 then 'AC-' || (doc_id % 4) || ',AC-9' else 'AC-9' end as ids from documents")
+@_query(
+    "acceptance_ids",
+    "select doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(coalesce(text, '') || ' AC-' || n_chars || ', AC-9', 'AC-[0-9]+'))), ',') as ids from documents",
+)
 def _acceptance(spark, d):
-    k = F.col("doc_id")
-    text = F.concat(F.lit("see AC-9, "), F.when(k % 3 == 0, F.concat(F.lit("AC-"), k % 4, F.lit(" and AC-9"))).otherwise(F.lit("")))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" AC-"), "n_chars", F.lit(", AC-9"))
     return _read(spark, d, "documents").select("doc_id", F.array_join(t.acceptance_ids(text), ",").alias("ids"))
 
 

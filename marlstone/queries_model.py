@@ -143,10 +143,10 @@ def _queue(spark, d):
     return model.queue_positions(_read(spark, d, "orders"), F.col("o_orderstatus") == "O", ["o_orderdate", "o_orderkey"], "o_custkey").select("o_orderkey", "o_custkey", "position")
 
 
-@_query("composite_order", "select p_partkey, p_brand, case when p_size > 10 then p_size end as n from part order by coalesce(case when p_size > 10 then p_size end, 0), p_partkey limit 50")
+@_query("composite_order", "select p_partkey, p_brand, case when p_size > 10 then p_size end as n from part order by coalesce(case when p_size > 10 then p_size end, 0), p_partkey")
 def _composite(spark, d):
     part = _read(spark, d, "part").select("p_partkey", "p_brand", F.when(F.col("p_size") > 10, F.col("p_size")).alias("n"))
-    return model.composite_order(part, {"n": 0, "p_partkey": 0}).limit(50)
+    return model.composite_order(part, {"n": 0, "p_partkey": 0})
 
 
 @_query("unknown_parameters", "select distinct o_custkey as name from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0)")
@@ -185,12 +185,12 @@ def _read_back(spark, d):
 
 @_query(
     "remapped_ids",
-    "with m as (select o_orderkey as old, o_orderkey + 1000000 as new from orders where o_orderkey % 2 = 0) "
+    "with m as (select o_orderkey * 2 as old, o_orderkey + 1000000 as new from orders) "
     "select coalesce(a.new, o_orderkey) as id, coalesce(b.new, o_custkey) as target from orders left join m a on a.old = o_orderkey left join m b on b.old = o_custkey",
 )
 def _remap(spark, d):
     orders = _read(spark, d, "orders")
-    ids = orders.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("old"), (F.col("o_orderkey") + 1000000).alias("new"))
+    ids = orders.select((F.col("o_orderkey") * 2).alias("old"), (F.col("o_orderkey") + 1000000).alias("new"))
     return model.remapped(orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("target")), ids)
 
 

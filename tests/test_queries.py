@@ -11,6 +11,7 @@ from marlstone import queries as own
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SOME = ["path_join_4hop", "detail_totals", "summary_row", "row_number", "cascade_match", "gate_order", "json_walk_owners", "plan_levels", "cond_not_in_list", "evidence_ledger"]
+WHOLE = ["full_merge", "assign_systems", "presence_matrix", "staleness", "group_membership", "acceptance_ids", "composite_order", "remapped_ids"]
 
 
 def plain(v):
@@ -26,7 +27,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", SOME)
+@pytest.mark.parametrize("name", SOME + WHOLE)
 def test_against_sql(spark, duck, name):
     df = own.QUERIES[name](spark, SF)
     got = sorted((tuple(plain(v) for v in r) for r in df.collect()), key=str)
