@@ -29,8 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     return there
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared store; nothing where the session has ended."""
+    _kept.pop(path, None)
     jvm, sc = spark._jvm, spark.sparkContext
     if jvm is None or sc._jsc is None:
         return
@@ -38,9 +39,24 @@ def _remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _remove_at_exit(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):  # the session may be gone already
-        _remove(spark, path)
+#: Folders that are deleted at the end of the driver's process, if nothing removes them before.
+_kept: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def _remove_kept() -> None:
+    for path, spark in list(_kept.items()):
+        with contextlib.suppress(Exception):  # the session may be gone already
+            remove(spark, path)
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The URI of a new folder of the shared store. remove() deletes it, or else the end of the driver's process."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+    _kept[path] = spark
+    return path
 
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
@@ -51,7 +67,7 @@ def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
-    atexit.register(_remove_at_exit, spark, path)
+    _kept[path] = spark
     out = spark.read.schema(df.schema).parquet(path)
     setattr(out, _PATH, path)
     return out
@@ -62,5 +78,5 @@ def free(*tables: DataFrame) -> None:
     for t in tables:
         path = getattr(t, _PATH, None)
         if path:
-            _remove(t.sparkSession, path)
+            remove(t.sparkSession, path)
             delattr(t, _PATH)
