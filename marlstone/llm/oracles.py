@@ -79,5 +79,36 @@ from d join g using (norm)
 """
 
 
+
+
+def _op11(k: int = 8, rounds: int = 10) -> str:
+    """Distances of all vectors to all centroids, round by round."""
+    near = "a{r} as materialized (select vec_id, q, arg_min(struct_pack(j, d), struct_pack(d, j)) as best from (select vec_id, x.q, j, list_sum(list_transform(range(1, 65), lambda i: (x.q[i] - c.q[i]) * (x.q[i] - c.q[i])))::bigint as d from kept x, c{r} c) group by vec_id, q)"
+    mean = "c{n} as materialized (select c.j, coalesce(m.q, c.q) as q from c{r} c left join (select j, list(((s - ((s % n) + n) % n) // n)::bigint order by i) as q from (select best.j as j, i, sum(q[i])::bigint as s, count(*)::bigint as n from a{r}, unnest(range(1, 65)) u(i) group by best.j, i) group by j) m on c.j = m.j)"
+    steps = [near.format(r=r) + ", " + mean.format(r=r, n=r + 1) for r in range(rounds)]
+    return f"""
+with kept as materialized (select vec_id, list_transform(embedding, lambda v: floor(1024 * v::double)::bigint) as q from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda v: v is not null and isfinite(v))) = 64),
+c0 as materialized (select (row_number() over (order by h) - 1)::integer as j, q from (select sha256('3:' || vec_id) as h, q from kept order by h limit {k})),
+{", ".join(steps)}, {near.format(r=rounds)},
+t as (select best.j as j, sum(best.d)::bigint as d from a{rounds} group by best.j)
+select vec_id, best.j as cluster, best.d as distance, t.d as cluster_inertia, (select sum(d)::bigint from t) as inertia, sha256(array_to_string(c.q, ',')) as centroid_sha256
+from a{rounds} a join t on t.j = a.best.j join c{rounds} c on c.j = t.j
+"""
+
+
+# All documents that share a term with an item, scored in full.
+OP12 = r"""
+with d as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+q as (select distinct item_id, unnest(list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) as term from benchmark),
+g as (select count(*) as docs, sum(len(w))::bigint as total from d where len(w) > 0),
+p as (select doc_id, n, term, count(*) as tf from (select doc_id, len(w) as n, unnest(w) as term from d) where term in (select term from q) group by doc_id, n, term),
+v as (select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as weight from p, g group by term, docs),
+s as (select item_id, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))))::bigint as score from q join v using (term) join p using (term), g group by item_id, doc_id),
+r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from s where score > 0)
+select item_id, rank::integer as rank, doc_id, score from r where rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash_near_dedup": OP3, "op4_quality_rules": OP4, "op7_license_scan": OP7, "op8_line_dedup": OP8, "op9_exact_dedup": OP9}
+    return {"op3_minhash_near_dedup": OP3, "op4_quality_rules": OP4, "op7_license_scan": OP7, "op8_line_dedup": OP8, "op9_exact_dedup": OP9, "op11_centroid_clustering": _op11(), "op12_ranked_search": OP12}
