@@ -109,7 +109,7 @@ def test_blocks_are_skipped():
     n = 20_000
     doc, term = np.nonzero(rng.random((n, 12)) < np.linspace(0.02, 0.5, 12))
     score = rng.integers(1000, 400_000, len(doc)) * np.linspace(4000, 100, 12).astype(int)[term]
-    shard = search.Shard.build(n, doc, term, score)
+    shard = search.Shard.build(n, doc, term, score, cost=1 << 27)
     full = np.zeros(n, np.int64)
     np.add.at(full, doc, score)
     docs, values, scored = shard.search(np.arange(12), 0, 10)
