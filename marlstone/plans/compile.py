@@ -5,6 +5,7 @@ Nothing is executed here but the pivot values of a matrix, if the report doesn't
 
 from __future__ import annotations
 
+import dataclasses
 import re
 from typing import Any
 
@@ -16,6 +17,7 @@ from ..catalog import Catalog, Relation
 from ..errors import SpecError, UnsupportedSemantics
 from ..operators.hierarchy import descend
 from ..operators.tables import stored
+from .access import Restricted
 from .conditions import Bindings, is_leaf, predicate
 from .customsql import screened
 from .spec import ColumnSpec, Path, ReportSpec, load
@@ -93,7 +95,7 @@ def bindings_of(spec: ReportSpec, bind: Bindings) -> Bindings:
             values[name] = bind.runtime(p["contextValue"])
         elif "value" in p:
             values[name] = p["value"]
-    return Bindings({**bind.values, **values}, bind.as_of, bind.current_user, bind.week_starts, bind.allow_text_search, bind.parent)
+    return dataclasses.replace(bind, values={**bind.values, **values})
 
 
 def _of_parent(name: str, parent: dict[str, Any] | None) -> Any:
@@ -103,6 +105,34 @@ def _of_parent(name: str, parent: dict[str, Any] | None) -> Any:
     return parent[name]
 
 
+def with_access(catalog: Catalog, spec: ReportSpec, bind: Bindings) -> Catalog:
+    """The catalog as the report may see it. A report without rules on must be allowed to: it never gets there on its own."""
+    if bind.access is None:
+        return catalog
+    base = catalog.base if isinstance(catalog, Restricted) else catalog
+    if spec.get("ignoreAdvancedSecurityCondition") or not spec.get("useAdvancedAccess", True):
+        if not bind.may_ignore_access:
+            raise SpecError("the report asks for rows without access rules, which this run doesn't allow")
+        return base
+    if isinstance(catalog, Restricted):
+        return catalog
+
+    def filtered(of: Catalog, entity: str, condition: dict) -> DataFrame:
+        src = _Source(of, entity)
+        columns = src.df.columns
+
+        def column(f: Any) -> Column:
+            path = Path.of(f)
+            if _many(src, path):
+                raise SpecError(f"access rule of {entity}: {f!r} passes a relation to many rows")
+            return src.column(path)
+
+        where = predicate(condition, column, bind, src.type)
+        return src.df.where(where).select(*(f"`{c}`" for c in columns))
+
+    return Restricted(base, bind.access, filtered)
+
+
 def aliases_of(spec: ReportSpec, catalog: Catalog) -> dict[str, Path]:
     """The report's named join instances. A name may not hide a relation of the root, nor stand twice."""
     out: dict[str, Path] = {}
@@ -119,6 +149,7 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
     spec = load(report)
     unsupported(spec.raw)
     bind = bindings_of(spec, bind or Bindings())
+    catalog = with_access(catalog, spec, bind)
     if spec.get("selfReferencingField"):
         return _tree(catalog, spec, bind)
     src = _Source(catalog, spec.entity, aliases_of(spec, catalog))
@@ -130,8 +161,8 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
     if spec.get("additionalWhere"):
         src.df = src.df.where(F.expr(screened(spec.get("additionalWhere"), bind.as_of)))
     if spec.get("sqlGrouping") or any(c.aggregate for c in spec.columns):
-        keys = [e.alias(c.alias) for c, e in columns if not c.aggregate]
-        values = [_aggregate(src, c).alias(c.alias) for c in spec.columns if c.aggregate]
+        keys = [e.alias(c.alias) for c, e in columns if not _is_value(c, spec)]
+        values = [(_merged(c) if c.detail else _aggregate(src, c)).alias(c.alias) for c in spec.columns if _is_value(c, spec)]
         out = (src.df.groupBy(*keys) if keys else src.df).agg(*values)
         out = out.select(*(f"`{c.alias}`" for c in spec.columns))
         if spec.get("useSummaryRow"):
@@ -146,6 +177,11 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
     return _finish(out, spec)
 
 
+def _is_value(c: ColumnSpec, spec: ReportSpec) -> bool:
+    """Whether a grouped report aggregates the column: its own aggregate, or the states of a path that isn't grouped by."""
+    return bool(c.aggregate) or bool(c.detail and "path" in c.detail and c.alias not in (spec.get("sqlGrouping") or ()))
+
+
 def _filter(src: _Source, catalog: Catalog, spec: ReportSpec, bind: Bindings) -> None:
     """The report's condition, and deleted rows out unless they are asked for."""
     src.df, condition = _semi_joins(src, catalog, spec, bind)
@@ -347,8 +383,8 @@ def _screened_aggregate(sql: str | None) -> str:
 def _with_summary(out: DataFrame, rows: DataFrame, keys: list[Column], values: list[Column], spec: ReportSpec) -> DataFrame:
     """The groups and one row over all of them, marked by is_summary; keys are NULL there."""
     total = rows.agg(*values)
-    blank = [F.lit(None).cast(out.schema[c.alias].dataType).alias(c.alias) for c in spec.columns if not c.aggregate]
-    total = total.select(*blank, *(F.col(f"`{c.alias}`") for c in spec.columns if c.aggregate), F.lit(True).alias("is_summary"))
+    blank = [F.lit(None).cast(out.schema[c.alias].dataType).alias(c.alias) for c in spec.columns if not _is_value(c, spec)]
+    total = total.select(*blank, *(F.col(f"`{c.alias}`") for c in spec.columns if _is_value(c, spec)), F.lit(True).alias("is_summary"))
     return out.withColumn("is_summary", F.lit(False)).unionByName(total)
 
 
@@ -412,6 +448,11 @@ def _semi_joins(src: _Source, catalog: Catalog, spec: ReportSpec, bind: Bindings
     return src.df, {"all": rest} if rest else None
 
 
+def _where(src: _Source, condition: dict, bind: Bindings) -> None:
+    test = predicate(condition, lambda f: src.column(Path.of(f)), bind, src.type)
+    src.df = src.df.where(test)  # after the joins that the condition's paths have made
+
+
 def _apply_detail(src: _Source, spec: ReportSpec, bind: Bindings) -> None:
     """Aggregates over a many-relation, computed by key before the join: the parent's rows are not multiplied.
 
@@ -422,12 +463,15 @@ def _apply_detail(src: _Source, spec: ReportSpec, bind: Bindings) -> None:
         if not c.detail:
             continue
         d = c.detail
+        if "path" in d:
+            _apply_path(src, c, bind)
+            continue
         r = src.catalog.relation(src.root.name, d["relation"])
         if r is None or not r.many:
             raise SpecError(f"{src.root.name} has no detail relation {d['relation']}")
         inner = _Source(src.catalog, r.target)
         if d.get("condition"):
-            inner.df = inner.df.where(predicate(d["condition"], lambda f: inner.column(Path.of(f)), bind, inner.type))
+            _where(inner, d["condition"], bind)
         item = ColumnSpec("v", Path.of(d["field"]) if "field" in d else None, d["aggregate"], d.get("customSql"), separator=d.get("separator", ","))
         key = f"detail-key:{c.alias}"
         name = f"detail:{c.alias}"
@@ -440,6 +484,79 @@ def _apply_detail(src: _Source, spec: ReportSpec, bind: Bindings) -> None:
             src.df = src.df.withColumn(name, F.coalesce(F.col(f"`{name}`"), empty))
 
 
+#: States of an aggregate that can be merged: (name, its value over rows, how values are merged).
+_STATES: dict[str, list[tuple[str, Any, Any]]] = {
+    "count": [("n", F.count, F.sum)],
+    "sum": [("sum", F.sum, F.sum)],
+    "avg": [("sum", F.sum, F.sum), ("n", F.count, F.sum)],
+    "min": [("min", F.min, F.min)],
+    "max": [("max", F.max, F.max)],
+    "exists": [("n", F.count, F.sum)],
+    "notExists": [("n", F.count, F.sum)],
+}
+
+
+def _apply_path(src: _Source, c: ColumnSpec, bind: Bindings) -> None:
+    """A total over a path of relations, of which any may lead to many rows: {path, field, aggregate}.
+
+    Each hop is aggregated by its key below the join with the hop before it, and what is joined and aggregated again are
+    states, not rows: no join multiplies rows, and no other column's total is counted twice. A step of the path is a
+    relation's name, or {"relation", "condition"}. In a grouped report the states of its rows are merged once more.
+    """
+    d = c.detail
+    if d.get("aggregate") not in _STATES or not d["path"] or d.get("excludeSelf"):
+        raise SpecError(f"{c.alias}: over a path, one of {', '.join(_STATES)} is defined")
+    steps = [s if isinstance(s, dict) else {"relation": s} for s in d["path"]]
+    states, key, r = _path_states(src.catalog, src.root.name, steps, d, bind)
+    names = {n: f"state:{c.alias}:{n}" for n, *_ in _STATES[d["aggregate"]]}
+    mine = states.select(F.col(key).alias(f"state-key:{c.alias}"), *(F.col(n).alias(to) for n, to in names.items()))
+    src.df = src.df.join(mine, F.col(f"`{r.source_key}`") == F.col(f"`state-key:{c.alias}`"), "left").drop(f"state-key:{c.alias}")
+    src.df = src.df.withColumn(f"detail:{c.alias}", _final(d["aggregate"], {n: F.col(f"`{to}`") for n, to in names.items()}))
+
+
+def _path_states(catalog: Catalog, entity: str, steps: list[dict], d: dict, bind: Bindings) -> tuple[DataFrame, str, Relation]:
+    """(states by key, the key's column, the first relation) of the steps from entity on."""
+    step, *rest = steps
+    r = catalog.relation(entity, step["relation"])
+    if r is None:
+        raise SpecError(f"{entity} has no relation {step['relation']}")
+    inner = _Source(catalog, r.target)
+    if step.get("condition"):
+        _where(inner, step["condition"], bind)
+    if inner.root.deleted:
+        inner.df = inner.df.where(~F.col(f"`{inner.root.deleted}`"))
+    if rest:
+        below, key, next_ = _path_states(catalog, r.target, rest, d, bind)
+        inner.df = inner.df.join(below, F.col(f"`{next_.source_key}`") == F.col(key))
+        made = [merge(F.col(n)).alias(n) for n, _, merge in _STATES[d["aggregate"]]]
+    else:
+        path = Path.of(d["field"]) if "field" in d else None
+        if path and _many(inner, path):
+            raise SpecError(f"{d['field']!r}: relations to many rows belong to the path")
+        value = inner.column(path) if path else F.lit(1)
+        if inner.is_money(path) and d["aggregate"] in ("sum", "avg"):
+            value = value.cast(MONEY)
+        made = [over(value).alias(n) for n, over, _ in _STATES[d["aggregate"]]]
+    key = f"_key{len(rest)}"
+    return inner.df.groupBy(F.col(f"`{r.target_key}`").alias(key)).agg(*made), key, r
+
+
+def _final(aggregate: str, states: dict[str, Column]) -> Column:
+    """The aggregate of merged states; without any row a count is 0 and a sum is NULL."""
+    n = F.coalesce(states["n"], F.lit(0)) if "n" in states else None
+    makers = {
+        "count": lambda: n.cast("long"), "exists": lambda: n > 0, "notExists": lambda: n == 0, "min": lambda: states["min"], "max": lambda: states["max"],
+        "sum": lambda: states["sum"].cast("double"), "avg": lambda: F.when(n > 0, states["sum"].cast("double") / n),
+    }
+    return makers[aggregate]()
+
+
+def _merged(c: ColumnSpec) -> Column:
+    """The states of a group's rows as one."""
+    d = c.detail
+    return _final(d["aggregate"], {n: merge(F.col(f"`state:{c.alias}:{n}`")) for n, _, merge in _STATES[d["aggregate"]]})
+
+
 def _without_self(src: _Source, r: Relation, d: dict, name: str, bind: Bindings) -> None:
     """Take a row's own part from its total, if the relation and the condition hold it."""
     if r.target != src.root.name:

@@ -44,6 +44,9 @@ class Bindings:
     allow_text_search: bool = False
     #: The object that a report is opened from: its Id and its fields by caption, for external parameters.
     parent: dict[str, Any] | None = None
+    #: Rules of row-level access by entity (see access.py), and whether a report may ask to be read without them.
+    access: dict[str, dict[str, Any]] | None = None
+    may_ignore_access: bool = False
 
     def runtime(self, kind: str) -> Any:
         if kind == "currentUser":

@@ -17,7 +17,7 @@ KNOWN_KEYS = frozenset(
         "name", "entity", "parent", "reportType", "columns", "condition", "treeCondition", "parameters", "joinAliases", "isDistinct", "top", "includeDeleted", "sorting",
         "sqlGrouping", "gridGrouping", "useSummaryRow", "matrix", "subReports", "selfReferencingField", "treeAutoOpenLevels", "useHierarchyConditionForRoot",
         "dontUseChildParentReport", "ignoreColumns", "additionalWhere", "formatConditions", "pageSize", "pageIndex", "pagingType", "dontExecuteCount", "showRowNumber",
-        "calendar", "forum", "caption", "immediateExecute", "semiJoins",
+        "calendar", "forum", "caption", "immediateExecute", "semiJoins", "useAdvancedAccess", "ignoreAdvancedSecurityCondition",
     }
 )
 _REFUSED = ("extraQueryTemplate", "oracleHint", "alternateRootTable", "rootTableAlias", "customCode")
@@ -92,7 +92,7 @@ def validate(raw: dict) -> list[tuple[str, str]]:
     if raw.get("sqlGrouping"):
         grouped = set(raw["sqlGrouping"])
         for i, c in enumerate(raw.get("columns", [])):
-            if not c.get("aggregate") and c.get("alias") not in grouped:
+            if not c.get("aggregate") and c.get("alias") not in grouped and "path" not in (c.get("detail") or {}):
                 out.append((f"columns[{i}]", "neither grouped nor aggregated"))
     top = raw.get("top")
     if top is not None and (not isinstance(top, int) or top < 0):
