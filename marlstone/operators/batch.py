@@ -8,6 +8,7 @@ findings passed. Rows of one batch share batch_id, so many batches are checked a
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -124,7 +125,7 @@ def summary(batches: DataFrame, findings: DataFrame) -> DataFrame:
     return j.select("batch_id", "gate", F.coalesce("errors", F.lit(0)).cast("long").alias("errors"), F.coalesce("warnings", F.lit(0)).cast("long").alias("warnings"), (F.coalesce("errors", F.lit(0)) == 0).alias("passed"))
 
 
-def plan_levels(nodes: DataFrame, edges: DataFrame, max_level: int = 1000) -> tuple[DataFrame, DataFrame]:
+def plan_levels(nodes: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((batch_id, node, level), cyclic nodes): level 0 needs nothing, others come after all that they need.
 
     edges(batch_id, node, needs). Kahn's rounds, for all batches at once.
@@ -132,7 +133,7 @@ def plan_levels(nodes: DataFrame, edges: DataFrame, max_level: int = 1000) -> tu
     left = stored(nodes.select("batch_id", "node"), "plan")
     open_edges = stored(edges.select("batch_id", "node", "needs").distinct().join(nodes.select("batch_id", F.col("node").alias("needs")), ["batch_id", "needs"], "left_semi"), "plan")
     done = None
-    for level in range(max_level):
+    for level in count():
         ready = stored(left.join(open_edges.select("batch_id", "node").distinct(), ["batch_id", "node"], "left_anti").withColumn("level", F.lit(level)), "plan")
         if ready.isEmpty():
             break
@@ -144,10 +145,10 @@ def plan_levels(nodes: DataFrame, edges: DataFrame, max_level: int = 1000) -> tu
     return done, left
 
 
-def skipped(edges: DataFrame, failed: DataFrame, max_depth: int = 1000) -> DataFrame:
+def skipped(edges: DataFrame, failed: DataFrame) -> DataFrame:
     """(batch_id, node) that depend on a failed node, directly or not; independent nodes go on."""
     bad = front = stored(failed.select("batch_id", "node").distinct(), "skip")
-    for _ in range(max_depth):
+    while True:
         nxt = edges.join(front.select("batch_id", F.col("node").alias("needs")), ["batch_id", "needs"], "left_semi").select("batch_id", "node").distinct()
         front = stored(nxt.join(bad, ["batch_id", "node"], "left_anti"), "skip")
         if front.isEmpty():

@@ -6,13 +6,13 @@ number of edges times the steps a node is reached in. The loop is bounded by the
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .tables import stored
 
-MAX_DEPTH = 1000
-
 
 def descend(nodes: DataFrame, roots: DataFrame, id_col: str, parent_col: str, levels: int | None = None) -> DataFrame:
     """(id, level, root) of each node below the roots, which have level 0; each node once, at its smallest level.
@@ -22,7 +22,7 @@ def descend(nodes: DataFrame, roots: DataFrame, id_col: str, parent_col: str, le
     """
     edges = nodes.select(F.col(id_col).alias("child"), F.col(parent_col).alias("up")).where("up is not null")
     done = front = stored(roots.select(F.col(id_col).alias("id")).distinct().select("id", F.lit(0).alias("level"), F.col("id").alias("root")), "tree")
-    for level in range(1, (levels if levels is not None else MAX_DEPTH) + 1):
+    for level in count(1) if levels is None else range(1, levels + 1):
         reached = edges.join(front, F.col("up") == F.col("id")).groupBy("child").agg(F.min("root").alias("root"))
         front = stored(reached.select(F.col("child").alias("id"), F.lit(level).alias("level"), "root").join(done.select("id"), "id", "left_anti"), "tree")
         if front.isEmpty():

@@ -6,15 +6,14 @@ and writes the next level, so that no level is worked out twice.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .match import ranked_first
 from .tables import stored
 
-#: Deeper values are not walked.
-MAX_DEPTH = 40
-
 
 def json_type(v: Column) -> Column:
     """null, object, array, boolean, number or string of a VARIANT."""
@@ -29,17 +28,17 @@ def json_type(v: Column) -> Column:
     )
 
 
-def walk(docs: DataFrame, id_col: str, json_col: str, max_depth: int = MAX_DEPTH) -> DataFrame:
+def walk(docs: DataFrame, id_col: str, json_col: str, max_depth: int | None = None) -> DataFrame:
     """(id, path, place, depth, type, key, owner, value): a row for every value of every document.
 
     Paths are $, $.a, $.b[*]; place is the path with the positions in arrays, so it tells each value; value is the text of scalars and NULL for others; ids beyond 2**53 stay exact. owner is
-    the id of the nearest enclosing object that has one. Text that is no JSON gives one row of type "invalid"; NULL none.
+    the id of the nearest enclosing object that has one. Values below max_depth, if it is given, are not walked. Text that is no JSON gives one row of type "invalid"; NULL none.
     """
     root = docs.select(F.col(id_col).alias("id"), F.try_parse_json(json_col).alias("v"), F.col(json_col).isNotNull().alias("given")).where("given")
     bad = root.where("v is null").select("id", F.lit("$").alias("path"), F.lit("$").alias("place"), F.lit(0).alias("depth"), F.lit("invalid").alias("type"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("owner"), F.lit(None).cast("string").alias("value"))
     level = root.where("v is not null").select("id", F.lit("$").alias("path"), F.lit("$").alias("place"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("owner"), "v")
     out = bad
-    for depth in range(max_depth + 1):
+    for depth in count():
         typed = level.withColumn("type", json_type(F.col("v")))
         scalar = ~F.col("type").isin("object", "array", "null")
         out = out.unionByName(typed.select("id", "path", "place", "depth", "type", "key", "owner", F.when(scalar, F.expr("try_variant_get(v, '$', 'string')")).alias("value")))

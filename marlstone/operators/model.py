@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -49,13 +50,19 @@ def unrouted(rows: DataFrame, kind: str, id_col: str, routes: DataFrame, samples
     return left.groupBy(kind).agg(F.count("*").alias("rows")).join(ranked_first(left, kind, id_col, samples).withColumnRenamed("first", "samples"), kind)
 
 
-def nested_paths(rows: DataFrame, id_col: str, parent_col: str, name_col: str, max_depth: int = 40) -> DataFrame:
-    """(id, path, parent_path): slash paths from nesting, level by level; a row without a parent among rows is a root. A cycle has no path."""
+def nested_paths(rows: DataFrame, id_col: str, parent_col: str, name_col: str) -> DataFrame:
+    """(id, path, parent_path): slash paths from nesting, level by level, however deep; a row without a parent among rows is a root.
+
+    A cycle has no path. An id that stands below itself, as it repeats with another parent, is an error.
+    """
     base = rows.select(F.col(id_col).alias("id"), F.col(parent_col).alias("up"), F.col(name_col).cast("string").alias("name"))
     known = base.select(F.col("id").alias("up"))
     none = F.lit(None).cast("string")
     done = level = stored(base.where("up is null").unionByName(base.where("up is not null").join(known, "up", "left_anti")).select("id", F.col("name").alias("path"), none.alias("parent_path")), "paths")
-    for _ in range(max_depth):
+    rows_in = base.count()
+    for depth in count(1):
+        if depth > rows_in + 1:
+            raise SpecError("an id stands below itself")
         above = level.select(F.col("id").alias("up"), F.col("path").alias("above"))
         level = stored(base.join(above, "up").select("id", F.concat_ws("/", "above", "name").alias("path"), F.col("above").alias("parent_path")), "paths")
         if level.isEmpty():
@@ -164,17 +171,16 @@ def current_records(records: DataFrame, key: str, valid: Column, order: str) ->
     return out.select(key, F.when(F.col("n") == 1, F.col("record")).alias("record"), (F.col("n") > 1).alias("ambiguous"))
 
 
-def reachable(edges: DataFrame, starts: DataFrame, max_steps: int = 1000) -> DataFrame:
+def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """(node) of a workflow's graph, edges(src, dst), that a path from starts(node) reaches, starts included."""
     seen = front = stored(starts.select("node").distinct(), "reach")
-    for _ in range(max_steps):
+    while True:
         step = edges.join(front.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node")).distinct().join(seen, "node", "left_anti")
         front = stored(step, "reach")
         if front.isEmpty():
             free(front)
-            break
+            return seen
         seen = stored(seen.unionByName(front), "reach")
-    return seen
 
 
 def substituted(tree: Any, values: dict[str, Any]) -> Any:

@@ -899,4 +899,4 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
     return QUERIES["path_join_4hop"](spark, d)
 
 
-from . import queries_model, queries_relations, queries_sources  # noqa: E402,F401  register their queries
+from . import queries_changes, queries_model, queries_relations, queries_sources  # noqa: E402,F401  register their queries

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .queries import _report
+from pyspark.sql import functions as F
+
+from .operators import forest
+from .queries import _query, _read, _report
 
 # Access rules
 
@@ -80,3 +83,49 @@ _report(
     "s as (select s_nationkey, max(s_acctbal) as richest from supplier group by 1), c as (select c_nationkey, count(*) as customers, sum(c_acctbal::decimal(28,4))::double as balance from customer group by 1) "
     "select n_name as nation, customers, coalesce(lines, 0) as lines, mean, first, richest, balance from c join nation on c_nationkey = n_nationkey left join l using (c_nationkey) left join s on s_nationkey = c_nationkey",
 )
+
+# Forests
+
+
+def _tree(spark, d):
+    line = _read(spark, d, "lineitem").select(F.concat_ws("/", "l_orderkey", "l_linenumber").alias("key"), "l_orderkey").distinct()  # a line's key repeats
+    return forest.forest([("customer", _read(spark, d, "customer"), "c_custkey", None, None), ("orders", _read(spark, d, "orders"), "o_orderkey", "customer", "o_custkey"), ("lineitem", line, "key", "orders", "l_orderkey")])
+
+
+_TREE = (
+    "select 'customer:' || c_custkey as id, null as parent, 'customer' as kind from customer union all select 'orders:' || o_orderkey, 'customer:' || o_custkey, 'orders' from orders "
+    "union all select distinct 'lineitem:' || l_orderkey || '/' || l_linenumber, 'orders:' || l_orderkey, 'lineitem' from lineitem"
+)
+
+
+@_query(
+    "tree_descendants",
+    "select 'customer:' || o_custkey as ancestor, 'orders:' || o_orderkey as id, 1 as levels from orders union all select distinct 'orders:' || l_orderkey, 'lineitem:' || l_orderkey || '/' || l_linenumber, 1 from lineitem "
+    "union all select distinct 'customer:' || o_custkey, 'lineitem:' || l_orderkey || '/' || l_linenumber, 2 from lineitem join orders on l_orderkey = o_orderkey",
+)
+def _descendants(spark, d):
+    nodes = _tree(spark, d)
+    placed, _ = forest.labels(nodes)
+    return forest.descendants(placed, nodes.select("id"))
+
+
+@_query(
+    "tree_intervals",
+    f"with recursive t as ({_TREE}), b as (select id, null::varchar as parent, id as root, 0 as depth, [id] as path from t where parent is null union all select t.id, t.parent, b.root, b.depth + 1, list_append(b.path, t.id) from t join b on t.parent = b.id), "
+    "n as (select *, row_number() over (order by path) - 1 as first from b), s as (select id, count(*) as size from (select unnest(path) as id from b) group by id) "
+    "select id, parent, root, depth::bigint as depth, first, first + size - 1 as last from n join s using (id)",
+)
+def _intervals(spark, d):
+    return forest.labels(_tree(spark, d))[0]
+
+
+@_query(
+    "tree_totals",
+    "with l as (select l_orderkey, 'lineitem:' || l_orderkey || '/' || l_linenumber as id, sum(l_quantity::bigint)::bigint as q from lineitem group by 1, 2), o as (select o_custkey, o_orderkey, coalesce(sum(q), 0)::bigint as q, count(q) as n from orders left join l on l_orderkey = o_orderkey group by 1, 2), "
+    "c as (select c_custkey, coalesce(sum(q), 0)::bigint as q, count(q) + coalesce(sum(n), 0)::bigint as n from customer left join o on o_custkey = c_custkey group by 1) "
+    "select id, q as total, 1::bigint as rows from l union all select 'orders:' || o_orderkey, q, n + 1 from o union all select 'customer:' || c_custkey, q, n + 1 from c",
+)
+def _totals(spark, d):
+    placed, _ = forest.labels(_tree(spark, d))
+    own = _read(spark, d, "lineitem").select(F.concat(F.lit("lineitem:"), F.concat_ws("/", "l_orderkey", "l_linenumber")).alias("id"), F.col("l_quantity").cast("long").alias("q"))
+    return forest.subtree_totals(placed, own, "id", "q")
