@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import apply
+from .operators import apply, signing
 from .queries import _query, _read
 
 # Applying: an order is a batch, its lines are commands; each line refers to the next one, the last to the first
@@ -46,3 +46,18 @@ def _references(spark, d):
     commands, references, refused = _lines(spark, d)
     order = spark.createDataFrame([(k, "view", "next") for k in ("field", apply.DYNAMIC)], "objectType string, field string, needs string")
     return apply.ledger(apply.create(commands, references, refused, start=1000), commands, references, order)
+
+# Signatures: the events of a user as a chain
+
+_MESSAGE = "'salt' || " + " || ".join(f"case when {c} is null then '-' else length({c}::varchar) || ':' || {c}::varchar end" for c in ("event_id", "event_type", "props"))
+
+
+@_query(
+    "chained_signs",
+    f"with recursive e as (select event_id, user_id, {_MESSAGE} as m, row_number() over (partition by user_id order by ts, event_id) as n from events), "
+    "s as (select event_id, user_id, n, sha256(m) as sign from e where n = 1 union all select e.event_id, e.user_id, e.n, sha256(s.sign || e.m) from s join e on e.user_id = s.user_id and e.n = s.n + 1) "
+    "select event_id, user_id, sign from s",
+)
+def _signs(spark, d):
+    events = _read(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "props")
+    return signing.chained(events, "user_id", ["ts", "event_id"], ["event_id", "event_type", "props"], "salt").select("event_id", "user_id", "sign")
