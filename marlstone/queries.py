@@ -17,7 +17,7 @@ from .plans.compile import compile_report
 from .plans.conditions import Bindings
 from .sources import documents as docsrc
 from .sources import formats, sinks
-from .streaming import workflow
+from .streaming import windows, workflow
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -877,7 +877,7 @@ def _snapshot(spark, d):
 
 @_query("consumed_once", "select user_id, event_type, min(event_id) as first_id from events group by 1, 2")
 def _consumed(spark, d):
-    return _read(spark, d, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("first_id"))
+    return windows.consumed(_read(spark, d, "events"), ["user_id", "event_type"], ["event_id"], ["event_id"]).withColumnRenamed("event_id", "first_id")
 
 
 @_query("header_findings", "select c_custkey as batch_id, 'lint' as gate, null::bigint as pos, 'profileVersion must be 15' as message, 'error' as severity from customer where c_custkey % 4 = 0 union all select c_custkey, 'lint', null, 'no changes', 'error' from customer where c_custkey % 5 = 0")
@@ -899,4 +899,4 @@ def entry(spark: SparkSession, d: str) -> DataFrame:
     return QUERIES["path_join_4hop"](spark, d)
 
 
-from . import queries_changes, queries_model, queries_relations, queries_sources  # noqa: E402,F401  register their queries
+from . import queries_changes, queries_model, queries_relations, queries_sources, queries_streams  # noqa: E402,F401  register their queries
