@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import apply, signing
-from .queries import _query, _read
+from .operators import apply, jsonschema, shapes, signing
+from .queries import _order_json, _query, _read
 
 # Applying: an order is a batch, its lines are commands; each line refers to the next one, the last to the first
 
@@ -61,3 +61,58 @@ _MESSAGE = "'salt' || " + " || ".join(f"case when {c} is null then '-' else leng
 def _signs(spark, d):
     events = _read(spark, d, "events").select("event_id", "user_id", "ts", "event_type", "props")
     return signing.chained(events, "user_id", ["ts", "event_id"], ["event_id", "event_type", "props"], "salt").select("event_id", "user_id", "sign")
+
+# JSON schemas: orders with their lines, and the properties of events
+
+_LINE = {"type": "object", "required": ["id", "flag", "note"], "additionalProperties": False, "properties": {"id": {"type": "integer", "maximum": 5}, "flag": {"enum": ["A", "N"]}, "$type": {"const": "line"}, "note": True}}
+_ORDER = {
+    "type": "object",
+    "properties": {"id": {"type": "integer", "minimum": 100}, "status": {"$ref": "#/$defs/status"}, "lines": {"type": "array", "maxItems": 4, "items": {"$ref": "#/$defs/line"}}},
+    "additionalProperties": False,
+    "$defs": {"line": _LINE, "status": {"type": "string", "pattern": "^[FO]$"}},
+}
+
+
+@_query(
+    "schema_findings",
+    "with l as (select l_orderkey, l_linenumber, l_returnflag, row_number() over (partition by l_orderkey order by l_linenumber, l_returnflag) - 1 as i from lineitem where l_orderkey in (select o_orderkey from orders)), "
+    "n as (select l_orderkey, count(*) as n from l group by 1) "
+    "select o_orderkey, '$' as place, 'additionalProperties' as rule, '$type' as detail from orders join n on l_orderkey = o_orderkey "
+    "union all select o_orderkey, '$.id', 'minimum', '100, it is ' || o_orderkey from orders join n on l_orderkey = o_orderkey where o_orderkey < 100 "
+    "union all select o_orderkey, '$.status', 'pattern', '^[FO]$' from orders join n on l_orderkey = o_orderkey where not regexp_matches(o_orderstatus, '^[FO]$') "
+    "union all select l_orderkey, '$.lines', 'maxItems', '4, it has ' || n from n where n > 4 "
+    "union all select l_orderkey, '$.lines[' || i || ']', 'required', 'note' from l "
+    "union all select l_orderkey, '$.lines[' || i || '].id', 'maximum', '5, it is ' || l_linenumber from l where l_linenumber > 5 "
+    "union all select l_orderkey, '$.lines[' || i || '].flag', 'enum', l_returnflag from l where l_returnflag not in ('A', 'N')",
+)
+def _schema(spark, d):
+    return jsonschema.findings(_order_json(spark, d), "o_orderkey", "doc", _ORDER)
+
+
+@_query("schema_of_events", "select event_id, '$.k' as place, 'anyOf' as rule, 'none of the alternatives fits' as detail from events where json_extract(props, '$.k')::bigint between 30 and 60")
+def _schema_events(spark, d):
+    return jsonschema.findings(_read(spark, d, "events"), "event_id", "props", {"required": ["k"], "properties": {"k": {"type": "integer", "anyOf": [{"exclusiveMaximum": 30}, {"exclusiveMinimum": 60}]}}})
+
+# Shapes of types, over the lines of all orders
+
+@_query(
+    "type_shapes",
+    "with l as (select l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus from lineitem join orders on l_orderkey = o_orderkey), "
+    "o as (select count(distinct l_orderkey) as n, count(distinct case when l_returnflag <> 'R' then l_orderkey end) as flagged from l), c as (select count(*) as n, count(case when l_returnflag <> 'R' then 1 end) as flagged from l) "
+    "select * from (select 'order' as type, '$type' as path, 'string' as kinds, n as objects, n as present, false as optional, false as repeated, false as nullable, 'order' as vocabulary from o "
+    "union all select 'order', 'id', 'number', n, n, false, false, false, null from o union all select 'order', 'lines', 'array', n, n, false, false, false, null from o union all select 'order', 'lines[*]', 'object', n, n, false, true, false, null from o "
+    "union all select 'line', '$type', 'string', n, n, false, false, false, 'line' from c union all select 'line', 'flag', 'string', n, flagged, flagged < n, false, false, 'A,N' from c "
+    "union all select 'line', 'by.mode', 'string', n, n, false, false, false, (select string_agg(distinct l_linestatus, ',' order by l_linestatus) from l) from c union all select 'line', 'by', 'object', n, n, false, false, false, null from c "
+    "union all select 'line', 'sizes', 'array', n, n, false, false, false, null from c union all select 'line', 'sizes[*]', 'number,string', n, n, false, true, false, null from c)",
+)
+def _shapes(spark, d):
+    li = _read(spark, d, "lineitem")
+    line = F.concat(
+        F.lit('{"$type": "line", "sizes": ['), F.col("l_quantity").cast("string"), F.lit(', "L", 7], "by": {"mode": "'), F.col("l_linestatus"), F.lit('"}'),
+        F.when(F.col("l_returnflag") != "R", F.concat(F.lit(', "flag": "'), F.col("l_returnflag"), F.lit('"'))).otherwise(""), F.lit("}"),
+    )
+    lines = li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(line)), ", ").alias("lines"))  # the lines of one order
+    docs = _read(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    docs = docs.select("o_orderkey", F.concat(F.lit('{"$type": "order", "id": '), F.col("o_orderkey").cast("string"), F.lit(', "lines": ['), F.col("lines"), F.lit("]}")).alias("doc"))
+    out = shapes.type_shapes(docs, "o_orderkey", "doc")
+    return out.withColumn("kinds", F.array_join("kinds", ",")).withColumn("vocabulary", F.array_join("vocabulary", ","))
