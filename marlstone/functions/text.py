@@ -86,7 +86,7 @@ _PATH = r"^[A-Za-z]:\\|^\\\\|^/[a-z]+/"
 _FILE = r"(?i)^[\w.]+\.(dll|exe|config|xml|mrt|json|zip|metaexport)$"
 _TABLE = r"^(Met_|MET_|met_|Spl_|SPL_|spl_|Shr_|sec_|Sec_|m0[12]_|dyn_|Ver_|ulog_|xapp_)\w+$"
 _KEY = r"^[A-Za-z][\w.]{2,60}$"
-_OPERATION = r"(?i)^\s*\(*\s*(SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|TRUNCATE|MERGE|EXECUTE|EXEC)\b"
+_OPERATION = r"(?i)^\s*\(*\s*(SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP|TRUNCATE|MERGE|EXEC|EXECUTE)\b"
 _AFTER = r"(?i)\b(?:FROM|JOIN|INTO|UPDATE|TABLE)\s+\[?([A-Za-z_][\w$.]*)\]?"
 _NOT_TABLES = ("SELECT", "WHERE", "AND", "OR", "SET")
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from .ranges import numbered
+from .tables import stored
 
 #: Confidence levels from strong to weak, and the family of each kind of source; a user's word has none.
 LEVELS = ("CrossVerified", "Verified", "Observed", "Inferred", "Unknown")
@@ -38,11 +40,15 @@ def confidence(df: DataFrame, keys: list[str], source: str, families: dict[str,
 def ledger(entries: DataFrame, pos: str) -> DataFrame:
     """(evidence_id, source, detail, locator): distinct entries(prefix, source, detail, locator), numbered by first appearance in their prefix.
 
-    There are as many entries a prefix as distinct facts; numbering sorts them in one task a prefix.
+    Numbers come from range partitions over all prefixes, less the first of each: no prefix's facts meet in one task.
     """
     first = entries.groupBy("prefix", "source", "detail", "locator").agg(F.min(pos).alias("first"))
-    n = F.row_number().over(Window.partitionBy("prefix").orderBy("first", "source", "detail", "locator"))
-    return first.select(F.concat(F.lit("EVID-"), "prefix", F.lit("-"), F.lpad(n.cast("string"), 6, "0")).alias("evidence_id"), "prefix", "source", "detail", "locator")
+    placed = stored(numbered(first, ["prefix", "first", "source", "detail", "locator"], "at"), "ledger")
+    starts = placed.groupBy("prefix").agg(F.min("at").alias("start"))
+    n = (F.col("at") - F.col("start") + 1).cast("string")
+    # a NULL prefix is one too
+    placed = placed.join(starts.withColumnRenamed("prefix", "_prefix"), F.col("prefix").eqNullSafe(F.col("_prefix")))
+    return placed.select(F.concat(F.lit("EVID-"), "prefix", F.lit("-"), F.when(F.length(n) < 6, F.lpad(n, 6, "0")).otherwise(n)).alias("evidence_id"), "prefix", "source", "detail", "locator")
 
 
 def promotions(published: DataFrame, sources: DataFrame, key: str) -> DataFrame:

@@ -35,22 +35,36 @@ def cascade_match(left: DataFrame, right: DataFrame, keys: list[str], id_col: st
     return reduce(DataFrame.unionByName, [*matches, *rest])
 
 
+def _grams(c: str, n: int) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), lambda i: F.substring(F.col(c), i, F.lit(n)))
+
+
 def pair_by_name(left: DataFrame, right: DataFrame, name_col: str, id_col: str, declared: DataFrame | None = None) -> DataFrame:
     """(left_id, right_id, how) of artifacts whose folded names are equal, one a prefix of the other, or contain each other.
 
-    Exact pairs are an equi join, prefixes an equi join on each prefix of the longer name. Containment is an equi join on
-    each substring of the longer name: names are short, so the rows grow with the names, not with their product.
-    declared(left_id, right_id) pairs come first.
+    Where one name contains another, it has all its trigrams: names meet at the shorter one's rarest, or, under three characters, at
+    itself, and the texts decide. So a name makes rows in proportion to its length. declared(left_id, right_id) pairs come first.
     """
     l, r = left.select(F.col(id_col).alias("left_id"), F.col(name_col).alias("ln")).where("length(ln) > 0"), right.select(F.col(id_col).alias("right_id"), F.col(name_col).alias("rn")).where("length(rn) > 0")
 
-    def pieces(df: DataFrame, c: str) -> DataFrame:
-        n = F.length(c)
-        starts = df.withColumn("s", F.explode(F.sequence(F.lit(1), n))).withColumn("e", F.explode(F.sequence(F.lit(1), n - F.col("s") + 1)))
-        return starts.select(*df.columns, F.substring(F.col(c), F.col("s"), F.col("e")).alias("piece"), (F.col("s") == 1).alias("front")).distinct()
-
-    inside = pieces(l, "ln").join(r, F.col("piece") == F.col("rn")).unionByName(pieces(r, "rn").join(l, F.col("piece") == F.col("ln")), allowMissingColumns=True)
-    rank = F.when(F.col("ln") == F.col("rn"), 1).when(F.col("front"), 2).otherwise(3)
+    def grams(df: DataFrame, c: str, sizes: tuple[int, ...]) -> DataFrame:
+        each = [_grams(c, n) for n in sizes]
+        each = [F.when(F.length(c) >= n, e).otherwise(F.array().cast("array<string>")) for n, e in zip(sizes, each, strict=True)]
+        return df.withColumn("gram", F.explode(F.array_distinct(F.concat(*each))))
+
+    def within(long: DataFrame, lc: str, short: DataFrame, sc: str) -> DataFrame:
+        """Pairs in which the long name holds the short one."""
+        held = grams(long, lc, (1, 2, 3))
+        often = held.groupBy("gram").agg(F.count("*").alias("n"))
+        names = short.select(sc).distinct()
+        rare = grams(names.where(F.length(sc) > 3), sc, (3,)).join(often, "gram").groupBy(sc).agg(F.min_by("gram", F.struct("n", "gram")).alias("gram"))
+        keyed = short.join(names.where(F.length(sc) <= 3).select(sc, F.col(sc).alias("gram")).unionByName(rare), sc)
+        return held.join(keyed, "gram").where(F.contains(F.col(lc), F.col(sc))).drop("gram")
+
+    columns = ["left_id", "ln", "right_id", "rn"]
+    inside = within(l, "ln", r, "rn").select(*columns).unionByName(within(r, "rn", l, "ln").select(*columns))
+    front = F.startswith("ln", "rn") | F.startswith("rn", "ln")
+    rank = F.when(F.col("ln") == F.col("rn"), 1).when(front, 2).otherwise(3)
     found = inside.select("left_id", "right_id", rank.alias("rank"))
     if declared is not None:
         found = found.unionByName(declared.select("left_id", "right_id", F.lit(0).alias("rank")))

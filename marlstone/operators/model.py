@@ -38,15 +38,23 @@ def scoped_key(owner: Column, name: Column) -> Column:
     return F.when((F.trim(owner) != "") & (F.trim(name) != ""), F.concat_ws("/", owner, fold_match(name)))
 
 
+#: Routes up to this number are broadcast; more are joined by a shuffle.
+FEW_ROUTES = 10_000
+
+
+def _routes(routes: DataFrame) -> DataFrame:
+    return F.broadcast(routes) if routes.limit(FEW_ROUTES + 1).count() <= FEW_ROUTES else routes
+
+
 def route(rows: DataFrame, kind: str, routes: DataFrame) -> DataFrame:
-    """rows with collection, from routes(kind, collection), a small table; NULL where a kind has no route."""
+    """rows with collection, from routes(kind, collection); NULL where a kind has no route."""
     known = routes.select(F.col("kind").alias(kind), "collection")
-    return rows.join(F.broadcast(known), kind, "left")
+    return rows.join(_routes(known), kind, "left")
 
 
 def unrouted(rows: DataFrame, kind: str, id_col: str, routes: DataFrame, samples: int = 5) -> DataFrame:
     """(kind, rows, samples) of the kinds without a route: kept and counted, with the smallest ids."""
-    left = rows.join(F.broadcast(routes.select(F.col("kind").alias(kind))), kind, "left_anti")
+    left = rows.join(_routes(routes.select(F.col("kind").alias(kind))), kind, "left_anti")
     return left.groupBy(kind).agg(F.count("*").alias("rows")).join(ranked_first(left, kind, id_col, samples).withColumnRenamed("first", "samples"), kind)
 
 

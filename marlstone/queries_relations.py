@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from .operators import forest
+from .operators import forest, systems
 from .queries import _query, _read, _report
 
 # Access rules
@@ -129,3 +131,39 @@ def _totals(spark, d):
     placed, _ = forest.labels(_tree(spark, d))
     own = _read(spark, d, "lineitem").select(F.concat(F.lit("lineitem:"), F.concat_ws("/", "l_orderkey", "l_linenumber")).alias("id"), F.col("l_quantity").cast("long").alias("q"))
     return forest.subtree_totals(placed, own, "id", "q")
+
+# Systems: regions are systems, nations their entities, a forest of parts their folders
+
+
+def _model_rows(spark, d):
+    read = lambda name: _read(spark, d, name)
+    of = lambda name, collection, key, **more: read(name).select(F.lit(collection).alias("collection"), F.col(key).cast("string").alias("id"), *(F.expr(e).cast("string").alias(c) for c, e in more.items()))
+    return [
+        of("nation", "entities", "n_nationkey", _ownerId="null"), of("customer", "fields", "c_custkey", entityId="case when c_custkey % 3 > 0 then c_nationkey end", _ownerId="c_nationkey + 1"),
+        of("supplier", "relationDefs", "s_suppkey", sourceEntity="s_nationkey", targetEntity="s_suppkey % 30"), of("part", "navigation", "p_partkey"),
+        of("orders", "code", "o_orderkey", targetObjectId="case o_orderstatus when 'P' then null else o_custkey % 26 end", _ownerId="o_orderkey % 7"),
+        of("lineitem", "views", "l_orderkey", systemId="case when l_returnflag = 'R' then l_linenumber end", entityId="l_suppkey % 25"),
+    ]
+
+
+@_query(
+    "system_assignment",
+    "with recursive e as (select n_nationkey as id, n_regionkey as s from nation where n_nationkey % 6 > 0), p as (select p_partkey as id, case when p_partkey < 8 then null else p_partkey // 8 end as up from part), "
+    "top as (select id, id as root from p where up is null or up not in (select id from p) union all select p.id, root from p join top on p.up = top.id), "
+    "r as (select 'entities' as collection, n_nationkey as id, 'entity' as rule, [n_nationkey] as keys from nation "
+    "union all select 'fields', c_custkey, 'owner', [case when c_custkey % 3 > 0 then c_nationkey else c_nationkey + 1 end] from customer "
+    "union all select 'relationDefs', s_suppkey, 'ends', [s_nationkey, s_suppkey % 30] from supplier "
+    "union all select 'code', o_orderkey, 'target', [case when o_orderstatus = 'P' then o_orderkey % 7 else o_custkey % 26 end] from orders "
+    "union all select 'views', l_orderkey, 'owner', [l_suppkey % 25] from lineitem where l_returnflag <> 'R'), "
+    "a as (select collection, id, rule, list_sort(list_distinct((select list(s) from e where list_contains(keys, e.id)))) as s from r "
+    "union all select 'views', l_orderkey, 'own', case when l_linenumber < 5 then [l_linenumber] else null end from lineitem where l_returnflag = 'R' "
+    "union all select 'navigation', id, 'folder', case when root between 1 and 5 then [root - 1] else null end from top) "
+    "select collection, id::varchar as id, case when len(s) > 0 then rule end as rule, coalesce(array_to_string(s, ','), '') as systems, case when s is null or len(s) = 0 then 'unassigned' when len(s) = 1 then 'assigned' else 'shared' end as state from a",
+)
+def _assignment(spark, d):
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _model_rows(spark, d))
+    known = _read(spark, d, "region").select(F.col("r_regionkey").alias("id"), (F.col("r_regionkey") + 1).alias("rootFolderId"))
+    entities = _read(spark, d, "nation").select(F.col("n_nationkey").alias("id"), F.when(F.col("n_nationkey") % 6 > 0, F.col("n_regionkey")).alias("systemId"))
+    folders = _read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.expr("case when p_partkey < 8 then null else p_partkey div 8 end").alias("parentId"))
+    out = systems.assigned(rows, known, entities, folders)
+    return out.select("collection", "id", "rule", F.array_join("systems", ",").alias("systems"), "state")
