@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .catalog import testdata
 from .functions import text as t
 from .functions.dates import RUNTIME_DATES, date_range
-from .operators import audit, batch, evidence, hierarchy, jsonwalk, match, merge, retrieve
+from .operators import audit, batch, catalogues, evidence, forest, hierarchy, jsonwalk, match, merge, retrieve
 from .plans.compile import compile_report
 from .plans.conditions import Bindings
 from .sources import documents as docsrc
@@ -728,7 +728,7 @@ def _unique(spark, d):
 
 @_query("content_hash", "select sha256(coalesce(text, '')) as sha256, min(doc_id) as first_id, count(*) as n from documents group by 1")
 def _content_hash(spark, d):
-    return _read(spark, d, "documents").groupBy(F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha256")).agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n"))
+    return catalogues.copies(_read(spark, d, "documents"), "text", "doc_id")
 
 
 @_query("sniff_content", "select page_id, case when starts_with(ltrim(html), '<') then 'XML' else 'Binary' end as physical from pages")
@@ -783,45 +783,43 @@ _report(
 
 @_query("heterogeneous_tree", "select 'region' as kind, 0 as level, r_name as name from region union all select 'nation', 1, n_name from nation union all select 'customer', 2, c_name from customer")
 def _hetero(spark, d):
-    parts = [("region", "r_name"), ("nation", "n_name"), ("customer", "c_name")]
-    return reduce(DataFrame.unionByName, (_read(spark, d, e).select(F.lit(e).alias("kind"), F.lit(i).alias("level"), F.col(c).alias("name")) for i, (e, c) in enumerate(parts)))
+    read = lambda name, c, key, up: _read(spark, d, name).select(F.col(c).alias("name"), F.col(key).alias("key"), (F.col(up) if up else F.lit(None)).cast("long").alias("up"))
+    parts = [("region", read("region", "r_name", "r_regionkey", None), None), ("nation", read("nation", "n_name", "n_nationkey", "n_regionkey"), "region"), ("customer", read("customer", "c_name", "c_custkey", "c_nationkey"), "nation")]
+    placed, _ = forest.labels(forest.forest([(k, df, "key", up, "up" if up else None) for k, df, up in parts]))
+    names = reduce(DataFrame.unionByName, (df.select(F.concat(F.lit(f"{k}:"), F.col("key").cast("string")).alias("id"), F.lit(k).alias("kind"), "name") for k, df, _ in parts))
+    return placed.join(names, "id").select("kind", F.col("depth").cast("int").alias("level"), "name")
 
 
 @_query("path_descendants", "select r_name || '/' || n_name as path from nation join region on n_regionkey = r_regionkey where starts_with(r_name || '/' || n_name, 'ASIA/')")
 def _descendants(spark, d):
-    p = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return p.select(F.concat_ws("/", "r_name", "n_name").alias("path")).where(F.startswith("path", F.lit("ASIA/")))
+    p = _read(spark, d, "nation").join(_read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.concat_ws("/", "r_name", "n_name").alias("path"))
+    placed, _ = forest.labels(hierarchy.path_prefixes(p, "path"), "path", "parent_path")
+    return forest.descendants(placed, p.select(F.lit("ASIA").alias("id")).distinct()).select(F.col("id").alias("path"))
 
 
 @_query("inverted_index", "select l_suppkey as callee, string_agg(distinct l_returnflag, ',' order by l_returnflag) as callers from lineitem group by 1")
 def _inverted(spark, d):
-    return _read(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("callee")).agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("callers"))
+    return catalogues.inverted(_read(spark, d, "lineitem"), "l_returnflag", "l_suppkey").select("callee", F.array_join("callers", ",").alias("callers"))
 
 
 @_query("argmax", "select o_custkey, arg_max(o_orderkey, (o_totalprice, o_orderkey)) as largest from orders group by 1")
 def _argmax(spark, d):
-    return _read(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("largest"))
+    return catalogues.argmax(_read(spark, d, "orders"), ["o_custkey"], "o_orderkey", ["o_totalprice", "o_orderkey"], "largest")
 
 
 @_query("bounded_sites", "select p_type as literal, array_to_string(list_sort(list(p_partkey))[1:8], ',') as sites, count(*) as n from part where length(p_type) between 1 and 8000 group by 1")
 def _sites(spark, d):
-    p = _read(spark, d, "part").where(F.length("p_type").between(1, 8000)).select(F.col("p_type").alias("literal"), "p_partkey")
-    # the eight smallest are chosen before they are gathered, so a frequent literal stays eight values
-    few = match.ranked_first(p, "literal", "p_partkey", 8)
-    return few.join(p.groupBy("literal").agg(F.count("*").alias("n")), "literal").select("literal", F.array_join("first", ",").alias("sites"), "n")
+    return catalogues.sites(_read(spark, d, "part"), "p_type", "p_partkey").withColumn("sites", F.array_join("sites", ","))
 
 
 @_query("owned_index", "select p_partkey, p_brand from part where regexp_matches(p_brand, '^(Brand#1|Brand#2)') and not regexp_matches(p_name, '^(get_|set_)')")
 def _owned(spark, d):
-    return _read(spark, d, "part").where(F.col("p_brand").rlike("^(Brand#1|Brand#2)") & ~F.col("p_name").rlike("^(get_|set_)")).select("p_partkey", "p_brand")
+    return catalogues.owned(_read(spark, d, "part"), "p_brand", "^(Brand#1|Brand#2)", "p_name", "^(get_|set_)").select("p_partkey", "p_brand")
 
 
 @_query("domain_tags", "select t as term, count(distinct p_partkey) as types from (values ('red'), ('blue'), ('widget')) v(t), part where contains(lower(p_name), t) group by 1")
 def _domains(spark, d):
-    terms = ["red", "blue", "widget"]
-    name = F.lower("p_name")
-    hits = F.array_compact(F.array(*(F.when(F.contains(name, F.lit(x)), x) for x in terms)))
-    return _read(spark, d, "part").select("p_partkey", F.explode(hits).alias("term")).groupBy("term").agg(F.count_distinct("p_partkey").alias("types"))
+    return catalogues.tagged(_read(spark, d, "part"), "p_partkey", "p_name", ["red", "blue", "widget"]).withColumnRenamed("n", "types")
 
 
 @_query("obfuscation_ratio", "select p_brand, round(count(*) filter (p_size > 25) / count(*), 3) as ratio from part group by 1")
@@ -832,17 +830,14 @@ def _obfuscation(spark, d):
 @_query("vocabulary_pairs", "select event_type as ai_value, (user_id % 4)::varchar as legacy_value, count(*) as n from events group by 1, 2")
 def _vocabulary(spark, d):
     e = _read(spark, d, "events")
-    a, b = e.select("event_id", F.col("event_type").alias("ai_value")), e.select("event_id", (F.col("user_id") % 4).cast("string").alias("legacy_value"))
-    return a.join(b, "event_id").groupBy("ai_value", "legacy_value").agg(F.count("*").alias("n"))
+    out = catalogues.vocabulary(e.select("event_id", "event_type"), e.select("event_id", (F.col("user_id") % 4).cast("string").alias("kind")), "event_id", "event_type", "kind")
+    return out.select(F.col("left").alias("ai_value"), F.col("right").alias("legacy_value"), "n")
 
 
 @_query("system_counts", "select n_nationkey as system, coalesce(c.n, 0) as artifact, coalesce(s.n, 0) as legacy, case when n_regionkey < 3 then coalesce(c.n, 0) = coalesce(s.n, 0) end as agrees from nation left join (select c_nationkey k, count(*) n from customer group by 1) c on c.k = n_nationkey left join (select s_nationkey k, count(*) n from supplier group by 1) s on s.k = n_nationkey")
 def _systems(spark, d):
-    n = _read(spark, d, "nation")
-    count = lambda e, k, name: _read(spark, d, e).groupBy(F.col(k).alias("n_nationkey")).agg(F.count("*").alias(name))
-    j = n.join(count("customer", "c_nationkey", "artifact"), "n_nationkey", "left").join(count("supplier", "s_nationkey", "legacy"), "n_nationkey", "left")
-    a, b = F.coalesce("artifact", F.lit(0)), F.coalesce("legacy", F.lit(0))
-    return j.select(F.col("n_nationkey").alias("system"), a.alias("artifact"), b.alias("legacy"), F.when(F.col("n_regionkey") < 3, a == b).alias("agrees"))
+    sides = {"artifact": (_read(spark, d, "customer"), "c_nationkey"), "legacy": (_read(spark, d, "supplier"), "s_nationkey")}
+    return catalogues.reconciled(_read(spark, d, "nation"), "n_nationkey", sides, F.col("n_regionkey") < 3)
 
 
 @_query(

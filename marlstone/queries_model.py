@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions.text import fold_match
-from .operators import jsonwalk, model
+from .catalog import testdata
+from .operators import catalogues, jsonwalk, model
 from .queries import _order_json, _query, _read
 from .streaming import workflow
 
@@ -114,18 +115,23 @@ def _of_source(spark, d):
     return model.of_source(docs, big, ["source", "lang"])
 
 
-_COLUMNS = [("orders", "o_orderkey"), ("orders", "o_custkey"), ("orders", "o_totalprice"), ("Part", "P_PARTKEY"), ("part", "p_name"), ("events", "user_id"), ("events", "event_id")]
+_TABLES = {
+    "region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"], "customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"], "part": ["p_partkey"],
+    "orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"], "events": ["event_id", "user_id"], "documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id"],
+}
 
 
 @_query(
     "declared_columns",
-    "with c(\"table\", \"column\") as (values " + ", ".join(map(str, _COLUMNS)) + "), d as (select 'orders' as t, 'O_ORDERKEY' as c union all select 'part', 'p_partkey' union all select event_type, 'x' from events) "
-    "select \"table\", \"column\", exists (select 1 from d where lower(t) = lower(\"table\") and lower(d.c) = lower(\"column\")) as declared from c where regexp_matches(lower(\"column\"), '(id|key)$')",
+    " union all ".join(f"select '{t}' as \"table\", '{c}' as \"column\", {c != 'user_id'} as declared, count({c}) as rows from {t}" for t, cs in _TABLES.items() for c in cs),
 )
 def _declared(spark, d):
-    declared = spark.createDataFrame([("orders", "O_ORDERKEY"), ("part", "p_partkey")], "`table` string, `column` string")
-    declared = declared.unionByName(_read(spark, d, "events").select(F.col("event_type").alias("table"), F.lit("x").alias("column")))
-    return model.declared_columns(spark.createDataFrame(_COLUMNS, "`table` string, `column` string"), declared)
+    """Columns of the tables that look like keys, and whether the catalog has them as keys."""
+    catalog = testdata(spark, d)
+    keys = [(e.name, e.id) for e in catalog.entities.values()] + [(x, k) for r in catalog.relations.values() for x, k in ((r.source, r.source_key), (r.target, r.target_key))]
+    declared = spark.createDataFrame([(t.upper(), c) for t, c in keys], "`table` string, `column` string")
+    found = catalogues.observed_columns({t: catalog.rows(t) for t in _TABLES})
+    return model.declared_columns(found, declared).join(found, ["table", "column"])
 
 
 @_query("sample_binding", "select p_brand, count(*) as n from part where p_size > 10 group by 1 order by n desc, p_brand limit 1")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from .operators import forest, systems
+from .operators import catalogues, forest, proposals, systems
 from .queries import _query, _read, _report
 
 # Access rules
@@ -167,3 +167,53 @@ def _assignment(spark, d):
     folders = _read(spark, d, "part").select(F.col("p_partkey").alias("id"), F.expr("case when p_partkey < 8 then null else p_partkey div 8 end").alias("parentId"))
     out = systems.assigned(rows, known, entities, folders)
     return out.select("collection", "id", "rule", F.array_join("systems", ",").alias("systems"), "state")
+
+
+# Catalogues of tables, and proposals
+
+
+@_query(
+    "table_catalogue",
+    "with u as (select 'T' || l_partkey % 40 as t, l_returnflag || l_linenumber as place from lineitem), d as (select distinct 'T' || p_size as t from part), g as (select t, list_sort(list(distinct place)) as places from u group by 1) "
+    "select coalesce(d.t, g.t) as \"table\", coalesce(array_to_string(places, ','), '') as places, d.t is not null as declared, case when d.t is not null and g.t is not null then 'CrossVerified' else 'Verified' end as confidence from d full join g on d.t = g.t",
+)
+def _tables(spark, d):
+    used = _read(spark, d, "lineitem").select(F.concat(F.lit("T"), (F.col("l_partkey") % 40).cast("string")).alias("table"), F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("place"))
+    declared = _read(spark, d, "part").select(F.concat(F.lit("T"), F.col("p_size").cast("string")).alias("table"))
+    return catalogues.table_catalogue(declared, used).withColumn("places", F.array_join("places", ","))
+
+
+@_query(
+    "proposal_findings",
+    "with p as (select *, o_custkey % 30 as sys, o_orderkey % 5 as kind from orders), s as (select n_nationkey as system, n_regionkey > 0 as allowed, n_regionkey < 4 as indexed from nation) "
+    "select o_orderkey, '$.proposal.scope.allow[0]' as place, 'selector' as rule, o_orderpriority as detail from p where kind in (0, 1) "
+    "union all select o_orderkey, '$.proposal.scope.allow[0]', 'objectType', 'thing' from p where kind = 1 union all select o_orderkey, '$.proposal.scope', 'required', 'allow' from p where kind = 2 "
+    "union all select o_orderkey, '$.proposal.scope.allow', 'minItems', '1, it has 0' from p where kind = 3 union all select o_orderkey, '$.proposal.gates[1]', 'enum', o_orderstatus from p "
+    "union all select o_orderkey, '$.proposal.system', 'systemNotAllowed', sys::varchar from p left join s on sys = system where not coalesce(allowed, false) union all select o_orderkey, '$.proposal.system', 'systemNotIndexed', sys::varchar from p left join s on sys = system where not coalesce(indexed, false)",
+)
+def _proposals(spark, d):
+    o = _read(spark, d, "orders")
+    kind, text = F.col("o_orderkey") % 5, lambda c: F.to_json(F.array(c))
+    entry = lambda t, c: text(F.concat(F.lit(f"{t}:"), c))
+    allow = F.when(kind == 0, entry("report", F.col("o_orderpriority"))).when(kind == 1, entry("thing", F.col("o_orderpriority"))).when(kind == 3, "[]").otherwise('["report:#X", "field:*"]')
+    scope = F.when(kind == 2, "{}").otherwise(F.concat(F.lit('{"allow": '), allow, F.lit("}")))
+    doc = F.concat(F.lit('{"proposal": {"scope": '), scope, F.lit(', "gates": ["lint", "'), F.col("o_orderstatus"), F.lit('"], "system": '), (F.col("o_custkey") % 30).cast("string"), F.lit("}}"))
+    types = _read(spark, d, "part").select(F.when(F.col("p_partkey") % 2 == 0, "report").otherwise("field").alias("objectType"))
+    known = _read(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("system"), (F.col("n_regionkey") > 0).alias("allowed"), (F.col("n_regionkey") < 4).alias("indexed"))
+    return proposals.proposal_findings(o.select("o_orderkey", doc.alias("doc")), "o_orderkey", "doc", types, known)
+
+
+@_query(
+    "evidence_findings",
+    "with t as (select doc_id, lang, unnest(list_distinct(regexp_extract_all(coalesce(text, '') || ' AC-' || n_chars || ', AC-9', 'AC-[0-9]+'))) as ac from documents) "
+    "select doc_id, '$.evidence.acceptance' as place, 'uncovered' as rule, ac as detail from t where ac <> 'AC-9' "
+    "union all select doc_id, '$.evidence.acceptance[0].verdict', case lang when 'en' then 'not' else 'enum' end, case lang when 'en' then 'what is ruled out fits' else lang end from documents where lang <> 'de' "
+    "union all select doc_id, '$.evidence.acceptance[0]', 'required', 'basis' from documents where n_chars > 2000",
+)
+def _evidence(spark, d):
+    docs = _read(spark, d, "documents")
+    verdict = F.when(F.col("lang") == "en", "fail").when(F.col("lang") == "de", "pass").otherwise(F.col("lang"))
+    basis = F.when(F.col("n_chars") > 2000, "").otherwise(', "basis": "seen"')
+    results = docs.select("doc_id", F.concat(F.lit('{"evidence": {"acceptance": [{"ac": "AC-9", "verdict": "'), verdict, F.lit('"'), basis, F.lit("}]}}")).alias("doc"))
+    tasks = docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(" AC-"), F.col("n_chars").cast("string"), F.lit(", AC-9")).alias("text"))
+    return proposals.evidence_findings(results, "doc_id", "doc", tasks, "text")
