@@ -361,7 +361,10 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     listed = stored(lists.select("rep").distinct(), "near-listed")
     held = membership_filter(listed, "rep", "near-filter")
     wanted = lists.select("node").distinct().join(nodes.select("node", "set1", "set2"), "node")
-    rebuilt = may_hold(base, "doc_id", held).select("text").mapInArrow(_set_batches(width), "set1 long, set2 long, set array<long>")
+    again = may_hold(base, "doc_id", held)
+    if not listed.where("rep is null").isEmpty():  # a filter names no null: sets that only rows without an id have are made from these
+        again = again.unionByName(base.where("doc_id is null"))
+    rebuilt = again.select("text").mapInArrow(_set_batches(width), "set1 long, set2 long, set array<long>")
     sets = stored(rebuilt.join(wanted, ["set1", "set2"]).dropDuplicates(["node"]).select("node", "set"), "near-sets")
     first = stored(_confirmed(stars, sets, percent), "near-links")
     comp = components(first)

@@ -139,3 +139,12 @@ def test_stages_of_the_pipeline(docs, none, name):
     rows = got.collect()
     assert {r.doc_id for r in rows} <= {r[0] for r in ROWS} and all(r[c] == "mine" for r in rows for c in CLASHING)
     assert STAGES[name](none).collect() == [] and STAGES[name](none).columns == none.columns
+
+
+def test_near_link_through_a_row_without_id(spark):
+    """1 links with the row without an id, and that with 2, while 1 and 2 don't link: one component."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[:50]), " ".join(words[3:53]), " ".join(words[6:56])]
+    made = lambda ids: {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")).collect()}
+    assert made([1, 9, 2]) == {1: 1, 9: 1, 2: 1}
+    assert made([1, None, 2]) == {1: 1, None: 1, 2: 1}
