@@ -20,7 +20,7 @@ from ..operators.tables import stored
 from .access import Restricted
 from .conditions import Bindings, is_leaf, predicate
 from .customsql import screened
-from .spec import ColumnSpec, Path, ReportSpec, load
+from .spec import ROLES, ColumnSpec, Path, ReportSpec, load
 
 MONEY = "decimal(28,4)"
 
@@ -158,6 +158,7 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
     if spec.get("matrix"):
         return _matrix(src, spec)
     columns = [(c, _expression(src, c, bind)) for c in spec.columns]
+    _roles(src, spec)  # joins what they reach
     if spec.get("additionalWhere"):
         src.df = src.df.where(F.expr(screened(spec.get("additionalWhere"), bind.as_of)))
     if spec.get("sqlGrouping") or any(c.aggregate for c in spec.columns):
@@ -168,7 +169,8 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
         if spec.get("useSummaryRow"):
             out = _with_summary(out, src.df, keys, values, spec)
     else:
-        out = src.df.select(*(e.alias(c.alias) for c, e in columns))
+        roles = _roles(src, spec)
+        out = src.df.select(*(e.alias(c.alias) for c, e in columns), *(e.alias(n) for n, e in roles))
     for other in spec.get("subReports", []):
         more = compile_report(catalog, other, bind)
         out = out.unionByName(more, allowMissingColumns=True)
@@ -177,6 +179,25 @@ def compile_report(catalog: Catalog, report: str | dict, bind: Bindings | None =
     return _finish(out, spec)
 
 
+def _roles(src: _Source, spec: ReportSpec) -> list[tuple[str, Column]]:
+    """The columns of a calendar's or forum's roles: (calendar:startDate, its field). A role that names a column of the report is that column.
+
+    A grouped report has no rows for other fields: there every role has to name a column.
+    """
+    out, known = [], {c.alias for c in spec.columns}
+    for kind in ROLES:
+        for role, value in (spec.get(kind) or {}).items():
+            if isinstance(value, str) and value in known:
+                continue
+            if spec.get("sqlGrouping") or any(c.aggregate for c in spec.columns):
+                raise SpecError(f"{kind}.{role}: a grouped report has no column {value!r}")
+            path = Path.of(value)
+            if _many(src, path):
+                raise SpecError(f"{kind}.{role} passes a relation to many rows")
+            out.append((f"{kind}:{role}", src.column(path)))
+    return out
+
+
 def _is_value(c: ColumnSpec, spec: ReportSpec) -> bool:
     """Whether a grouped report aggregates the column: its own aggregate, or the states of a path that isn't grouped by."""
     return bool(c.aggregate) or bool(c.detail and "path" in c.detail and c.alias not in (spec.get("sqlGrouping") or ()))

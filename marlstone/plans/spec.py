@@ -22,6 +22,11 @@ KNOWN_KEYS = frozenset(
 )
 _REFUSED = ("extraQueryTemplate", "oracleHint", "alternateRootTable", "rootTableAlias", "customCode")
 _SORTS = ("asc", "desc")
+#: What a calendar's or forum's rows are made of. The short names are accepted for the same.
+ROLES = {
+    "calendar": ("name", "description", "startDate", "endDate", "ownerId", "hasReminder", "imageType", "color", "groupColorField", "ownerReport", "start", "end", "owner"),
+    "forum": ("titleField", "descriptionField", "timeField", "ownerIdField", "title", "description", "time", "owner"),
+}
 
 
 @dataclass(frozen=True)
@@ -94,6 +99,12 @@ def validate(raw: dict) -> list[tuple[str, str]]:
         for i, c in enumerate(raw.get("columns", [])):
             if not c.get("aggregate") and c.get("alias") not in grouped and "path" not in (c.get("detail") or {}):
                 out.append((f"columns[{i}]", "neither grouped nor aggregated"))
+    for kind, known in ROLES.items():
+        roles = raw.get(kind) or {}
+        if not isinstance(roles, dict):
+            out.append((kind, "must name fields by role"))
+            continue
+        out += [(f"{kind}.{role}", "unknown role") for role in sorted(roles) if role not in known]
     top = raw.get("top")
     if top is not None and (not isinstance(top, int) or top < 0):
         out.append(("top", "must be a count"))

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from .functions import layout, selectors
 from .operators import catalogues, forest, proposals, systems
 from .queries import _query, _read, _report
 
@@ -217,3 +218,42 @@ def _evidence(spark, d):
     results = docs.select("doc_id", F.concat(F.lit('{"evidence": {"acceptance": [{"ac": "AC-9", "verdict": "'), verdict, F.lit('"'), basis, F.lit("}]}}")).alias("doc"))
     tasks = docs.select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(" AC-"), F.col("n_chars").cast("string"), F.lit(", AC-9")).alias("text"))
     return proposals.evidence_findings(results, "doc_id", "doc", tasks, "text")
+
+
+# Selectors, panels and roles
+
+
+@_query(
+    "selector_codec",
+    "select p_partkey, '#[' || replace(p_brand, '#', '\\#') || '|' || p_type || ']' || replace(p_name, ' ', '|') || '|' || '\\@\\[x\\]\\\\' as selector, 'selector' as kind, p_brand || '+' || p_type as target, replace(p_name, ' ', '+') || '+@[x]\\' as key from part "
+    "union all select p_partkey, repeat('#', p_size % 4) || p_name, case when p_size % 2 = 1 then 'selector' else 'literal' end, null, case when p_size % 2 = 1 then repeat('#', (p_size % 4) // 2) || p_name else repeat('#', (p_size % 4) // 2) || p_name end from part",
+)
+def _codec(spark, d):
+    p = _read(spark, d, "part")
+    one = p.select("p_partkey", selectors.encoded(F.concat(F.split("p_name", " "), F.array(F.lit("@[x]\\"))), F.array("p_brand", "p_type")).alias("selector"))
+    both = one.unionByName(p.select("p_partkey", F.concat(F.repeat(F.lit("#"), F.col("p_size") % 4), F.col("p_name")).alias("selector")))
+    out = both.withColumn("d", selectors.decoded(F.col("selector")))
+    return out.select("p_partkey", "selector", "d.kind", F.array_join("d.target", "+").alias("target"), F.coalesce(F.array_join("d.key", "+"), F.col("d.literal")).alias("key"))
+
+
+@_query(
+    "panel_heights",
+    "with n as (select c_custkey, count(o_orderkey) as n, c_nationkey % 4 as columns, c_acctbal > 0 as search from customer left join orders on o_custkey = c_custkey group by all) "
+    "select c_custkey, n, case when columns > 0 then greatest(18 + ceil(n / columns)::bigint * 24 + case when search then 28 else 0 end, case when search then 46 else 34 end)::bigint end as height from n",
+)
+def _panels(spark, d):
+    n = _read(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n"))
+    c = _read(spark, d, "customer").join(n, "c_custkey", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return c.select("c_custkey", "n", layout.panel_height(F.col("n"), F.col("c_nationkey") % 4, F.col("c_acctbal") > 0).alias("height"))
+
+
+_report(
+    "calendar_roles",
+    {
+        "entity": "orders",
+        "columns": [{"field": "o_orderkey", "alias": "id"}],
+        "calendar": {"name": {"items": ["#customer", "#c_name"]}, "startDate": "o_orderdate", "ownerId": {"items": ["#customer", "#nation", "#n_name"]}, "color": "id"},
+        "condition": {"field": "o_orderstatus", "operator": "equal", "value": "P"},
+    },
+    "select o_orderkey as id, c_name as \"calendar:name\", o_orderdate as \"calendar:startDate\", n_name as \"calendar:ownerId\" from orders left join customer on o_custkey = c_custkey left join nation on c_nationkey = n_nationkey where o_orderstatus = 'P'",
+)

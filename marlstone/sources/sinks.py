@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -59,3 +62,51 @@ def write_pack(tables: dict[str, DataFrame], path: str, gates: DataFrame) -> Non
         fs.rename(root, old)
     fs.rename(staging, root)
     fs.delete(old, True)
+
+
+#: Rounds in which a manifest's own size settles.
+ROUNDS = 6
+
+
+def settled_size(others: int, render: Callable[[int], str]) -> int:
+    """The size of a pack whose manifest states it: others' bytes and the manifest's, which depend on what it states."""
+    total = others
+    for _ in range(ROUNDS):
+        now = others + len(render(total).encode())
+        if now == total:
+            return total
+        total = now
+    raise SpecError("the manifest's size doesn't settle")
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """(table, files, bytes, newest file's name) of each table of a pack. Listed by Spark; no content is read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path).select("path", "length")
+    table = F.element_at(F.split("path", "/"), -2)
+    return listed.groupBy(table.alias("table")).agg(F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max(F.element_at(F.split("path", "/"), -1)).alias("last"))
+
+
+def write_manifest(spark: SparkSession, path: str, version: str) -> dict:
+    """Writes path/manifest.json: each table's files and bytes, and the size of the whole pack with the manifest itself."""
+    tables = [r.asDict() for r in _files(spark, path).orderBy("table").collect()]  # a row for each table
+    render = lambda n: json.dumps({"version": version, "tables": tables, "totalBytes": n}, sort_keys=True)
+    total = settled_size(sum(t["bytes"] for t in tables), render)
+    jvm = spark._jvm
+    at = jvm.org.apache.hadoop.fs.Path(f"{path}/manifest.json")
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(render(total).encode()))
+    out.close()
+    return json.loads(render(total))
+
+
+def read_manifest(spark: SparkSession, path: str, version: str) -> tuple[dict, list[str]]:
+    """(manifest, findings): what of the pack isn't as its manifest says. A pack without findings may be read."""
+    text = "".join(r.value for r in spark.read.text(f"{path}/manifest.json", wholetext=True).collect())
+    manifest = json.loads(text)
+    out = [] if manifest["version"] == version else [f"version {manifest['version']} is not {version}"]
+    told, there = {t["table"]: t for t in manifest["tables"]}, {r.table: r.asDict() for r in _files(spark, path).collect()}
+    out += [f"table {t} is {'missing' if t in told else 'not in the manifest'}" for t in sorted(told.keys() ^ there.keys())]
+    out += [f"table {t} has changed" for t in sorted(told.keys() & there.keys()) if told[t] != there[t]]
+    if manifest["totalBytes"] != sum(t["bytes"] for t in manifest["tables"]) + len(text.encode()):
+        out.append("the manifest states another size than its own")
+    return manifest, out
