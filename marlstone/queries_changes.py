@@ -38,7 +38,7 @@ def _objects(spark, d):
 @_query(
     "applied_references",
     _COMMANDS + ", r as (select batch_id, pos, id, 'next' as field, coalesce(next_pos, head) as to_pos from o union all select batch_id, pos, id, 'view', null from o where pos = 2) "
-    "select r.batch_id, r.pos, r.field, case when r.field = 'view' then 'nowhere' else 't' || r.to_pos end as \"tempId\", case when r.id is not null then -1 end as placeholder, case when r.id is not null then t.id end as value, "
+    "select r.batch_id, r.pos, r.field, case when r.field = 'view' then 'nowhere' else 't' || r.to_pos end as \"tempId\", case when r.id is not null then -1::bigint end as placeholder, case when r.id is not null then t.id end as value, "
     "case when r.id is null then 'no_row' when t.pos is null then 'missing' when t.id is null then 'unresolved' else 'resolved' end as state, case r.field when 'view' then 1 else 0 end as step, true as ordered "
     "from r left join o t on t.batch_id = r.batch_id and t.pos = r.to_pos",
 )
