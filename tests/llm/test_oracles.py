@@ -11,7 +11,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", queries.oracle_sql())
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "embeddings", "benchmark"):
+        con.execute(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df = queries.queries()[name](spark, SF)
     got = sorted(map(tuple, df.collect()), key=str)
     r = con.execute(queries.oracle_sql()[name])
