@@ -45,37 +45,39 @@ def labels(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent") ->
         raise SpecError(f"a forest needs unique ids: {wrong.id}")
     known = base.select(F.col("id").alias("known"))
     tied = base.join(known, F.col("up") == F.col("known"), "left").select("id", F.col("known").alias("parent"))
-    # siblings in order: neighbours by number, not a window over one parent's children
+    # siblings in order: neighbours by number, not a window over one parent's children. From here on a node is its number
     ordered = stored(numbered(tied, [F.asc_nulls_first("parent"), F.asc("id")], "at"), "forest-nodes")
-    after = ordered.select((F.col("at") - 1).alias("at"), F.col("id").alias("next"), F.col("parent").alias("of"))
-    sibling = ordered.join(after, "at", "left").select("id", "parent", F.when(F.col("of") == F.col("parent"), F.col("next")).alias("next"))
-    child = ordered.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.min("id").alias("child"))
-    tied = stored(sibling.join(child, "id", "left"), "forest-links")
+    after = ordered.select((F.col("at") - 1).alias("at"), F.col("parent").alias("of"))
+    sibling = ordered.join(after, "at", "left").select("id", "parent", "at", F.when(F.col("of") == F.col("parent"), F.col("at") + 1).alias("next"))
+    child = ordered.where("parent is not null").groupBy(F.col("parent").alias("id")).agg(F.min("at").alias("child"))
+    above = ordered.select(F.col("id").alias("parent"), F.col("at").alias("above"))
+    tied = stored(sibling.join(child, "id", "left").join(above, "parent", "left"), "forest-links")
     free(ordered)
 
-    # a pass is (id, goes up); down to the first child, or up at once; up to the next sibling's way down, or the parent's way up
-    down = tied.select("id", F.lit(False).alias("ups"), F.coalesce("child", "id").alias("to"), F.col("child").isNull().alias("to_ups"))
-    up = tied.select("id", F.lit(True).alias("ups"), F.coalesce("next", "parent").alias("to"), F.col("next").isNull().alias("to_ups"))
-    start = down.unionByName(up)
-    # down: how many ways down from here to the end; depth: by how much it goes down rather than up
-    state = stored(start.select("id", "ups", "to", "to_ups", F.when(F.col("ups"), 0).otherwise(1).cast("long").alias("downs"), F.when(F.col("ups"), -1).otherwise(1).cast("long").alias("level"), F.col("id").alias("end")), "forest-tour")
+    # a node's way down is pass 2 at, its way up 2 at + 1. Down leads to the first child, or up at once; up to the next sibling's way down, or the parent's way up
+    down = tied.select((2 * F.col("at")).alias("p"), F.coalesce(2 * F.col("child"), 2 * F.col("at") + 1).alias("to"), F.lit(1).cast("long").alias("downs"), F.lit(1).cast("long").alias("level"))
+    up = tied.select((2 * F.col("at") + 1).alias("p"), F.coalesce(2 * F.col("next"), 2 * F.col("above") + 1).alias("to"), F.lit(0).cast("long").alias("downs"), F.lit(-1).cast("long").alias("level"))
+    # downs: how many ways down from here to the end; level: by how much it goes down rather than up; end: the last pass
+    state = stored(down.unionByName(up).withColumn("end", F.col("p")), "forest-tour")
     most = state.count()
     for k in range(64):
         # a tour is no longer than all passes: what has no end after as many steps is on a cycle
         if 2**k > 2 * most or state.where("to is not null").isEmpty():
             break
-        over = state.select(F.col("id").alias("to"), F.col("ups").alias("to_ups"), F.col("to").alias("_to"), F.col("to_ups").alias("_to_ups"), F.col("downs").alias("_downs"), F.col("level").alias("_level"), F.col("end").alias("_end"))
+        over = state.select(F.col("p").alias("to"), F.col("to").alias("_to"), F.col("downs").alias("_downs"), F.col("level").alias("_level"), F.col("end").alias("_end"))
         ended, going = state.where("to is null"), state.where("to is not null")
-        moved = going.join(over, ["to", "to_ups"]).select("id", "ups", F.col("_to").alias("to"), F.col("_to_ups").alias("to_ups"), (F.col("downs") + F.col("_downs")).alias("downs"), (F.col("level") + F.col("_level")).alias("level"), F.col("_end").alias("end"))
+        moved = going.join(over, "to").select("p", F.col("_to").alias("to"), (F.col("downs") + F.col("_downs")).alias("downs"), (F.col("level") + F.col("_level")).alias("level"), F.col("_end").alias("end"))
         done = stored(ended.unionByName(moved), "forest-tour")
         free(state)
         state = done
     ranked = state.where("to is null")
     # size: ways down from the node's way down, less those from its way up
-    both = ranked.groupBy("id").agg(F.first("end").alias("root"), F.max("downs").alias("from_down"), F.min("downs").alias("from_up"), F.max(F.when(~F.col("ups"), -F.col("level"))).alias("depth"))
-    placed = stored(both.join(tied.select("id", "parent"), "id"), "forest-ranks")
+    goes_down = F.pmod("p", F.lit(2)) == 0
+    both = ranked.groupBy(F.shiftright("p", 1).alias("at")).agg(F.first(F.shiftright("end", 1)).alias("root_at"), F.max("downs").alias("from_down"), F.min("downs").alias("from_up"), F.max(F.when(goes_down, -F.col("level"))).alias("depth"))
+    named = tied.where("parent is null").select(F.col("at").alias("root_at"), F.col("id").alias("root"))
+    placed = stored(both.join(named, "root_at").join(tied.select("at", "id", "parent"), "at"), "forest-ranks")
     roots = stored(totalled(placed.where(F.col("id") == F.col("root")).select("root", F.col("from_down").alias("size")), ["root"], F.col("size"), "before"), "forest-roots")
-    cyclic = stored(state.where("to is not null and not ups").select("id"), "forest-cyclic")
+    cyclic = stored(state.where("to is not null and p % 2 = 0").select(F.shiftright("p", 1).alias("at")).join(tied.select("at", "id"), "at").select("id"), "forest-cyclic")
     first = F.col("before") + F.col("size") - F.col("from_down")
     out = stored(placed.join(roots, "root").select("id", "parent", "root", "depth", first.alias("first"), (first + F.col("from_down") - F.col("from_up") - 1).alias("last")), "forest")
     free(tied, state, placed, roots)
