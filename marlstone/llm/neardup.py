@@ -12,7 +12,8 @@ One hash function orders all shingles. Each distinct set keeps its SKETCH smalle
    are. For members of long lists the lists are drawn anew, from full sets and without any chance of a
    loss: rarest shingles first, only as many as the sizes of both partners require at that place, and only
    where members of different components meet. Variants of one text that are too far from each other
-   to be linked differ in rare shingles, and so do not meet at all.
+   to be linked differ in rare shingles, and so do not meet at all. These lists are contracted by rounds of
+   stars before pairs are made, so a group of near copies that share rare edits makes no square of pairs.
 4. Before exact work, the Jaccard similarity is estimated on the sketch of the union, with a margin
    of more than four standard deviations. A parity sketch (each shingle flips one of PARITY bits) bounds the
    symmetric difference from below, so it rejects without any chance of a loss.
@@ -237,8 +238,8 @@ def _block_prefixes(percent: int):
     return run
 
 
-def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs(a, b) of members(node, comp, odd, block) of different components that can reach the threshold: a prefix join.
+def _full_pairs(members: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links, tried, pairs) of members(node, comp, odd, block) of different components that can reach the threshold: a prefix join.
 
     Members of one list share most of their shingles, so holders of a shingle are counted block by block: a block sends
     each of its distinct shingles once, not once for each member, and gets back in how many sets all members hold it.
@@ -251,6 +252,9 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shingle has positions p and q share min(n - p, m - q) + 1 at most, and must share (n + m) percent / (100 + percent).
     So a row at p meets partners of up to (n - p + 1) (100 + percent) / percent - n shingles only: rows of the larger
     set are sent to the bands of such sizes, rows of the smaller set to their own.
+
+    links, a stored table, are the confirmed ones that gave the components. They come back with those that _contracted
+    found (the table given is freed then); tried are the pairs it looked at, pairs the ones that are left.
     """
     held = sets.join(members, "node").withColumn("n", F.size("set").cast("long"))
     counts = stored(held.select("block", "set").groupBy("block").applyInArrow(_block_counts, "block long, v long, holders long"), "near-blocks")
@@ -265,13 +269,57 @@ def _full_pairs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     smaller = rows.where(F.col("most") == F.col("n")).select("v", band(F.col("n")).alias("band"), *(F.col(c).alias(f"{c}a") for c in ("node", "n", "comp", "p", "odd", "before")))
     larger, smaller = stored(larger, "near-larger"), stored(smaller, "near-smaller")
     free(counts, common)
-    both = larger.select("v", "band", F.col("compb").alias("comp")).unionByName(smaller.select("v", "band", F.col("compa").alias("comp")))
-    mixed = both.groupBy("v", "band").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("v", "band")
+    links, tried, smaller, larger, lists = _contracted(smaller, larger, links, sets, percent)
+    met = _meeting(smaller.join(lists.select("v", "band"), ["v", "band"]).join(larger, ["v", "band"]), percent).where(~F.arrays_overlap("beforea", "beforeb"))
+    return links, tried, met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+
+
+def _meeting(met: DataFrame, percent: int) -> DataFrame:
+    """Of rows of a smaller set (a) beside rows of a larger one (b), those of different components that can reach the threshold."""
     share = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
     room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1
-    met = smaller.join(mixed, ["v", "band"]).join(larger, ["v", "band"])
-    met = met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share).where(~F.arrays_overlap("beforea", "beforeb")).where(_close(F.col("na"), F.col("nb"), F.col("odda"), F.col("oddb"), percent))
-    return met.select(F.least("nodea", "nodeb").alias("a"), F.greatest("nodea", "nodeb").alias("b")).distinct()
+    return met.where("compa <> compb and na <= nb").where(F.col("na") * 100 >= F.col("nb") * percent).where(room >= share).where(_close(F.col("na"), F.col("nb"), F.col("odda"), F.col("oddb"), percent))
+
+
+def _open_lists(smaller: DataFrame, larger: DataFrame) -> DataFrame:
+    """(v, band, members, pairs) of the lists that hold several components: larger rows, and pairs of different components."""
+    ends = larger.select("v", "band", F.col("compb").alias("comp"), F.lit(1.0).alias("l"), F.lit(0.0).alias("s")).unionByName(
+        smaller.select("v", "band", F.col("compa").alias("comp"), F.lit(0.0).alias("l"), F.lit(1.0).alias("s"))
+    )
+    each = ends.groupBy("v", "band", "comp").agg(F.sum("l").alias("l"), F.sum("s").alias("s"))
+    lists = each.groupBy("v", "band").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.sum("l").cast("long").alias("members"), F.sum("s").alias("smaller"), (F.sum("l") * F.sum("s") - F.sum(F.col("l") * F.col("s"))).alias("pairs")
+    )
+    return lists.where("low <> high and members > 0 and smaller > 0").select("v", "band", "members", "pairs")
+
+
+def _contracted(smaller: DataFrame, larger: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(links, tried, smaller, larger, lists): rounds of stars within lists, each contracted before the next.
+
+    A round compares the members of each open list with one of them, another in each round, so it makes a pair for each
+    row at most. A group of near copies becomes one component in a few rounds, and one component makes no pairs. The
+    rounds end where lists would make no more pairs than they have rows, or where a round has not halved the pairs:
+    what is left is for the pairs, so a round that finds little loses nothing.
+    """
+    tried, before, turn = None, None, 0
+    while True:
+        lists = stored(_open_lists(smaller, larger), "near-open")
+        pairs, rows = lists.agg(F.sum("pairs"), F.sum("members")).first()
+        if not pairs or pairs <= rows or (before is not None and pairs > before / 2):
+            return links, links.limit(0) if tried is None else tried, smaller, larger, lists
+        before, turn = pairs, turn + 1
+        head = F.min_by(F.struct("nodea", "na", "compa", "pa", "odda"), F.xxhash64(F.lit(turn), "nodea"))
+        heads = stored(smaller.join(lists, ["v", "band"]).groupBy("v", "band").agg(head.alias("head"), F.first("members").alias("members")).select("v", "band", "members", "head.*"), "near-heads")
+        stars = stored(_meeting(skew_join(larger, heads, ["v", "band"], "members"), percent).select(F.col("nodea").alias("a"), F.col("nodeb").alias("b")).distinct(), "near-stars")
+        more = stored(links.unionByName(_confirmed(stars, sets, percent)), "near-links")
+        all_tried = stars if tried is None else stored(tried.unionByName(stars), "near-stars")
+        comp = components(more)
+        open_ = lists.select("v", "band")
+        name = lambda rows, x: rows.join(open_, ["v", "band"], "left_semi").drop(f"comp{x}").join(comp.toDF(f"node{x}", f"comp{x}"), f"node{x}", "left").withColumn(f"comp{x}", F.coalesce(f"comp{x}", f"node{x}"))
+        old = [links, smaller, larger, lists, heads, comp, *([] if tried is None else [tried, stars])]
+        links, tried = more, all_tried
+        smaller, larger = stored(name(smaller, "a"), "near-smaller"), stored(name(larger, "b"), "near-larger")
+        free(*old)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, width: int = 5) -> DataFrame:
@@ -378,8 +426,9 @@ def _links(base: DataFrame, nodes: DataFrame, percent: int, width: int) -> DataF
     longest = left.where(F.col("members") > SHORT).groupBy("node", "comp").agg(F.first("odd").alias("odd"), F.max(F.struct("members", "v", "shingles")).alias("at"))
     block = F.xxhash64("at.v", F.pmod(F.xxhash64("node"), F.ceil(F.col("at.shingles") / BLOCK)))
     long = stored(longest.select("node", "comp", "odd", block.alias("block")), "near-long")
-    pairs = pairs.unionByName(_full_pairs(long, sets, percent))
-    pairs = stored(pairs.distinct().join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
+    first, tried, drawn = _full_pairs(long, sets, first, percent)
+    tried = stars.unionByName(tried).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = stored(pairs.unionByName(drawn).distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
     second = stored(_confirmed(pairs, sets, percent), "near-links")
     links = stored(first.unionByName(second), "near-links")
     held.free()

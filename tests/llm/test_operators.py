@@ -106,6 +106,29 @@ def test_full_pairs_in_blocks(spark, monkeypatch, shingles):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts, 80)
 
 
+def test_full_pairs_contract_groups(spark, monkeypatch):
+    # a passage that many documents hold hides a group from the lists of its sketch values: stars, not a square of pairs, link it
+    monkeypatch.setattr(neardup, "SHORT", 1)
+    asked, confirmed = [], neardup._confirmed
+
+    def counted(pairs, sets, percent):
+        asked.append(pairs.count())
+        return confirmed(pairs, sets, percent)
+
+    monkeypatch.setattr(neardup, "_confirmed", counted)
+    rng = random.Random(23)
+    passage, rare, texts = [f"p{j}" for j in range(200)], [f"r{j}" for j in range(12)], {}
+    for i in range(120):
+        texts[i] = " ".join([*passage, *(f"own{i}x{j}" for j in range(60))])
+    for i in range(120, 220):
+        w = [*passage, *rare]
+        w[rng.randrange(200)] = f"e{i}"
+        texts[i] = " ".join(w)
+    got = neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(texts)
+    assert sum(asked) < 2000  # all pairs of the group are 4,950
+
+
 def test_near_duplicates_above_sketch(spark):
     # sets of 32 shingles inside sets of 37: the larger set's sketch may lack 5 of the 32
     rng = random.Random(12)
