@@ -30,6 +30,8 @@ EDGES = {
 }
 BACK = "blocked"
 TERMINAL = RELEASED = ("integrated", "cancelled", "abandoned")
+#: About how many held scopes one task joins at once.
+HELD_ROWS = 500_000
 EVENT_SCHEMA = "at timestamp, task string, event string, `from` string, `to` string, note string, _corrupt string"
 
 
@@ -142,8 +144,13 @@ def read_board(spark: SparkSession, path: str) -> DataFrame:
 
 def scope_conflicts(held: DataFrame, states: DataFrame) -> DataFrame:
     """(scope, tasks): scopes of held(task, scope) that several tasks hold at once; states(task, state) in RELEASED hold nothing."""
-    holding = held.join(states.where(~F.col("state").isin(*RELEASED)).select("task"), "task", "left_semi")
-    return holding.select("task", "scope").distinct().groupBy("scope").agg(F.count("*").alias("tasks")).where("tasks > 1")
+    held = held.select("task", "scope")
+    # partitions by a number that grows with the rows, which adaptive plans keep: neither the join nor the distinct rows hold more in one task.
+    # Fewer than the session's own would be shuffled again
+    parts = max(held.count() // HELD_ROWS + 1, int(held.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    mine = states.where(~F.col("state").isin(*RELEASED)).select("task").repartition(parts, "task")
+    holding = held.repartition(parts, "task").join(mine.hint("merge"), "task", "left_semi")
+    return holding.distinct().groupBy("scope").agg(F.count("*").alias("tasks")).where("tasks > 1")
 
 
 def voided(events: DataFrame, key: str, state: str, order: list[str]) -> DataFrame:

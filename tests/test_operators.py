@@ -233,3 +233,12 @@ def test_placeholders():
     assert model.substituted({"a": ["{{x}}", "b", {"c": "{{y}}"}]}, {"x": 1, "y": None}) == {"a": [1, "b", {"c": None}]}
     with pytest.raises(SpecError):
         model.substituted(["{{z}}"], {})
+
+
+def test_scope_conflicts_bound_a_task(spark, monkeypatch):
+    monkeypatch.setattr(workflow, "HELD_ROWS", 4)
+    held = spark.createDataFrame([(t, s) for t in range(10) for s in (t % 3, 100 + t) for _ in range(2)], "task long, scope long")
+    states = spark.createDataFrame([(t, "integrated" if t == 9 else "ready") for t in range(10)], "task long, state string")
+    got = workflow.scope_conflicts(held, states)
+    assert rows(got) == [(0, 3), (1, 3), (2, 3)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression [task") == 2
