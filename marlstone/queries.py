@@ -398,8 +398,7 @@ def _json_walk(spark, d):
 
 @_query("type_catalogue", "select 'order' as type, count(distinct l_orderkey) as objects, '$type,id,lines,status' as keys from lineitem where l_orderkey in (select o_orderkey from orders) union all select 'line', count(*), '$type,flag,id' from lineitem where l_orderkey in (select o_orderkey from orders)")
 def _type_catalogue(spark, d):
-    w = jsonwalk.walk(_order_json(spark, d), "o_orderkey", "doc")
-    # objects of one array share a place: their owner is told by the item's own id
+    w = jsonwalk.walk(_order_json(spark, d), "o_orderkey", "doc", type_key="$type")
     out = jsonwalk.type_catalogue(w)
     return out.select("type", "objects", F.array_join("keys", ",").alias("keys"))
 

@@ -322,5 +322,5 @@ def _mixed(spark, d):
     flag = F.col("l_returnflag")
     item = F.struct(flag.alias("$type"), F.when(flag == "A", F.col("l_linenumber")).alias("a"), F.when(flag == "N", F.col("l_linenumber")).alias("n"))
     docs = _read(spark, d, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.collect_list(item)).alias("doc"))
-    out = jsonwalk.type_catalogue(jsonwalk.walk(docs, "l_orderkey", "doc"))
+    out = jsonwalk.type_catalogue(jsonwalk.walk(docs, "l_orderkey", "doc", type_key="$type"))
     return out.withColumn("keys", F.array_join("keys", ","))

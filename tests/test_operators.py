@@ -235,6 +235,38 @@ def test_placeholders():
         model.substituted(["{{z}}"], {})
 
 
+def test_walk_reads_its_documents_once_and_knows_types(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(k):
+        seen.add(1)
+        return k
+
+    docs = spark.createDataFrame([(1, '{"$type": "a", "in": {"x": [true, {"$type": 5, "y": null}]}}'), (2, "{")], "k long, j string")
+    w = jsonwalk.walk(docs.withColumn("k", F.udf(counted, "long")("k")), "k", "j", type_key="$type")
+    got = {r.place: (r.type, r.of, r.around, r.within) for r in w.collect() if r.id == 1}
+    assert seen.value == 2
+    assert got["$"] == ("object", None, None, None) and got["$.in.x[0]"] == ("boolean", "a", "$", "$") and got["$.in.x[1]"] == ("object", "a", "$", "$")
+    assert got["$.in.x[1].y"] == ("null", "5", "$.in.x[1]", "$.in.x[*]")
+    assert rows(jsonwalk.type_catalogue(w)) == [("5", 1, ["$type", "y"]), ("a", 1, ["$type", "in"])]
+    strings = jsonwalk.walk(docs, "k", "j", type_key="$type", texts_only=True)
+    assert {r.of for r in strings.where("key = 'y'").collect()} == {"a"}
+
+
+def test_json_types_hold_the_schema_once(spark):
+    e = spark.createDataFrame([(t,) for t in ('{"a": 1}', "[]", "{}", "1", "1.5", "1e300", '""', "false", "null")], "j string").select(jsonwalk.json_type(F.parse_json("j")).alias("t"))
+    assert [r.t for r in e.collect()] == ["object", "array", "object", "number", "number", "number", "string", "boolean", "null"]
+    assert str(jsonwalk.json_type(F.col("v"))).count("schema_of_variant") == 1
+
+
+def test_diff_groups_both_versions_at_once(spark):
+    old = spark.createDataFrame([(1, '{"a": 1, "b": null}'), (2, "{"), (3, '{"a": [1, 2]}')], "k long, j string")
+    new = spark.createDataFrame([(1, '{"a": 2}'), (2, "{"), (3, '{"a": [2, 1]}')], "k long, j string")
+    got = jsonwalk.structural_diff(old, new, "k", "j")
+    assert rows(got.select("id", "path", "change", "old", "new")) == [(1, "$.a", "changed", '["1"]', '["2"]'), (1, "$.b", "removed", '["null"]', None)]
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_scope_conflicts_bound_a_task(spark, monkeypatch):
     monkeypatch.setattr(workflow, "HELD_ROWS", 4)
     held = spark.createDataFrame([(t, s) for t in range(10) for s in (t % 3, 100 + t) for _ in range(2)], "task long, scope long")
