@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .jsonwalk import walk
-from .tables import free, stored
+from .tables import stored
 
 #: A path with at most so many different texts, each seen so often on average, has them as its vocabulary.
 MOST_VALUES, OFTEN = 20, 3
 #: Texts beyond this length are no members of a vocabulary.
 LONGEST = 80
+#: The JSON types, by name: a set of them is a number with a bit for each.
+KINDS = ("array", "boolean", "null", "number", "object", "string")
 
 
 def type_shapes(docs: DataFrame, id_col: str, json_col: str, type_key: str = "$type", most: int = MOST_VALUES, often: int = OFTEN) -> DataFrame:
@@ -24,31 +28,31 @@ def type_shapes(docs: DataFrame, id_col: str, json_col: str, type_key: str = "$t
     null. vocabulary is the sorted list of its texts, if they are few and often repeated and the path holds nothing but texts
     and null; else NULL: unknown. A vocabulary is what was seen, not what is allowed.
 
-    Everything is counted in two steps, by object and then by path, so shapes of parts of the data merge, and no key gathers
+    The walk tells each value its object, so nothing is joined. Values of a path without [*] are one an object and are counted by path;
+    the others, and all where a key holds . or [ so that two ways can have one path, are counted by object and then by path. No key gathers
     more than its own counts and most + 1 texts. Ids must tell the documents apart; text that is no JSON has no shape.
     """
-    rows = stored(walk(docs, id_col, json_col).where("type <> 'invalid'").select("id", "place", "type", "key", "value"), "shape-walk")
-    typed = rows.where((F.col("key") == type_key) & (F.col("type") == "string")).select("id", F.expr(f"substring(place, 1, length(place) - {len(type_key) + 1})").alias("around"), F.col("value").alias("of"))
-    typed = stored(typed, "shape-objects")
-    # the ancestors of a value are the prefixes of its place that end before a step
-    steps = F.regexp_extract_all("place", F.lit(r"(\.[^.\[]+|\[\d+\])"))
-    up = F.transform(F.sequence(F.lit(0), F.size(steps) - 1), lambda n: F.concat(F.lit("$"), F.array_join(F.slice(steps, F.lit(1), n), "")))
-    above = rows.where("place <> '$'").withColumn("around", F.explode(up)).join(typed, ["id", "around"])
-    near = above.groupBy("id", "place", "type", "value").agg(F.max_by(F.struct("around", "of"), F.length("around")).alias("o"))
-    path = F.regexp_replace(F.expr("substring(place, length(o.around) + 1)"), r"\[\d+\]", "[*]")
-    near = stored(near.select("id", "type", "value", F.col("o.around").alias("around"), F.col("o.of").alias("of"), F.regexp_replace(path, r"^\.", "").alias("path")), "shape-values")
+    rows = walk(docs, id_col, json_col, type_key=type_key, texts_only=True)
+    path = F.regexp_replace(F.expr("substring(path, length(within) + 1)"), r"^\.", "")
+    near = rows.where(F.col("of").isNotNull()).select("id", "type", "value", "around", "of", path.alias("path"), (F.col("place") == F.concat("around", F.lit(f".{type_key}"))).alias("names"))
+    plain = rows.where(F.col("key").contains(".") | F.col("key").contains("[")).isEmpty()
+    several = F.col("path").contains("[*]") if plain else F.lit(True)
 
     text = F.col("type") == "string"
-    each = near.groupBy("of", "path", "id", "around").agg(
-        F.count("*").alias("n"), F.collect_set("type").alias("kinds"), F.count_if(text).alias("texts"), F.bool_or(text & (F.length("value") > LONGEST)).alias("long")
-    )
-    shape = each.groupBy("of", "path").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("kinds")))).alias("kinds"), F.count("*").alias("present"), F.sum("texts").alias("texts"), F.max("n").alias("most"), F.bool_or("long").alias("long")
-    )
-    values = near.where(text & (F.length("value") <= LONGEST)).groupBy("of", "path", "value").count()
+    kind = reduce(lambda c, k: c.when(F.col("type") == k, 1 << KINDS.index(k)), KINDS, F.when(F.lit(False), 0))
+    counts = [F.bit_or(kind).alias("kinds"), F.count_if(text).alias("texts"), F.bool_or(text & (F.length("value") > LONGEST)).alias("long")]
+    each = near.where(several).groupBy("of", "path", "id", "around").agg(F.count("*").alias("n"), *counts)
+    merged = [F.bit_or("kinds").alias("kinds"), F.sum("texts").alias("texts"), F.bool_or("long").alias("long"), F.count("*").alias("present"), F.max("n").alias("most")]
+    shape = each.groupBy("of", "path").agg(*merged)
+    if plain:
+        one = near.where(~several).groupBy("of", "path").agg(*counts, F.count("*").alias("present"), F.lit(1).cast("long").alias("most"))
+        shape = shape.unionByName(one.select(shape.columns))
+    names = F.filter(F.array(*(F.when(F.col("kinds").bitwiseAND(1 << i) != 0, F.lit(k)) for i, k in enumerate(KINDS))), lambda k: k.isNotNull())
+    shape = shape.withColumn("kinds", names)
+    values = near.where(text & (F.length("value") <= LONGEST)).select("of", "path", "value").distinct()
     first = values.withColumn("at", F.row_number().over(Window.partitionBy("of", "path").orderBy("value"))).where(F.col("at") <= most + 1)
     seen = first.groupBy("of", "path").agg(F.array_sort(F.collect_list("value")).alias("vocabulary"))
-    objects = typed.groupBy("of").agg(F.count("*").alias("objects"))
+    objects = near.where("names").groupBy("of").agg(F.count("*").alias("objects"))
     out = shape.join(seen, ["of", "path"], "left").join(objects, "of")
     n = F.size("vocabulary")
     only = ~F.col("long") & (F.size(F.array_except("kinds", F.array(F.lit("string"), F.lit("null")))) == 0)
@@ -60,5 +64,4 @@ def type_shapes(docs: DataFrame, id_col: str, json_col: str, type_key: str = "$t
         ),
         "shapes",
     )
-    free(rows, typed, near)
     return out

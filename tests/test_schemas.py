@@ -145,3 +145,9 @@ def test_shapes(spark):
     assert got[("report", "name")][-1] == ["a", "b"] and {t for t, _ in got} == {"leaf", "report"}
     few = {(r.type, r.path): r.vocabulary for r in shapes.type_shapes(spark.createDataFrame(texts, "k long, j string"), "k", "j", most=1, often=2).collect()}
     assert few[("leaf", "operator")] is None and few[("leaf", "$type")] == ["leaf"] and few[("report", "columns[*].alias")] is None
+
+
+def test_shapes_of_keys_with_points_and_brackets(spark):
+    docs = [(1, '{"$type": "t", "a.b": 1, "a": {"b": "x"}, "c[0]": {"d": 1}}'), (2, '{"$type": "t", "a": {"b": 2}}')]
+    got = {r.path: (r.kinds, r.present, r.repeated) for r in shapes.type_shapes(spark.createDataFrame(docs, "k long, j string"), "k", "j").collect()}
+    assert got["a.b"] == (["number", "string"], 2, True) and got["c[0].d"] == (["number"], 1, False) and got["a"] == (["object"], 2, False)
