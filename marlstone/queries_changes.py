@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .operators import apply, jsonschema, shapes, signing
+from .operators.tables import stored
 from .queries import _order_json, _query, _read
 
 # Applying: an order is a batch, its lines are commands; each line refers to the next one, the last to the first
@@ -20,8 +22,9 @@ _COMMANDS = (
 
 def _lines(spark, d):
     c = _read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("batch_id"), F.col("l_linenumber").alias("pos")).agg(F.min("l_returnflag").alias("flag"), F.max("l_discount").alias("discount"), F.max("l_tax").alias("tax"))
-    ends = c.groupBy("batch_id").agg(F.array_sort(F.collect_list("pos")).alias("all"))  # the lines of one order
-    c = c.join(ends, "batch_id").withColumn("next", F.coalesce(F.get("all", F.array_position("all", F.col("pos")).cast("int")), F.get("all", F.lit(0)))).withColumn("head", F.get("all", F.lit(0)))
+    lines = Window.partitionBy("batch_id").orderBy("pos")  # the lines of one order
+    c = c.withColumn("head", F.first("pos").over(lines)).withColumn("next", F.coalesce(F.lead("pos").over(lines), "head"))
+    c = stored(c, "lines")  # commands, references and refusals are read from it many times
     temp = lambda p: F.concat(F.lit("t"), F.col(p).cast("string"))
     commands = c.select("batch_id", "pos", F.when(F.col("flag") == "N", apply.DYNAMIC).otherwise("field").alias("objectType"), temp("pos").alias("tempId"))
     tied = c.where("flag = 'R' and tax > 0.02").select("batch_id", "pos", F.lit("target").alias("field"), temp("head").alias("tempId"), F.lit(True).alias("structural"))

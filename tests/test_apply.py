@@ -87,3 +87,11 @@ def test_against_a_walk(spark):
 def test_nothing(spark):
     objects, led = applied(spark, [], [])
     assert objects.collect() == [] and led.collect() == []
+
+
+def test_lines_of_commands_are_worked_out_once(spark):
+    from marlstone import queries_changes
+
+    for t in queries_changes._lines(spark, "/root/testdata/sf0.001"):
+        plan = t._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan and "Window" not in plan
