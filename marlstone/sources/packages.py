@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import UTC, date, datetime
 from decimal import Decimal
+from functools import lru_cache
 from typing import Any
 from xml.etree.ElementTree import XMLPullParser
 from xml.sax.saxutils import escape
@@ -37,9 +38,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..errors import SpecError
 from ..functions.text import safe_long, tri_state
+from ..operators.tables import stored
 from .legacy import decode_name, schema_rows
 
 CATALOG = "file string, table string, column string, type string, nullable boolean"
+CELLS = "_file string, table string, cells map<string,string>"
 CHUNK = 1 << 16
 ROWS = 4096
 #: Declared types and the types they are read as; others are text.
@@ -65,6 +68,12 @@ def _listed(folder: str) -> list[str]:
     return [f"{folder.rstrip('/')}/{n}" for n in sorted(found) if n[0] not in "_."]
 
 
+@lru_cache(4096)
+def _decoded(tag: str) -> str:
+    """The name behind an element's tag: few tags, many elements."""
+    return decode_name(tag.split("}")[-1])
+
+
 class _Package:
     """One package, read once from front to end: schema() first, then rows()."""
 
@@ -113,7 +122,7 @@ class _Package:
                 if event == "start" and depth == 2:
                     data_set = e
                 elif event == "end" and depth == 2:
-                    yield decode_name(e.tag.split("}")[-1]), {decode_name(c.tag.split("}")[-1]): c.text or "" for c in e}
+                    yield _decoded(e.tag), {_decoded(c.tag): c.text or "" for c in e}
                     data_set.clear()
                 elif event == "end" and depth == 1:
                     return
@@ -202,7 +211,7 @@ class _Reader(DataSourceReader):
         self.folder, self.schema = options["path"], schema
         self.catalog = options.get("catalog", "false").lower() == "true"
         self.table = options.get("table")
-        if not self.catalog and not self.table:
+        if not self.catalog and not self.table and "cells" not in options:
             raise SpecError("a package is read by table: set the option table")
         self.tests: list[Test] = [(c, test, v) for c, test, v in json.loads(options.get("where", "[]"))]
         for c, test, v in self.tests:
@@ -211,13 +220,16 @@ class _Reader(DataSourceReader):
             if kind is None or test not in (*_TESTS, "isNull") or not fits:
                 raise SpecError(f"where: {[c, test, v]} is no test of a column that is read")
 
+        # all tables in one reading: the columns that are wanted of each
+        self.wanted: dict[str, list[str]] | None = json.loads(options["cells"]) if "cells" in options else None
+
     def partitions(self) -> list[_File]:
         wanted = [(test, v) for c, test, v in self.tests if c == "_file"]
         return [_File(u) for u in _listed(self.folder) if all(_passes(u, k, v) for k, v in wanted)]
 
     def read(self, partition: _File) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(self.schema)
-        rows = self._declared(partition.uri) if self.catalog else self._rows(partition.uri)
+        rows = self._declared(partition.uri) if self.catalog else self._cells(partition.uri) if self.wanted is not None else self._rows(partition.uri)
         held: list[tuple] = []
         for r in rows:
             held.append(r)
@@ -232,6 +244,13 @@ class _Reader(DataSourceReader):
             for r in schema_rows(p.schema()):
                 yield (uri, *r)
 
+    def _cells(self, uri: str) -> Iterator[tuple]:
+        with _Package(uri) as p:
+            p.schema()
+            for table, cells in p.rows():
+                if table in self.wanted:
+                    yield uri, table, [(c, cells[c]) for c in self.wanted[table] if c in cells]
+
     def _rows(self, uri: str) -> Iterator[tuple]:
         fields = [(f.name, _converter(f.dataType)) for f in self.schema if f.name not in ("_file", "_row")]
         own = [(c, k, v) for c, k, v in self.tests if c != "_file"]
@@ -259,6 +278,7 @@ class _Staged(WriterCommitMessage):
 _NOT_XML = re.compile("[^\\t\\n\\r\\x20-\\ud7ff\\ue000-\\ufffd\\U00010000-\\U0010ffff]")
 
 
+@lru_cache(4096)
 def _name(name: str) -> str:
     """A name as XML takes it: other characters, and an underscore that would read as one, as _xHHHH_."""
     out = re.sub(r"_(?=x[0-9A-Fa-f]{4}_)|[^A-Za-z0-9_.\-]", lambda m: "".join(f"_x{u:04X}_" for u in memoryview(m[0].encode("utf-16-le")).cast("H")), name)
@@ -430,23 +450,33 @@ def project(spark: SparkSession, folder: str, collections: dict | None = None) -
 
     A mapping is compiled against what the packages declare: only declared columns are read, and one that no package
     declares is NULL of its type. A collection of which no table is declared is None: unknown, not empty.
+    Every package is read once, for all tables, and the cells that are wanted are stored.
     """
     # distinct tables and columns: as many as the schema has, however many packages and rows there are
     there: dict[str, set[str]] = {}
     for r in declared(spark, folder).select("table", "column").distinct().collect():
         there.setdefault(r.table, set()).add(r.column)
-    return {name: _collection(spark, folder, tables, columns, there) for name, (tables, columns) in (collections or COLLECTIONS).items()}
+    chosen = collections or COLLECTIONS
+    wanted: dict[str, set[str]] = {}
+    for tables, columns in chosen.values():
+        for t in tables:
+            if t in there:
+                wanted.setdefault(t, set()).update(c for _, c, _ in columns if c in there[t])
+    if not wanted:
+        return dict.fromkeys(chosen)
+    spark.dataSource.register(PackageSource)
+    option = json.dumps({t: sorted(c) for t, c in wanted.items()})
+    rows = stored(spark.read.format("legacy_package").option("cells", option).schema(CELLS).load(folder), "package-cells")
+    return {name: _collection(rows, tables, columns, wanted) for name, (tables, columns) in chosen.items()}
 
 
-def _collection(spark: SparkSession, folder: str, tables: tuple[str, ...], columns: list[tuple[str, str | None, str]], there: dict[str, set[str]]) -> DataFrame | None:
+def _collection(cells: DataFrame, tables: tuple[str, ...], columns: list[tuple[str, str | None, str]], there: dict[str, set[str]]) -> DataFrame | None:
     out = None
     for table in tables:
         if table not in there:
             continue
-        wanted = sorted({c for _, c, _ in columns if c in there[table]})
-        fields = [T.StructField(c, T.StringType()) for c in (*wanted, "_file")]
-        rows = read_table(spark, folder, table, T.StructType(fields))
-        made = [(_KINDS[kind][1](F.col(f"`{c}`")) if c in wanted else F.lit(None)).cast(_KINDS[kind][0]).alias(name) for name, c, kind in columns]
+        rows = cells.where(F.col("table") == table)
+        made = [(_KINDS[kind][1](F.try_element_at("cells", F.lit(c))) if c in there[table] else F.lit(None)).cast(_KINDS[kind][0]).alias(name) for name, c, kind in columns]
         part = rows.select(*made, F.col("_file").alias("source_file"), F.lit(table).alias("source_table"))
         out = part if out is None else out.unionByName(part)
     return out

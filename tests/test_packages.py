@@ -129,3 +129,10 @@ def test_unknown_types_are_errors(spark, folder):
     with pytest.raises(Exception, match="a package has no"):
         packages.read_table(spark, folder, "Kinds of", "n array<int>").collect()
     assert issubclass(SpecError, Exception)
+
+
+def test_collections_read_packages_once(spark, folder):
+    got = [v for v in packages.project(spark, folder).values() if v is not None]
+    plans = [v._jdf.queryExecution().optimizedPlan().toString() for v in got]
+    assert len(plans) == 3 and not any("legacy_package" in p or "PythonDataSource" in p for p in plans)
+    assert all("package-cells" in f for v in got for f in v.inputFiles())
