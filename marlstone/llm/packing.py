@@ -3,12 +3,14 @@
 A document of n ids is cut into pieces whose lengths are n's binary digits, the largest first, with as
 many pieces of the full length as it takes. Each piece is a sequence of its own; equal lengths make a
 bucket, from which a trainer draws batches of one shape. Sequences are numbered bucket by bucket, the longest
-first, and within a bucket by document and place: a bucket is a range of numbers, the same on each run.
+first, and within a bucket by document and place: a bucket is a range of numbers, the same on each run. Texts are
+dealt by document, not ids by sequence, so the ids are written once and never shuffled.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .bpe import ByteCoder, coder
-from .common import free, stored
+from .common import stored
 
 LENGTH = 1024
 END = 0
 
-_FIELDS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))]
+_FIELDS = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("place", pa.int64()), ("ids", pa.list_(pa.int32()))]
 
 
 def lengths(n: int, most: int = LENGTH) -> list[int]:
@@ -37,19 +39,21 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
 
     A document's ids are those of its text, then end. length must be a power of two. A piece is a sequence
     (offset 0): its length is a power of two, so nothing is padded. sequence_id counts from 0 without gaps, by
-    falling length, then id, start and crc; a last column bucket is the exponent of the length.
+    falling length, then id and start; rows that share an id follow each other by a hash of their texts. A last
+    column bucket is the exponent of the length.
 
     Null text counts as empty: one piece, the end id. Repeated rows and null ids are packed like others. An
     empty table gives no rows. Other columns are ignored.
     """
     if length & (length - 1) or length < 1:
         raise ValueError("length must be a power of two")
-    fields = _FIELDS if ids else _FIELDS[:5]
+    fields = _FIELDS if ids else _FIELDS[:6]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(ByteCoder, path)
         last = np.array([end], "<u4")
+        places = Counter()  # of each length, in this range of documents
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 part = batch.slice(i, 200)
@@ -59,32 +63,34 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     n, at = len(x), 0
                     for k in lengths(n, length):
                         piece = x[at : at + k].tobytes()
-                        rows.append((doc, at, k, zlib.crc32(piece), n, piece))
+                        rows.append((doc, at, k, zlib.crc32(piece), n, places[k], piece))
+                        places[k] += 1
                         at += k
-                cols = [pa.array([r[k] for r in rows], fields[k][1]) for k in range(5)]
+                cols = [pa.array([r[k] for r in rows], fields[k][1]) for k in range(6)]
                 if ids:
-                    cols.append(pa.array([np.frombuffer(r[5], "<i4") for r in rows], fields[5][1]))
+                    cols.append(pa.array([np.frombuffer(r[6], "<i4") for r in rows], fields[6][1]))
                 yield pa.RecordBatch.from_arrays(cols, schema=schema)
 
-    out = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * ids)
+    # the last key parts rows that repeat, whose order means nothing, so that many of them still make even ranges
+    order = ["doc_id", "hash", "row"]
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("hash", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    dealt = texts.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    out = dealt.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long" + ", ids array<int>" * ids)
     return _numbered(out).withColumn("offset", F.lit(0).cast("long")).withColumn("bucket", F.log2("length").cast("int")).withColumnRenamed("doc_id", id_col)
 
 
 def _numbered(pieces: DataFrame) -> DataFrame:
-    """The pieces in bucket order with their numbers: range partitions number their own rows after the counts before."""
-    made = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
-    # the last key parts rows that repeat, whose order means nothing, so that many of them still make even ranges
-    order = [F.desc("length"), F.asc("doc_id"), F.asc("start"), F.asc("ids_crc32"), F.asc("row")]
-    sorted_ = made.repartitionByRange(*order).sortWithinPartitions(*order).drop("row")
-    # ids made at once are the partition's number times 2^33 and the row's place in it
-    ranged = stored(sorted_.withColumn("at", F.monotonically_increasing_id()), "pack-sequences")
-    free(made)
-    part = F.shiftright("at", 33)
-    counts = ranged.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    # a row for each partition, not for each piece
-    before = counts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    placed = ranged.withColumn("part", part).join(F.broadcast(before), "part")
-    return placed.withColumn("sequence_id", F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))).drop("part", "before", "at")
+    """The pieces with their numbers: a piece's place of its length in its range of documents, after the counts before.
+
+    Written once, as two readings of a range partitioning may draw different bounds.
+    """
+    made = stored(pieces.withColumn("part", F.spark_partition_id()), "pack-sequences", compression="zstd")
+    counts = made.groupBy("part", "length").agg(F.count("*").alias("n"))
+    # a row for each partition and length, not for each piece
+    before = counts.select("part", "length", (F.sum("n").over(Window.orderBy(F.desc("length"), "part")) - F.col("n")).alias("before"))
+    placed = made.join(F.broadcast(before), ["part", "length"])
+    # the columns in their places before the join
+    return placed.withColumn("sequence_id", F.col("before") + F.col("place")).select(*(c for c in made.columns if c not in ("part", "place")), "sequence_id")
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

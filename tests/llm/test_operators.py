@@ -407,6 +407,23 @@ def test_pack_buckets(real, tmp_path):
     assert back.count() == len(rows) and {p.name for p in (tmp_path / "b").glob("length=*")} == {f"length={r.length}" for r in rows}
 
 
+def test_pack_shuffles_texts_not_ids(spark, monkeypatch):
+    path, plans = tokenizer("byte_bpe_50k.json"), []
+    stored = packing.stored
+    monkeypatch.setattr(packing, "stored", lambda df, *a, **k: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), stored(df, *a, **k))[1])
+    rows = [(7, "a b c " * 900), (7, "x y " * 1500), (None, "n"), (None, None), (3, ""), *[(9, "same text") for _ in range(40)]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda r: (r.sequence_id, r.doc_id, r.start, r.length, r.ids_crc32)
+    got = packing.pack(docs.repartition(3), path, ids=True).collect()
+    # one table with ids, dealt before there were any
+    assert len(plans) == 1 and plans[0].index("MapInArrow") < plans[0].index("RepartitionByExpression")
+    assert sorted(r.sequence_id for r in got) == list(range(len(got)))
+    by_number = sorted(got, key=lambda r: r.sequence_id)
+    assert [r.length for r in by_number] == sorted((r.length for r in got), reverse=True)
+    assert all([r.doc_id or 0 for r in by_number if r.length == n] == sorted(r.doc_id or 0 for r in got if r.length == n) for n in {r.length for r in got})
+    assert sorted(map(str, map(key, packing.pack(docs, path).collect()))) == sorted(map(str, map(key, got)))
+
+
 def test_pii_base():
     rng = random.Random(8)
     email, ip = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
