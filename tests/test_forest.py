@@ -95,3 +95,16 @@ def test_running_totals(spark):
         total += r.id
     assert sorted(r.at for r in ranges.numbered(df, [F.desc("k")], "at").collect()) == list(range(500))
     assert ranges.numbered(df.limit(0), ["k"], "at").collect() == []
+
+
+def test_leaves_take_no_part_in_the_rounds(spark, monkeypatch):
+    written = []
+    for module in (forest, ranges):
+        stored = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, name, stored=stored: (t := stored(df, name), written.append(t.count()))[0])
+    parents = {i: None if i < 10 else i % 10 if i < 100 else 10 + i % 90 for i in range(2000)}
+    got, _ = forest.labels(frame(spark, parents))
+    want, _ = walked(parents)
+    assert {r.id: (r.parent, r.root, r.depth, r.first, r.last) for r in got.collect()} == want
+    # all rows are written a few times, however many rounds there are
+    assert sum(written) < 5 * len(parents)
