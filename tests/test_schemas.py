@@ -151,3 +151,28 @@ def test_shapes_of_keys_with_points_and_brackets(spark):
     docs = [(1, '{"$type": "t", "a.b": 1, "a": {"b": "x"}, "c[0]": {"d": 1}}'), (2, '{"$type": "t", "a": {"b": 2}}')]
     got = {r.path: (r.kinds, r.present, r.repeated) for r in shapes.type_shapes(spark.createDataFrame(docs, "k long, j string"), "k", "j").collect()}
     assert got["a.b"] == (["number", "string"], 2, True) and got["c[0].d"] == (["number"], 1, False) and got["a"] == (["object"], 2, False)
+
+
+def test_shapes_are_counted_where_documents_lie(spark):
+    docs = [{"$type": "a", "x": [{"y": i}] * 3, "in": [{"$type": "b", "s": f"v{i % 30}"}]} for i in range(60)]
+    deep = '{"$type": "d", "a": ' + "[" * 100 + "1" + "]" * 100 + "}"
+    # one id for all: objects are told apart by where they are
+    texts = spark.createDataFrame([(1, json.dumps(d)) for d in docs] + [(1, deep), (1, '{"$type": "a", "x": 1, "x": 2}'), (1, '{"$type": "\\u0062", "s": "\\ud800"} rest')], "k long, j string").repartition(3)
+    tracker, group = spark.sparkContext.statusTracker(), "shapes-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        got = {(r.type, r.path): (r.kinds, r.objects, r.present, r.repeated, r.vocabulary) for r in shapes.type_shapes(texts, "k", "j", often=1).collect()}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup(group)) < 30  # not some for each level
+    assert got[("a", "x[*].y")] == (["number"], 60, 60, True, None) and got[("a", "in[*]")] == (["object"], 60, 60, True, None)
+    assert got[("b", "s")] == (["string"], 61, 61, False, None) and got[("b", "$type")][-1] == ["b"]
+    assert got[("d", "a" + "[*]" * 100)] == (["number"], 1, 1, True, None) and len(got) == 6 + 2 + 102
+
+
+def test_shapes_of_more_paths_than_a_task_holds(spark, monkeypatch):
+    docs = [{"$type": f"t{i % 7}", "p": "ab"[i % 2], f"k{i % 5}": None} for i in range(70)]
+    texts = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "k long, j string").coalesce(1)
+    want = sorted(map(str, shapes.type_shapes(texts, "k", "j").collect()))
+    monkeypatch.setattr(shapes, "HELD_PATHS", 4)
+    assert sorted(map(str, shapes.type_shapes(texts, "k", "j").collect())) == want and len(want) == 7 * 7
