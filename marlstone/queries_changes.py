@@ -114,8 +114,8 @@ def _shapes(spark, d):
         F.lit('{"$type": "line", "sizes": ['), F.col("l_quantity").cast("string"), F.lit(', "L", 7], "by": {"mode": "'), F.col("l_linestatus"), F.lit('"}'),
         F.when(F.col("l_returnflag") != "R", F.concat(F.lit(', "flag": "'), F.col("l_returnflag"), F.lit('"'))).otherwise(""), F.lit("}"),
     )
-    lines = li.groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list(line)), ", ").alias("lines"))  # the lines of one order
-    docs = _read(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    li = li.join(_read(spark, d, "orders").select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))  # before there are texts, which are longer
+    docs = li.groupBy("o_orderkey").agg(F.array_join(F.array_sort(F.collect_list(line)), ", ").alias("lines"))  # the lines of one order
     docs = docs.select("o_orderkey", F.concat(F.lit('{"$type": "order", "id": '), F.col("o_orderkey").cast("string"), F.lit(', "lines": ['), F.col("lines"), F.lit("]}")).alias("doc"))
     out = shapes.type_shapes(docs, "o_orderkey", "doc")
     return out.withColumn("kinds", F.array_join("kinds", ",")).withColumn("vocabulary", F.array_join("vocabulary", ","))
